@@ -16,13 +16,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without the setting gets a folder of its own; on a cluster a
     machine-local folder would be lost with its executor, so a missing setting is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="buyerlens-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
+    if context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="buyerlens-"))
+        return context.getCheckpointDir()
     raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
 
 

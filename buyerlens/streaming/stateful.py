@@ -59,9 +59,11 @@ class NewerOnly(_Ordered):
 class LabelLeaders(_Ordered):
     """Running most frequent label per dimension; one row when any of them changes."""
 
-    def __init__(self, dims: list[str], order: list[str], keep: list[str], ttl_ms: int | None = None):
+    def __init__(
+        self, key: str, dims: list[str], order: list[str], keep: list[str], ttl_ms: int | None = None
+    ):
         super().__init__(order, ttl_ms)
-        self.dims, self.keep = dims, keep
+        self.key, self.dims, self.keep = key, dims, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.counts = handle.getMapState("counts", "dim INT, label STRING", "n BIGINT", self.ttl_ms)
@@ -85,7 +87,8 @@ class LabelLeaders(_Ordered):
             lead = now
             after = [label for label, _ in lead]
             if before != after:
-                out.append(Row(*key, *[row[c] for c in self.keep], *after))
+                kept = {c: row[c] for c in self.keep}
+                out.append(Row(**{self.key: key[0]}, **kept, **dict(zip(self.dims, after))))
         for at, n in fresh.items():
             self.counts.updateValue(at, (n,))
         if lead:
@@ -109,9 +112,9 @@ def _label_order(label):
 class RunningActivity(_Ordered):
     """Views, device families and the single search term of a user so far, one row per view."""
 
-    def __init__(self, time_col: str, order: list[str], ttl_ms: int | None = None):
+    def __init__(self, key: str, time_col: str, order: list[str], ttl_ms: int | None = None):
         super().__init__(order, ttl_ms)
-        self.time_col = time_col
+        self.key, self.time_col = key, time_col
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.sums = handle.getValueState(
@@ -134,7 +137,13 @@ class RunningActivity(_Ordered):
                 term = found if term is None else term
             judge = "iOS" if ios else "Android" if android else os
             out.append(
-                Row(*key, row[self.time_col], row["ts"], pv, judge, None if many else term)
+                Row(
+                    **{self.key: key[0], self.time_col: row[self.time_col]},
+                    ts=row["ts"],
+                    pv=pv,
+                    judge_os=judge,
+                    search_item=None if many else term,
+                )
             )
         self.sums.update((pv, ios, android, os, term, many))
         return iter(out)
@@ -175,7 +184,7 @@ def label_changes_stream(
 ) -> DataFrame:
     """Streaming form of :func:`buyerlens.operators.labels.label_changes`."""
     kept = [df.schema[c] for c in [key, *out_cols, *dims]]
-    return _run(df, [key], LabelLeaders(dims, order, out_cols, ttl_ms), StructType(kept), time_col)
+    return _run(df, [key], LabelLeaders(key, dims, order, out_cols, ttl_ms), StructType(kept), time_col)
 
 
 def running_activity_stream(
@@ -183,4 +192,4 @@ def running_activity_stream(
 ) -> DataFrame:
     """Running form of the activity aggregate; ``time_col`` is the watermarked event time."""
     schema = f"{key} STRING, {time_col} TIMESTAMP, ts BIGINT, pv BIGINT, judge_os STRING, search_item STRING"
-    return _run(df, [key], RunningActivity(time_col, order, ttl_ms), schema, time_col)
+    return _run(df, [key], RunningActivity(key, time_col, order, ttl_ms), schema, time_col)
