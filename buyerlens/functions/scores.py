@@ -76,18 +76,22 @@ def score_name(dim: str, band: str) -> str:
 
 
 def band_scores(dim: str, label: Column | str, rows: list[tuple] | None = None) -> list[Column]:
-    """Six score columns for one dimension; a label the table does not list scores zero."""
+    """Six score columns for one dimension; a label the table does not list scores zero.
+
+    The dimension's part of the table is one map literal, so the label is looked up once per row.
+    """
     label = F.col(label) if isinstance(label, str) else label
     rows = [r for r in (score_rows() if rows is None else rows) if r[0] == dim]
+    entries = ", ".join(
+        "'{}', named_struct({})".format(
+            r[1].replace("\\", "\\\\").replace("'", "\\'"),
+            ", ".join(f"'s{i}', CAST({v} AS {SCORE_TYPE})" for i, v in enumerate(r[2:])),
+        )
+        for r in rows
+    )
     zero = F.lit(Decimal("0.000")).cast(SCORE_TYPE)
-    out = []
-    for i, band in enumerate(BANDS):
-        by_score: dict[Decimal, list[str]] = {}
-        for r in rows:
-            by_score.setdefault(r[2 + i], []).append(r[1])
-        chain = F
-        for score, labels in by_score.items():
-            chain = chain.when(label.isin(labels), F.lit(score).cast(SCORE_TYPE))
-        col = zero if chain is F else chain.otherwise(zero)
-        out.append(col.alias(score_name(dim, band)))
-    return out
+    found = F.try_element_at(F.expr(f"map({entries})"), label) if rows else None
+    return [
+        (zero if found is None else F.coalesce(found[f"s{i}"], zero)).alias(score_name(dim, band))
+        for i, band in enumerate(BANDS)
+    ]

@@ -7,17 +7,19 @@ a P0 finding contains listed words anywhere. Only P0 rows count as violations.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from buyerlens.functions.text import last_token
 
-# Up to this many words one JVM expression scans the text; up to MAX_SHIPPED_WORDS a word automaton
-# is shipped to the Python workers; larger dictionaries stay distributed and are joined.
-MAX_PATTERN_WORDS = 100
+# Up to this many words a word automaton is shipped to the Python workers (measured about ten times
+# faster than a JVM alternation of 40 words); larger dictionaries stay distributed and are joined.
 MAX_SHIPPED_WORDS = 200_000
-BLOCK = 256
+# Size of the prefix filter the joined search ships, whatever the size of the dictionary.
+FILTER_SLOTS = 1 << 20
 
 
 def flag_membership(
@@ -79,54 +81,38 @@ def found_words(text: Column | str, words: list[str]) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     if not words:
         return F.array().cast("array<string>")
-    if len(words) <= MAX_PATTERN_WORDS:
-        longest_first = sorted(words, key=lambda w: (-len(w), w))
-        quoted = [r"\Q" + w.replace(r"\E", r"\E\\E\Q") + r"\E" for w in longest_first]
-        pattern = "(" + "|".join(quoted) + ")"
-        return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return _automaton_udf(words)(text)
-
 
-def _automaton_udf(words: list[str]):
     @F.pandas_udf("array<string>")
-    def find(texts: pd.Series) -> pd.Series:
-        scan = _scanner(tuple(words))
-        return texts.map(lambda t: None if t is None else scan(t))
-
-    return find
-
-
-_SCANNERS: dict = {}
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scan = word_scanner(words)  # once per task
+        for texts in batches:
+            yield texts.map(lambda t: None if t is None else scan(t))
 
+    return find(text)
 
-def _scanner(words: tuple):
-    """Leftmost-longest search, built once per Python worker; linear in the text."""
-    if words not in _SCANNERS:
-        try:
-            import ahocorasick
 
-            auto = ahocorasick.Automaton()
-            for w in words:
-                auto.add_word(w, len(w))
-            auto.make_automaton()
+def word_scanner(words: list[str]) -> Callable[[str], list[str]]:
+    """Leftmost-longest search for the words, linear in the text."""
+    try:
+        import ahocorasick
+    except ImportError:
+        longest_first = sorted(words, key=lambda w: (-len(w), w))
+        return re.compile("|".join(map(re.escape, longest_first))).findall
+    auto = ahocorasick.Automaton()
+    for w in words:
+        auto.add_word(w, len(w))
+    auto.make_automaton()
 
-            def scan(text):
-                # All occurrences as (start, length); keep the leftmost, then the longest.
-                hits = sorted((end - n + 1, -n) for end, n in auto.iter(text))
-                out, free = [], 0
-                for start, neg in hits:
-                    if start >= free:
-                        out.append(text[start : start - neg])
-                        free = start - neg
-                return out
+    def scan(text: str) -> list[str]:
+        # All occurrences as (start, -length): the leftmost first, of those the longest.
+        out, free = [], 0
+        for start, neg in sorted((end - n + 1, -n) for end, n in auto.iter(text)):
+            if start >= free:
+                free = start - neg
+                out.append(text[start:free])
+        return out
 
-        except ImportError:
-            scan = re.compile(
-                "|".join(map(re.escape, sorted(words, key=lambda w: (-len(w), w))))
-            ).findall
-        _SCANNERS.clear()
-        _SCANNERS[words] = scan
-    return _SCANNERS[words]
+    return scan
 
 
 def find_words_joined(
@@ -134,61 +120,28 @@ def find_words_joined(
 ) -> DataFrame:
     """The same finds for a dictionary of any size (static input): row_id and ``found``, hits only.
 
-    Every text position that could start a word is matched to the dictionary by its first
-    characters; only the matches (not the texts) are grouped per row. The prefix is as long as the
-    shortest word, so each candidate meets few words.
+    Positions that may start a word are found by a fixed-size filter on the first characters (as
+    many as the shortest word has) and joined to the dictionary on them. A filter too small for the
+    dictionary lets more positions through but loses none. Only the hits are grouped per row, never
+    the texts.
     """
     listed = dictionary.select(F.col(dict_col).alias("__w")).filter(F.col("__w") != "").distinct()
-    sizes = listed.agg(F.min(F.length("__w")).alias("lo"), F.max(F.length("__w")).alias("hi"))
-    lo = sizes.select("lo").scalar()
-    hi = sizes.select("hi").scalar()
-    words = listed.withColumn("__gram", F.substring(F.col("__w"), F.lit(1), lo))
-    # Positions are counted from the start of a text, so texts are first cut into blocks (each with
-    # the head of the next, for words across the cut) to keep the work linear in the text.
-    size = F.greatest(F.lit(BLOCK), F.col("__hi"))
-    cut = F.concat(F.lit("(?s)(?<=\\G.{"), size.cast("string"), F.lit("})"))
-    blocks = df.select(row_id, text_col, lo.alias("__lo"), hi.alias("__hi")).select(
-        row_id, "__lo", "__hi", F.split(F.col(text_col), cut).alias("__blocks")
-    )
-    cuts = blocks.select(
-        row_id,
-        "__lo",
-        "__hi",
-        F.posexplode(
-            F.transform(
-                "__blocks",
-                lambda b, i: F.struct(
-                    b.alias("own"),
-                    F.concat(
-                        b, F.substring(F.coalesce(F.get("__blocks", i + 1), F.lit("")), F.lit(1), F.col("__hi"))
-                    ).alias("text"),
-                ),
-            )
-        ).alias("__no", "__b"),
-    )
-    spots = (
-        cuts.select(
-            "*", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("__b.own")))).alias("__p")
-        )
-        .select(
-            row_id,
-            "__lo",
-            (F.col("__no").cast("bigint") * size + F.col("__p")).alias("__at"),
-            F.substring(F.col("__b.text"), F.col("__p"), F.col("__hi")).alias("__win"),
-        )
-        .withColumn("__gram", F.substring(F.col("__win"), F.lit(1), F.col("__lo")))
-        .drop("__lo")
-    )
+    lo, hi = listed.agg(F.min(F.length("__w")), F.max(F.length("__w"))).first()
+    if lo is None:
+        return df.select(row_id, F.array().cast("array<string>").alias("found")).filter(F.lit(False))
+    words = listed.withColumn("__gram", F.substring("__w", 1, lo))
+    slots = [r[0] for r in words.select(_slot(F.col("__gram"))).distinct().collect()]  # bounded
+    spots = df.select(row_id, F.inline(_candidates(slots, lo, hi)(text_col)))
     hits = spots.join(words, "__gram").filter(F.startswith("__win", "__w"))
-    longest = hits.groupBy(row_id, "__at").agg(
-        F.max(F.length("__w")).alias("n"), F.max_by("__w", F.length("__w")).alias("w")
-    )
+    longest = hits.groupBy(row_id, "__at").agg(F.max(F.length("__w")).alias("n"), F.first("__win").alias("win"))
     per_row = longest.groupBy(row_id).agg(
-        F.sort_array(F.collect_list(F.struct("__at", "n", "w"))).alias("hits")
+        F.sort_array(
+            F.collect_list(F.struct("__at", "n", F.substring(F.col("win"), F.lit(1), F.col("n")).alias("w")))
+        ).alias("hits")
     )
     picked = F.aggregate(
         "hits",
-        F.struct(F.lit(1).cast("bigint").alias("free"), F.array().cast("array<string>").alias("found")),
+        F.struct(F.lit(0).alias("free"), F.array().cast("array<string>").alias("found")),
         lambda acc, h: F.when(
             h["__at"] >= acc["free"],
             F.struct(
@@ -201,6 +154,37 @@ def find_words_joined(
     return per_row.select(row_id, picked.alias("found"))
 
 
+def _slot(gram: Column) -> Column:
+    """Filter slot of a prefix: a polynomial of its code points."""
+    step = lambda acc, c: (acc * 31 + F.ascii(c)) % FILTER_SLOTS
+    return F.aggregate(F.split(gram, ""), F.lit(0).cast("bigint"), step)
+
+
+def _candidates(slots: list[int], lo: int, hi: int):
+    n_slots = FILTER_SLOTS
+
+    @F.pandas_udf("array<struct<__at: int, __win: string, __gram: string>>")
+    def candidates(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        wanted = np.zeros(n_slots, dtype=bool)
+        wanted[slots] = True
+
+        def spots(text):
+            if text is None or len(text) < lo:
+                return []
+            points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+            last = len(points) - lo + 1
+            slot = np.zeros(last, dtype=np.int64)
+            for j in range(lo):
+                slot = (slot * 31 + points[j : j + last]) % n_slots
+            found = np.nonzero(wanted[slot])[0].tolist()
+            return [{"__at": i, "__win": text[i : i + hi], "__gram": text[i : i + lo]} for i in found]
+
+        for texts in batches:
+            yield texts.map(spots)
+
+    return candidates
+
+
 def second_check(df: DataFrame, words: list[str]) -> DataFrame:
     """Second check of comments without a P0 finding: grade P1 with all words found.
 

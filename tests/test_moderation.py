@@ -30,24 +30,25 @@ def texts_and_words(seed):
     letters = "ab坏é\U0001f600"
     words = {"".join(rnd.choice(letters) for _ in range(rnd.randrange(2, 6))) for _ in range(12)}
     texts = ["".join(rnd.choice(letters + " ,\n") for _ in range(rnd.choice([0, 1, 30, 700]))) for _ in range(25)]
-    # A word lying across the cut between two blocks.
-    some = sorted(words)[0]
-    texts.append("-" * (moderation.BLOCK - 1) + some + "-" * moderation.BLOCK)
     return texts, sorted(words)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_all_ways_of_finding_words_agree(spark, seed, monkeypatch):
+@pytest.mark.parametrize("seed,slots", [(1, 1 << 20), (2, 4)])
+def test_both_ways_of_finding_words_agree(spark, seed, slots, monkeypatch):
+    monkeypatch.setattr(moderation, "FILTER_SLOTS", slots)
     texts, words = texts_and_words(seed)
-    df = spark.createDataFrame(list(enumerate(texts)), "id int, msg string")
+    df = spark.createDataFrame([*enumerate(texts), (99, None)], "id int, msg string")
     want = [(i, brute(t, words)) for i, t in enumerate(texts)]
-    pattern = df.select("id", moderation.found_words("msg", words).alias("f"))
-    assert [(r.id, r.f) for r in pattern.orderBy("id").collect()] == want
-    monkeypatch.setattr(moderation, "MAX_PATTERN_WORDS", 3)
-    shipped = df.select("id", moderation.found_words("msg", words).alias("f"))
+    shipped = df.select("id", moderation.found_words("msg", words).alias("f")).filter("id < 99")
     assert [(r.id, r.f) for r in shipped.orderBy("id").collect()] == want
     joined = moderation.find_words_joined(df, "id", "msg", words_frame(spark, words))
     assert [(r.id, r.found) for r in joined.orderBy("id").collect()] == [w for w in want if w[1]]
+    assert any(w[1] for w in want)
+
+
+def test_joined_search_without_words(spark):
+    df = spark.createDataFrame([(1, "x")], "id int, msg string")
+    assert moderation.find_words_joined(df, "id", "msg", words_frame(spark, [""])).collect() == []
 
 
 def test_scanner_without_the_automaton_library(monkeypatch):
@@ -55,10 +56,8 @@ def test_scanner_without_the_automaton_library(monkeypatch):
 
     texts, words = texts_and_words(3)
     monkeypatch.setitem(sys.modules, "ahocorasick", None)
-    moderation._SCANNERS.clear()
-    scan = moderation._scanner(tuple(words))
+    scan = moderation.word_scanner(words)
     assert [scan(t) for t in texts] == [brute(t, words) for t in texts]
-    moderation._SCANNERS.clear()
 
 
 def test_words_with_pattern_signs(spark):
