@@ -84,15 +84,18 @@ def _month_day(date: Column) -> Column:
     return F.month(date) * 100 + F.dayofmonth(date)
 
 
-def _first_limit(value: Column, limits: list[tuple[int, str]], inclusive: bool) -> Column:
-    chain = F
-    for limit, label in limits:
-        chain = chain.when(value <= limit if inclusive else value < limit, F.lit(label))
-    return chain
+def _texts(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
 
 
 def zodiac(birth: Column | str) -> Column:
-    return _first_limit(_month_day(_col(birth)), ZODIAC_ENDS, inclusive=True)
+    """Sign of a birthday: each month holds the last days of one sign and the first of the next."""
+    birth = _col(birth)
+    ends = ZODIAC_ENDS[:12]
+    cut = F.get(F.array(*[F.lit(end % 100) for end, _ in ends]), F.month(birth) - 1)
+    first = F.get(_texts([sign for _, sign in ends]), F.month(birth) - 1)
+    second = F.get(_texts([sign for _, sign in ZODIAC_ENDS[1:]]), F.month(birth) - 1)
+    return F.when(F.dayofmonth(birth) <= cut, first).otherwise(second)
 
 
 def hour_of_day(millis: Column | str, tz: str = DEFAULT_TZ) -> Column:
@@ -101,11 +104,11 @@ def hour_of_day(millis: Column | str, tz: str = DEFAULT_TZ) -> Column:
 
 def hour_band(hour: Column | str) -> Column:
     """Part of the day; an hour outside 0..23 falls into the last part."""
+    starts = [0, *[end for end, _ in HOUR_BANDS]]
+    by_hour = [band for start, (end, band) in zip(starts, HOUR_BANDS) for _ in range(start, end)]
     hour = _col(hour).cast("int")
-    named = _first_limit(hour, HOUR_BANDS, inclusive=False)
-    return F.when(hour < 0, F.lit(HOUR_BANDS[-1][1])).otherwise(
-        F.when(hour.isNotNull(), F.coalesce(named, F.lit(HOUR_BANDS[-1][1])))
-    )
+    late = F.lit(HOUR_BANDS[-1][1])
+    return F.when(hour.isNotNull(), F.coalesce(F.get(_texts(by_hour), hour), late))
 
 
 def day_partition(millis: Column | str, tz: str = DEFAULT_TZ) -> Column:

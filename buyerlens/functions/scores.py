@@ -75,23 +75,24 @@ def score_name(dim: str, band: str) -> str:
     return f"{dim}_50" if dim in SHORT_OLDEST_BAND and band == BANDS[-1] else f"{dim}_{band}"
 
 
-def band_scores(dim: str, label: Column | str, rows: list[tuple] | None = None) -> list[Column]:
-    """Six score columns for one dimension; a label the table does not list scores zero.
+def score_entry(dim: str, label: Column | str, rows: list[tuple] | None = None) -> Column:
+    """Struct (s0..s5) of the six scores of a label; all zero for a label the table does not list.
 
-    The dimension's part of the table is one map literal, so the label is looked up once per row.
+    The dimension's part of the table is one map literal, so a label is looked up once.
     """
     label = F.col(label) if isinstance(label, str) else label
     rows = [r for r in (score_rows() if rows is None else rows) if r[0] == dim]
-    entries = ", ".join(
-        "'{}', named_struct({})".format(
-            r[1].replace("\\", "\\\\").replace("'", "\\'"),
-            ", ".join(f"'s{i}', CAST({v} AS {SCORE_TYPE})" for i, v in enumerate(r[2:])),
-        )
-        for r in rows
-    )
-    zero = F.lit(Decimal("0.000")).cast(SCORE_TYPE)
-    found = F.try_element_at(F.expr(f"map({entries})"), label) if rows else None
-    return [
-        (zero if found is None else F.coalesce(found[f"s{i}"], zero)).alias(score_name(dim, band))
-        for i, band in enumerate(BANDS)
-    ]
+    none = _scores_sql([0] * len(BANDS))
+    if not rows:
+        return F.expr(none)
+    entries = ", ".join(f"{_quoted(r[1])}, {_scores_sql(r[2:])}" for r in rows)
+    return F.coalesce(F.try_element_at(F.expr(f"map({entries})"), label), F.expr(none))
+
+
+def _scores_sql(values) -> str:
+    parts = ", ".join(f"'s{i}', CAST({v} AS {SCORE_TYPE})" for i, v in enumerate(values))
+    return f"named_struct({parts})"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -47,13 +47,18 @@ def parse_cdc(
 
     Each frame has before, after, source, op and ts_ms. A cheap substring test drops most records of
     other tables before any JSON parsing; it keeps every record with an escape sequence, so it
-    never loses one. A field of the wrong type is null; a broken text is rejected.
+    never loses one. If the input has a ``table`` column, as a topic landed by ``write_routed`` has,
+    each frame reads its own partition only. A field of the wrong type is null; a broken text is
+    rejected.
     """
     tables = schemas.CDC_TABLES if tables is None else tables
     out = {}
     for table, image in tables.items():
         value = F.col(value_col)
-        maybe = df.filter(value.contains(f'"{table}"') | value.contains("\\u"))
+        if "table" in df.columns:
+            maybe = df.filter(F.col("table") == table)
+        else:
+            maybe = df.filter(value.contains(f'"{table}"') | value.contains("\\u"))
         parsed = _parsed(maybe, schemas.envelope(image), value_col)
         out[table] = route(parsed, table).drop("value", "__bad")
     parsed = _parsed(df, schemas.RAW_ENVELOPE, value_col)

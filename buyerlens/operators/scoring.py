@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from buyerlens.functions.scores import BANDS, SCORE_TYPE, TIE_ORDER, band_scores, score_name
+from buyerlens.functions.scores import BANDS, SCORE_TYPE, TIE_ORDER, score_entry, score_name
 
 
 def score(df: DataFrame, labels: dict[str, str], rows: list[tuple] | None = None) -> DataFrame:
-    """Add the six score columns of each dimension; ``labels`` maps dimension -> label column."""
-    cols = [c for dim, label in labels.items() for c in band_scores(dim, label, rows)]
-    return df.select("*", *cols)
+    """Add the six score columns of each dimension; ``labels`` maps dimension -> label column.
+
+    A generator holds the looked-up entries: as plain columns each of the six scores would repeat
+    the lookup and whatever expression the label is made of.
+    """
+    entries = F.struct(*[score_entry(d, label, rows).alias(f"__{d}") for d, label in labels.items()])
+    found = df.select("*", F.inline(F.array(entries)))
+    return found.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        *[
+            F.col(f"__{d}")[f"s{i}"].alias(score_name(d, band))
+            for d in labels
+            for i, band in enumerate(BANDS)
+        ],
+    )
 
 
 def total_scores(df: DataFrame, dims: list[str], fix_50_plus: bool = False) -> DataFrame:

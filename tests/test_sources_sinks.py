@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import shop
 from buyerlens import schemas
+from buyerlens.operators import cdc
 from buyerlens.sinks import writers
 from buyerlens.sources import files, jdbc, kafka
 from conftest import rows
@@ -103,6 +104,13 @@ def test_routed_landing(spark, tmp_path, stream):
     assert counts["order_detail"] == 300 and counts["user_info"] == 11
     part = landed.filter(F.col("table") == "user_info")
     assert "PartitionFilters: [isnotnull(table" in part._jdf.queryExecution().executedPlan().toString()
+    pruned, rejects = cdc.parse_cdc(landed)
+    whole, _ = cdc.parse_cdc(shop.texts(spark, lines))
+    for table in whole:
+        assert rows(pruned[table]) == rows(whole[table])
+        plan = pruned[table]._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(table" in plan
+    assert rejects.count() == 4
 
 
 def test_console(spark, capsys):
