@@ -497,25 +497,35 @@ def comment_facts(spark, sf):
 # -- portraits ---------------------------------------------------------------------------------
 
 
-def _portrait_inputs(spark, sf):
-    wanted = ["user_info", "user_info_sup_msg", "order_info", "order_detail"]
+def _tables(topic, *names):
     # The topic is stored text; writing it keeps its making out of the parsing branches.
-    topic = settle(t.change_topic(spark, sf))
-    tables, _ = cdc.parse_cdc(topic, {name: schemas.CDC_TABLES[name] for name in wanted})
+    return cdc.parse_cdc(settle(topic), {name: schemas.CDC_TABLES[name] for name in names})[0]
+
+
+def _portrait_inputs(spark, sf):
+    names = ["user_info", "user_info_sup_msg", "order_info", "order_detail"]
     pages, _ = cdc.parse_records(cdc.to_json_value(t.page_log(spark, sf)), schemas.PAGE_LOG)
-    return tables, cdc.project_page_log(pages), t.dimensions(spark, sf)
+    return (
+        _tables(t.change_topic(spark, sf), *names),
+        cdc.project_page_log(pages),
+        t.dimensions(spark, sf),
+    )
 
 
 @query
 def base_profile(spark, sf):
-    tables, _, _ = _portrait_inputs(spark, sf)
+    topic = t.user_records(spark, sf).unionAll(t.sup_records(spark, sf))
+    tables = _tables(topic, "user_info", "user_info_sup_msg")
     return portrait.base_profile(tables["user_info"], tables["user_info_sup_msg"], as_of())
 
 
 @query
 def order_scores(spark, sf):
-    tables, _, dims = _portrait_inputs(spark, sf)
-    return portrait.order_scores(tables["order_info"], tables["order_detail"], dims)
+    topic = t.order_records(spark, sf).unionAll(t.detail_records(spark, sf))
+    tables = _tables(topic, "order_info", "order_detail")
+    return portrait.order_scores(
+        tables["order_info"], tables["order_detail"], t.dimensions(spark, sf)
+    )
 
 
 @query
