@@ -9,10 +9,9 @@ Merwe, "Constructing a BPE tokenization DFA", 2024.)
 All arcs with one label lead to one state, so a state is named by its label and the time of its copy, and
 a copy stores only the arc it lost. An arc of a state is looked up by walking the copies (down the right
 parts of the state's label) and the merges that made the arc (down the left parts of the arc's label);
-the answers are kept in a table. Encoding a pre-split word finds, for each byte position in turn, the
-last token of the path that spells the word so far: the arcs that leave an earlier position and whose
-labels spell the bytes in between are followed through a byte trie, one of them only is on the path.
-Decoding emits the labels.
+the answers are kept in a table. Encoding a pre-split word follows, from each position, the arcs whose
+labels spell the bytes that come next (found in a byte trie), longest first; the one path that spells the
+whole word gives its tokens. Decoding emits the labels.
 
 Null texts are empty texts and give no ids. Other columns pass through untouched, whatever their names;
 ``out`` names the new column and replaces one that has that name.
@@ -22,16 +21,19 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from buyerlens.llm.bpe_words import ChunkMemo
+from buyerlens.llm.bpe_words import TEXTS, ChunkMemo, gathered
 from buyerlens.llm.common import text_or_empty
 
 NEVER = 1 << 30
@@ -116,28 +118,43 @@ class Automaton:
         return known
 
     def word(self, word: bytes) -> list[int]:
-        """Labels of the path that spells the word."""
+        """Labels of the path that spells the word.
+
+        The longest arc is tried first. A path that reaches a position is the only one that does, so a
+        position from which no arc leads on is never tried again, and time is linear in the word.
+        """
         n = len(word)
-        last = [-1] * (n + 1)
-        came = [0] * (n + 1)
-        step, token, arc = self.next, self.token, self.arc
-        for j in range(n):
-            state = last[j]
-            node = 0
-            for i in range(j, n):
-                node = step.get(node << 8 | word[i], -1)
-                if node < 0:
+        step, token, table = self.next.get, self.token, self.table
+        out: list[int] = []
+        ends = [0]
+        dead: set[int] = set()
+        while ends[-1] < n:
+            at = ends[-1]
+            node, found = 0, []
+            for i in range(at, n):
+                node = step(node << 8 | word[i])
+                if node is None:
                     break
-                label = token[node]
-                if label >= 0 and (j == 0 or arc(state, label)):
-                    last[i + 1] = label
-                    came[i + 1] = j
-        out = []
-        at = n
-        while at:
-            out.append(last[at])
-            at = came[at]
-        return out[::-1]
+                if token[node] >= 0:
+                    found.append((token[node], i + 1))
+            state = out[-1] << 20 if out else -1
+            for label, end in reversed(found):
+                if end in dead:
+                    continue
+                if state >= 0:
+                    ok = table.get(state | label)
+                    if ok is None:
+                        ok = self.arc(state >> 20, label)
+                    if not ok:
+                        continue
+                out.append(label)
+                ends.append(end)
+                break
+            else:
+                dead.add(at)
+                ends.pop()
+                out.pop()
+        return out
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.labels.__getitem__, ids))
@@ -159,7 +176,15 @@ class Codec:
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.splitter = Tokenizer.from_file(path).pre_tokenizer
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.memo = ChunkMemo(lambda chunks: [self._chunk(c) for c in chunks], tuple(special))
+        self.memo = ChunkMemo(
+            self._chunks, lambda chunks: self._chunks(" " + c for c in chunks), lambda ts: [self._whole(t) for t in ts], tuple(special)
+        )
+        size = max(self.automaton.labels) + 1
+        labels = [self.automaton.labels.get(i, b"") for i in range(size)]
+        self.label_bytes = np.frombuffer(b"".join(labels), np.uint8)
+        self.label_sizes = np.array([len(x) for x in labels])
+        self.label_starts = np.cumsum(self.label_sizes) - self.label_sizes
+
 
     def _words(self, text: str) -> list[bytes]:
         if SURE.fullmatch(text):
@@ -167,7 +192,10 @@ class Codec:
         return [bytes(map(self.letters.__getitem__, w)) for w, _ in self.splitter.pre_tokenize_str(text)]
 
     def _chunk(self, text: str) -> bytes:
-        return np.array([i for w in self._words(text) for i in self.automaton.word(w)], dtype="<i4").tobytes()
+        return array("i", [i for w in self._words(text) for i in self.automaton.word(w)]).tobytes()
+
+    def _chunks(self, texts: Iterable[str]) -> list[bytes]:
+        return [self._chunk(t) for t in texts]
 
     def _whole(self, text: str) -> bytes:
         out = []
@@ -178,11 +206,26 @@ class Codec:
                 out.append(self._chunk(part))
         return b"".join(out)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as bytes of little-endian 32-bit numbers."""
-        plain = [self.memo.plain(t) for t in texts]
-        fast = iter(self.memo.values([t for t, p in zip(texts, plain, strict=True) if p]))
-        return [b"".join(next(fast)) if p else self._whole(t) for t, p in zip(texts, plain, strict=True)]
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """Ids of each text."""
+        ids = self.memo.encode(texts)
+        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+        flat = np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+    def decode(self, rows: pa.Array) -> pa.Array:
+        """Labels of each row's ids, as text; broken characters are replaced."""
+        out: list[str | None] = []
+        for i in range(0, len(rows), TEXTS):
+            part = rows.slice(i, TEXTS)
+            ids = part.flatten().to_numpy(zero_copy_only=False)
+            sizes = self.label_sizes[ids]
+            raw = gathered(self.label_bytes, self.label_starts[ids], sizes).tobytes()
+            counts = np.nan_to_num(pc.list_value_length(part).to_numpy(zero_copy_only=False)).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)].tolist()
+            none = part.is_null().to_pylist()
+            out += [None if x else raw[a:b].decode("utf-8", "replace") for x, a, b in zip(none, [0, *ends], ends, strict=False)]
+        return pa.array(out, pa.string())
 
 
 @lru_cache(maxsize=2)
@@ -193,11 +236,7 @@ def codec(name: str) -> Codec:
 def encode_udf(tokenizer: str):
     @arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        run = codec(tokenizer).encode
-        values = texts.to_pylist()
-        raw = [x for i in range(0, len(values), 512) for x in run(values[i : i + 512])]
-        ends = np.cumsum([0, *(len(x) // 4 for x in raw)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+        return codec(tokenizer).encode(texts)
 
     return encode
 
@@ -205,16 +244,11 @@ def encode_udf(tokenizer: str):
 def decode_udf(tokenizer: str):
     @arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
-        run = codec(tokenizer).automaton.decode
-        return pa.array([None if x is None else run(x).decode("utf-8", "replace") for x in map(_list, ids)], pa.string())
+        return codec(tokenizer).decode(ids)
 
     return decode
 
 
-def _list(value: pa.ListScalar) -> list[int] | None:
-    return None if value.values is None else value.values.to_numpy(zero_copy_only=False).tolist()
-
-
 def with_ids(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the token ids of each whole text."""
     return docs.withColumn(out, encode_udf(tokenizer)(text_or_empty(text)))

@@ -1,66 +1,101 @@
 """Splitting texts into chunks that byte-level BPE encodes independently.
 
 A space with a non-space character on both sides always begins a new pre-token: no alternative of the
-splitting pattern runs across it. So such texts are cut at their spaces by the fast string split, and
-each chunk (a word with its punctuation) is encoded once and remembered. Any text with other white
-space next to a space, a run of spaces, or a special string takes the caller's slow way as a whole.
+splitting pattern runs across it. So such texts are cut at their spaces, and each chunk (a word with its
+punctuation) is encoded once and remembered; the ids of a text are put together by array arithmetic. Any
+text with a run of spaces, other white space than line ends, or a special string takes the caller's slow
+way as a whole.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
-# A space at an end, or next to white space of any kind (a little more than the pattern's own \s).
-ODD = re.compile(r"\A | \Z|\s(?=\s)| \Z")
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 LONG = 200  # characters; longer chunks are not remembered
-MEMO = 600_000  # chunks remembered by one worker
+MEMO = 500_000  # chunks remembered by one worker in each of two generations
+TEXTS = 2048  # texts put together at a time
+# White space at an end, next to white space, or of any kind but space and line end.
+ODD = (
+    r"\A[ \n]|[ \n]\z|[ \n][ \n]|\A\z"
+    r"|[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
+)
 
 
-class ChunkMemo:
-    """Value of each chunk, computed once; forgets all when full, so memory stays bounded."""
+def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs values[start : start + length] in a row."""
+    ends = np.cumsum(lengths)
+    if not len(ends):
+        return values[:0]
+    return values[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1])]
 
-    def __init__(self, encode: Callable[[list[str]], list], special: tuple[str, ...] = ()):
-        self.encode = encode
-        self.special = special
-        self.first: dict[str, object] = {}
-        self.later: dict[str, object] = {}
 
-    def plain(self, text: str) -> bool:
-        return not ODD.search(text) and not any(s in text for s in self.special)
+class ChunkMemo:
+    """Ids of each chunk, computed once and kept in two generations of bounded size.
 
-    def values(self, texts: list[str]) -> list[list]:
-        """For each plain text the values of its chunks, in order."""
-        cut = [t.split(" ") for t in texts]
-        heads = {c[0] for c in cut}
-        tails = set()
-        for c in cut:
-            tails.update(c[1:])
-        first = self._known(self.first, heads, "")
-        later = self._known(self.later, tails, " ")
-        out = []
-        for c in cut:
-            row = [first[c[0]]] if c[0] else []
-            row.extend(map(later.__getitem__, c[1:]))
-            out.append(row)
-        return out
+    When the young generation is full it becomes the old one, whose chunks return when they are met again.
+    ``first`` encodes chunks that begin a text, ``later`` chunks that follow a space, ``whole`` any text;
+    all take a list and give the ids of each as bytes of little-endian 32-bit numbers.
+    """
 
-    def _known(self, memo: dict, wanted: set[str], lead: str):
-        if len(memo) > MEMO:
-            memo.clear()
-        new = [w for w in wanted if w not in memo]
-        long = {w for w in new if len(w) > LONG}
-        found = dict(zip(new, self.encode([lead + w for w in new]), strict=True)) if new else {}
-        memo.update((w, v) for w, v in found.items() if w not in long)
-        if not long:
-            return memo
-        return _Both(memo, found)
+    def __init__(self, first, later, whole, special: tuple[str, ...] = ()):
+        self.first: Callable[[list[str]], list[bytes]] = first
+        self.later: Callable[[list[str]], list[bytes]] = later
+        self.whole: Callable[[list[str]], list[bytes]] = whole
+        self.special = special
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text."""
+        out: list[np.ndarray] = []
+        for i in range(0, len(texts), TEXTS):
+            part = texts.slice(i, TEXTS)
+            odd = pc.match_substring_regex(part, ODD)
+            for s in self.special:
+                odd = pc.or_(odd, pc.match_substring(part, s))
+            plain = self._plain(part.filter(pc.invert(odd)))
+            rest = iter(self.whole(part.filter(odd).to_pylist()))
+            fast = iter(plain)
+            out += [np.frombuffer(next(rest), "<u4") if x else next(fast) for x in odd.to_numpy(zero_copy_only=False)]
+        return out
 
-class _Both:
-    def __init__(self, memo: dict, extra: dict):
-        self.memo, self.extra = memo, extra
+    def _plain(self, texts: pa.Array) -> list[np.ndarray]:
+        if not len(texts):
+            return []
+        lists = pc.split_pattern(texts, pattern=" ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        chunks = lists.values.dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        heads = lists.values.take(pa.array(offsets[:-1])).to_pylist()
+        order = list(set(heads))
+        values = self._later(distinct) + self.first(order)
+        which = chunks.indices.to_numpy().astype(np.int64)
+        place = {h: len(distinct) + k for k, h in enumerate(order)}
+        which[offsets[:-1]] = [place[h] for h in heads]
+        ids = np.frombuffer(b"".join(values), "<u4")
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[which]
+        row = gathered(ids, starts[which], lengths)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[offsets].tolist()
+        return [row[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
-    def __getitem__(self, key):
-        value = self.memo.get(key)
-        return self.extra[key] if value is None else value
+    def _later(self, chunks: list[str]) -> list[bytes]:
+        if len(self.young) > MEMO:
+            self.young, self.old = {}, self.young
+        values = list(map(self.young.get, chunks))
+        if None in values:
+            lost = [i for i, v in enumerate(values) if v is None]
+            new = []
+            for i in lost:
+                values[i] = self.old.get(chunks[i])
+                if values[i] is None:
+                    new.append(i)
+            for i, v in zip(new, self.later([chunks[i] for i in new]), strict=True):
+                values[i] = v
+            self.young.update((chunks[i], values[i]) for i in lost if len(chunks[i]) <= LONG)
+        return values

@@ -2,19 +2,40 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import buyerlens
 from buyerlens.session import shared_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, unless they find it by PYTHONPATH or working folder."""
+    root = Path(buyerlens.__file__).resolve().parents[1]
+    context = spark.sparkContext
+    found = [Path.cwd(), *(Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p)]
+    if root in found or getattr(context, "_buyerlens_shipped", False):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="buyerlens-"), "buyerlens.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted((root / "buyerlens").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    context.addPyFile(path)
+    context._buyerlens_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

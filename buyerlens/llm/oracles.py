@@ -2,4 +2,120 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP1 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+        FROM b WHERE len(w) > 0)
+),
+dw AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d JOIN (SELECT DISTINCT n FROM iw) s ON len(d.w) >= s.n)
+),
+m AS (SELECT DISTINCT doc_id, i, n, item_id FROM dw JOIN iw USING (win, n)),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id
+),
+it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+def _kind(k: int, kind: str, pattern: str, need: str, score: str, near: str) -> str:
+    """Spans of one kind: matches and the gaps between them give the places."""
+    return f"""
+SELECT doc_id, {k} AS k, '{kind}' AS kind, m, s, s + length(m) AS e, t, {score} AS base, '{near}' AS near, '{need}' AS edge
+FROM (
+  SELECT doc_id, t, ms[i] AS m,
+    CAST(coalesce(list_sum(list_transform(gs[1:i], lambda x: length(x))), 0)
+      + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+  FROM (SELECT doc_id, t, ms, gs, unnest(range(1, len(ms) + 1)) AS i
+        FROM (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gs FROM d))
+)"""
+
+
+_LUHN = """
+list_sum(list_transform(range(1, length(n) + 1), lambda i:
+  CASE WHEN i % 2 = 1 THEN CAST(substr(reverse(n), i, 1) AS INT)
+       WHEN CAST(substr(reverse(n), i, 1) AS INT) > 4 THEN 2 * CAST(substr(reverse(n), i, 1) AS INT) - 9
+       ELSE 2 * CAST(substr(reverse(n), i, 1) AS INT) END)) % 10 = 0"""
+
+_MOD97 = """
+list_reduce(list_concat([0], list_transform(string_split(substr(p, 5) || substr(p, 1, 4), ''), lambda c:
+  CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE TRY_CAST(c AS INT) END)),
+  lambda a, x: (a * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1"""
+
+OP3 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join([
+    _kind(1, "email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "", "0.9", "mail|contact|write"),
+    _kind(2, "ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "", "0.8", "address|host|server|login"),
+    _kind(3, "card", r"[0-9](?:[\x20-]?[0-9])+", "", "0.8", "card|credit|visa|payment|debit"),
+    _kind(4, "phone", r"\+[0-9][\x20().0-9-]+[0-9]", "", "0.7", "phone|call|tel|mobile|fax"),
+    _kind(5, "iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?", "[A-Za-z0-9]", "0.7",
+          "iban|account|bank|konto|compte|cuenta"),
+    _kind(6, "national", r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}", "[0-9+.-]", "0.3", "phone|call|tel|mobile|fax"),
+    _kind(7, "ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "[0-9-]", "0.3", "ssn|social"),
+])}),
+read AS (
+  SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS n, replace(m, ' ', '') AS p,
+    translate(substr(t, greatest(s - 40, 0) + 1, s - greatest(s - 40, 0)) || ' ' || substr(t, e + 1, 40),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS around,
+    CASE WHEN s > 0 THEN substr(t, s, 1) ELSE '' END AS b, substr(t, e + 1, 1) AS a
+  FROM found
+),
+sure AS (
+  SELECT doc_id, k, kind, s, e FROM read WHERE CASE kind
+    WHEN 'ip' THEN len(list_filter(string_split(m, '.'),
+      lambda x: length(ltrim(x, '0')) > 3 OR coalesce(TRY_CAST(ltrim(x, '0') AS INT), 0) > 255)) = 0
+    WHEN 'card' THEN CASE WHEN length(n) BETWEEN 13 AND 19 THEN {_LUHN} ELSE false END
+    WHEN 'phone' THEN length(n) BETWEEN 9 AND 15
+    WHEN 'iban' THEN CASE WHEN length(p) BETWEEN 15 AND 34 THEN {_MOD97} ELSE false END
+    WHEN 'ssn' THEN NOT regexp_matches(m, '^000|-00-|-0000')
+    ELSE true END
+  AND (k <= 4 OR (
+    NOT regexp_matches(b, edge) AND NOT regexp_matches(a, edge)
+    AND round(base + CASE WHEN regexp_matches(around, near) THEN 0.4 ELSE 0 END
+      - CASE WHEN regexp_matches(around, 'order|version|invoice|isbn|serial|part no') THEN 0.4 ELSE 0 END, 2) >= 0.5))
+),
+per AS (
+  SELECT doc_id, count(*) FILTER (k = 1) AS n_email, count(*) FILTER (k = 2) AS n_ip, count(*) FILTER (k = 3) AS n_card,
+    count(*) FILTER (k = 4) AS n_phone,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) FILTER (k <= 4) AS base,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) AS spans
+  FROM sure GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (doc_id)
+"""
+
+OP8 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op1_decontamination": OP1, "op3_pii": OP3, "op8_top_k": OP8}

@@ -31,7 +31,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from buyerlens.llm.bpe_words import ChunkMemo
-from buyerlens.llm.common import new_path, per_batch, text_or_empty, written
+from buyerlens.llm.common import new_path, per_batch, text_or_empty
 
 BLOCK_IDS = 1 << 18  # a block closes with the document that reaches this many ids
 STEP = 1 << 16  # ids that are spread into single bits at a time
@@ -82,7 +82,20 @@ class LibraryEncoder:
         self.tok.no_padding()
         self.size = self.tok.get_vocab_size()
         special = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
-        self.memo = ChunkMemo(self._encode, special)
+        self.memo = ChunkMemo(self._encode, self._encode_later, self._encode, special)
+
+    def _encode_later(self, chunks: list[str]) -> list[bytes]:
+        """Chunks that follow a space: many are encoded as one text and told apart by offsets."""
+        out: list[bytes] = []
+        for i in range(0, len(chunks), 4096):
+            part = chunks[i : i + 4096]
+            whole = self.tok.encode(" " + " ".join(part), add_special_tokens=False)
+            begins = np.cumsum([0, *(len(c) + 1 for c in part)])
+            at = np.fromiter((a for a, _ in whole.offsets), np.int64)
+            ids = np.array(whole.ids, dtype="<u4")
+            cuts = np.searchsorted(at, begins).tolist()
+            out += [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+        return out
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -91,10 +104,8 @@ class LibraryEncoder:
                 out.append(np.array(e.ids, dtype="<u4").tobytes())
         return out
 
-    def texts(self, texts: list[str]) -> list[bytes]:
-        plain = [self.memo.plain(t) for t in texts]
-        fast = iter(self.memo.values([t for t, p in zip(texts, plain, strict=True) if p]))
-        return [b"".join(next(fast)) if p else self._encode([t])[0] for t, p in zip(texts, plain, strict=True)]
+    def texts(self, texts: pa.Array) -> list[np.ndarray]:
+        return self.memo.encode(texts)
 
 
 @lru_cache(maxsize=2)
@@ -104,12 +115,10 @@ def encoder(name: str) -> LibraryEncoder:
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int | None, width: int, doc_id: str, text: str) -> DataFrame:
     """doc_id, n_tokens and packed ids of each text, the end id included."""
-    tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+    tail = np.array([] if end_id is None else [end_id], np.uint32)
 
     def run(columns: list[pa.Array]) -> dict:
-        enc = encoder(tokenizer)
-        texts = columns[1].to_pylist()
-        ids = [np.frombuffer(raw + tail, "<u4") for i in range(0, len(texts), 512) for raw in enc.texts(texts[i : i + 512])]
+        ids = [np.concatenate([x, tail]) for x in encoder(tokenizer).texts(columns[1])]
         return {"doc_id": columns[0], "n_tokens": [len(x) for x in ids], "packed": [pack(x, width) for x in ids]}
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
@@ -129,18 +138,37 @@ def write_files(
     Texts are encoded where they lie; only packed ids move, to ranges of doc_id.
     """
     width = width_of(encoder(tokenizer).size)
-    # Written once: finding the ranges would otherwise encode everything a second time.
-    rows = written(encoded(docs, tokenizer, end_id, width, doc_id, text), "token-ids")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Ranges of doc_id hold about as many documents each; they come from the ids alone, so texts are
+    # encoded once and packed ids move once.
+    shares = [i / parts for i in range(1, parts)]
+    bounds = docs.agg(F.percentile_approx(F.col(doc_id).cast("long"), shares or [0.5], 10 * parts)).head()[0]
+    bounds = sorted(set(bounds or []))
+    rows = encoded(docs, tokenizer, end_id, width, doc_id, text)
+    part = F.coalesce(range_of(bounds)(F.col("doc_id")), F.lit(0))
     placed = (
-        rows.withColumn("tie", F.xxhash64("packed"))
-        .repartitionByRange("doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie")
-        .select(F.spark_partition_id().cast("long").alias("part"), "doc_id", "n_tokens", "packed")
+        rows.withColumn("part", part)
+        .repartitionById(len(bounds) + 1, F.col("part").cast("int"))
+        .withColumn("tie", F.xxhash64("packed"))
+        .sortWithinPartitions("part", "doc_id", "tie")
+        .select("part", "doc_id", "n_tokens", "packed")
     )
     placed.mapInArrow(
         _blocks(width),
         "part long, block long, first long, doc_ids array<long>, offsets array<long>, width int, packed binary",
-    ).write.option("compression", "none").parquet(path)
+    ).write.option("compression", "zstd").parquet(path)
+
+
+def range_of(bounds: list[int]):
+    """Number of bounds that are at most the id, by bisection in column expressions."""
+
+    def find(col, low: int, high: int):
+        if low == high:
+            return F.lit(low).cast("long")
+        mid = (low + high) // 2
+        return F.when(col >= bounds[mid], find(col, mid + 1, high)).otherwise(find(col, low, mid))
+
+    return lambda col: F.when(col.isNotNull(), find(col, 0, len(bounds)))
 
 
 def _blocks(width: int):
@@ -210,7 +238,8 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
             out["ids_crc32"] += [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(at, at[1:], strict=False)]
         return out
 
-    rows = blocks.join(before, "part").select("before", "first", "doc_ids", "offsets", "width", "packed")
+    # One row per file: the number of files is the bound of what is broadcast.
+    rows = blocks.join(F.broadcast(before), "part").select("before", "first", "doc_ids", "offsets", "width", "packed")
     return per_batch(rows, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
