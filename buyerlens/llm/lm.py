@@ -1,18 +1,18 @@
 """Language-model scores: prediction by partial matching over bytes, and a word-count baseline.
 
-The model is a byte-context trie of depth three (contexts of two, one and no bytes), trained on the whole
-training part. Blending is PPM with escape method C and symbol exclusion: in a context seen n times with u
-different symbols a symbol seen c times has probability c / (n + u), and u / (n + u) escapes to the context
-one byte shorter, where the symbols of the longer one no longer count. Below the empty context the
-remaining byte values are equally likely. Texts begin in a context of two end marks and end with one; the
-mark is byte 255, which UTF-8 never uses.
+The model is a byte-context trie of depth six (contexts of five to no bytes), trained on the whole training
+part. Blending is PPM with escape method C and symbol exclusion: in a context seen n times with u different
+symbols a symbol seen c times has probability c / (n + u), and u / (n + u) escapes to the context one byte
+shorter, where the symbols of the longer one no longer count. Below the empty context the remaining byte
+values are equally likely. Contexts begin anew after each white-space byte, which is predicted like any
+other byte; a text ends with an end mark, byte 255, which UTF-8 never uses.
 
-The depth is chosen so that the trie has a proven bound: 2^24 leaves at most, however large the corpus,
-and about a million where a hundred byte values occur. The code length of every leaf is computed once and
-shipped as one table of at most 68 MB; deeper tries have no such bound.
-
-Word counts have no bound. Words frequent enough that at most ``HEAD`` of them qualify are shipped; all
-others are joined, so frequent words cause no skew and rare ones need no memory.
+So a text is a row of pieces, each closed by a white-space byte or the end, and a piece's code length is
+the same wherever it stands. Pieces are counted over all documents, the trie is summed from the distinct
+pieces, each distinct piece is scored once, and texts add up the scores of their pieces. Trie, piece and
+word tables grow with the corpus and stay tables; only their most frequent rows are shipped to the workers
+(``GRAMS`` and ``PIECES`` rows at most), and all others are joined, so frequent pieces cause no skew and
+rare ones need no memory. Both ways give the same numbers.
 
 A-Z are lowered first. Null texts are empty (one token, the end); an empty training part gives a uniform
 model and zero counts; repeated rows are scored each; other columns are ignored.
@@ -20,6 +20,7 @@ model and zero counts; repeated rows are scored each; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -29,142 +30,246 @@ from pyspark.sql.functions import arrow_udf
 
 from buyerlens.llm.common import per_batch, text_or_empty, written
 
-MARK = 255
-HEAD = 1 << 17  # words shipped to every worker, of at most HEAD_BYTES bytes each
-HEAD_BYTES = 64
-STEP = 1 << 22  # bytes whose contexts are looked up at a time
+ORDER = 5
+CLOSERS = bytes([9, 10, 11, 12, 13, 32, 255])  # white space and the end mark
+LINE, SPACE, END = 1, 5, 6  # places in CLOSERS
+GRAMS = 1 << 19
+PIECES = 1 << 18
+PIECE_BYTES = 64  # longer pieces are not shipped
+_RARE = re.compile(rb"[\t\x0b\x0c\r]")
+_ANY = re.compile(rb"([\t-\r ])")
+_NONE = (1 << 48) - 1  # six end marks: the context before a piece
 
 
-def stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts as one row of bytes, two marks before, between and after; and each text's length."""
-    joined = b"\xff\xff" + b"".join(t + b"\xff\xff" for t in texts)
-    return np.frombuffer(joined, np.uint8), np.array([len(t) for t in texts], np.int64)
+def pieces_of(text: bytes) -> tuple[list[bytes], list[tuple[bytes, int]]]:
+    """Pieces closed by a space, and the others with the place of what closes them."""
+    if _RARE.search(text):
+        parts = _ANY.split(text)
+        return [], [(p, CLOSERS.index(c)) for p, c in zip(parts[::2], [*parts[1::2], b"\xff"], strict=True)]
+    spaced: list[bytes] = []
+    others = []
+    for line in text.split(b"\n"):
+        row = line.split(b" ")
+        others.append((row.pop(), LINE))
+        spaced += row
+    others[-1] = (others[-1][0], END)
+    return spaced, others
 
 
-def batches_of(texts: list[bytes]):
-    """Runs of texts of about STEP bytes."""
-    run, size = [], 0
+def piece_counts(texts: list[bytes]) -> dict[tuple[bytes, int], int]:
+    spaced: Counter[bytes] = Counter()
+    others: Counter[tuple[bytes, int]] = Counter()
     for t in texts:
-        run.append(t)
-        size += len(t) + 2
-        if size >= STEP:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
-
-
-def trigram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes (two context bytes and the symbol) of all symbols of the texts, marks at ends included."""
-    total: dict[int, int] = Counter()
-    for run in batches_of(texts):
-        data, lengths = stream(run)
-        used = np.flatnonzero(np.bincount(data, minlength=256))
-        place = np.zeros(256, np.int64)
-        place[used] = np.arange(len(used))
-        at = place[data]
-        n = len(used)
-        codes = (at[:-2] * n + at[1:-1]) * n + at[2:]
-        # The second mark behind a text is no symbol.
-        codes[np.cumsum(lengths + 2) - 1] = n**3
-        counts = np.bincount(codes, minlength=n**3 + 1)[: n**3]
-        seen = np.flatnonzero(counts)
-        a, rest = np.divmod(seen, n * n)
-        b, c = np.divmod(rest, n)
-        for code, k in zip((used[a] << 16 | used[b] << 8 | used[c]).tolist(), counts[seen].tolist(), strict=True):
-            total[code] += k
-    return np.fromiter(total.keys(), np.int64, len(total)), np.fromiter(total.values(), np.int64, len(total))
-
-
-class Trie:
-    """log10 probability of each symbol after each context of two bytes."""
-
-    def __init__(self, codes: np.ndarray, counts: np.ndarray):
-        symbols = np.unique(np.concatenate([codes >> 16, codes >> 8 & 255, codes & 255])) if len(codes) else codes
-        self.n = len(symbols) + 1  # the last place stands for every byte value never seen
-        self.place = np.full(256, len(symbols), np.int64)
-        self.place[symbols] = np.arange(len(symbols))
-        n, m = self.n, len(symbols)
-        c1 = np.zeros((n, n))
-        a, b, c = (self.place[codes >> s & 255] for s in (16, 8, 0))
-        np.add.at(c1, (b, c), counts)
-        c0 = c1.sum(axis=0)
-        order = np.argsort(a, kind="stable")
-        cuts = np.searchsorted(a[order], np.arange(n + 1))
-        # Order -1: byte values that the empty context has not seen; the marks are byte values too.
-        rest = np.where(c0 > 0, 0.0, 1.0 / max(1, 256 - m))
-        p0 = self._blend(c0[None, :], np.zeros((1, n), bool), rest[None, :])[0]
-        table = np.empty((n, n, n), np.float32)
-        for i in range(n):
-            c2 = np.zeros((n, n))
-            own = order[cuts[i] : cuts[i + 1]]
-            np.add.at(c2, (b[own], c[own]), counts[own])
-            # Symbols of the longer context are excluded in the shorter ones.
-            seen2, seen1 = c2 > 0, c1 > 0
-            low = self._blend(np.broadcast_to(c0, (n, n)), seen2 | seen1, np.broadcast_to(rest, (n, n)))
-            mid = self._blend(c1, seen2, low)
-            table[i] = np.log10(self._blend(c2, np.zeros((n, n), bool), mid))
-        self.first = p0
-        self.table = table.ravel()
-
-    @staticmethod
-    def _blend(counts: np.ndarray, excluded: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        """Probabilities of one order; ``shorter`` are those after an escape."""
-        left = np.where(excluded, 0.0, counts)
-        n = left.sum(axis=1, keepdims=True)
-        u = (left > 0).sum(axis=1, keepdims=True)
-        total = np.maximum(n + u, 1)
-        escape = np.where(n > 0, u / total, 1.0)  # nothing left: the escape is certain
-        return np.where(left > 0, left / total, escape * shorter)
-
-    def scores(self, texts: list[bytes]) -> list[float]:
-        """log10 probability of each text and its end."""
-        out: list[float] = []
-        for run in batches_of(texts):
-            data, lengths = stream(run)
-            at = self.place[data]
-            n = self.n
-            logs = self.table[(at[:-2] * n + at[1:-1]) * n + at[2:]].astype(np.float64)
-            ends = np.cumsum(lengths + 2)
-            logs[ends - 1] = 0.0
-            out += np.add.reduceat(logs, np.concatenate([[0], ends[:-1]])).tolist()
-        return out
+        a, b = pieces_of(t)
+        spaced.update(a)
+        others.update(b)
+    return {(p, SPACE): n for p, n in spaced.items()} | others
 
 
 def _counted(texts: DataFrame) -> DataFrame:
-    """(word, code, n): counts of words and, where word is null, of byte trigrams."""
+    """(piece, w, n, c0 .. c6): occurrences in training, in all texts, and in training by closer.
+
+    A closer that follows a piece outside training only has count zero, one that never follows it null.
+    """
 
     def run(columns: list[pa.Array]) -> dict:
         texts = [t.encode().lower() for t in columns[0].to_pylist()]
-        words: Counter[bytes] = Counter()
-        for t in texts:
-            words.update(t.split())
-        codes, counts = trigram_counts(texts)
+        train = columns[1].to_pylist()
+        learned = piece_counts([t for t, x in zip(texts, train, strict=True) if x])
+        rest = piece_counts([t for t, x in zip(texts, train, strict=True) if not x])
+        keys = [*learned, *(k for k in rest if k not in learned)]
         return {
-            "word": pa.concat_arrays([pa.array(list(words), pa.binary()).cast(pa.string()), pa.nulls(len(codes), pa.string())]),
-            "code": np.concatenate([np.full(len(words), -1), codes]),
-            "n": np.concatenate([np.fromiter(words.values(), np.int64, len(words)), counts]),
+            "piece": pa.array([p for p, _ in keys], pa.binary()).cast(pa.string()),
+            "closer": [c for _, c in keys],
+            "w": [learned.get(k, 0) for k in keys],
+            "n": [learned.get(k, 0) + rest.get(k, 0) for k in keys],
         }
 
-    return per_batch(texts, run, "word string, code long, n long").groupBy("word", "code").agg(F.sum("n").alias("n"))
+    rows = per_batch(texts, run, "piece string, closer int, w long, n long")
+    by_closer = [F.sum(F.when(F.col("closer") == i, F.col("w"))).alias(f"c{i}") for i in range(len(CLOSERS))]
+    return rows.groupBy("piece").agg(F.sum("w").alias("w"), F.sum("n").alias("n"), *by_closer)
+
+
+def gram_keys(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Six-byte keys (context and symbol) of all bytes of the pieces, their owners, and each piece's last key."""
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    pad = b"\xff" * ORDER
+    data = np.frombuffer(b"".join(pad + p for p in pieces), np.uint8).astype(np.int64)
+    total = sizes + ORDER
+    begin = np.cumsum(total) - total + ORDER
+    ends = np.cumsum(sizes)
+    at = np.repeat(begin - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+    keys = np.zeros(len(at), np.int64)
+    for k in range(ORDER + 1):
+        keys |= data[at - k] << (8 * k)
+    last = np.full(len(pieces), _NONE, np.int64)
+    some = sizes > 0
+    last[some] = keys[ends[some] - 1]
+    return keys, np.repeat(np.arange(len(pieces)), sizes), last
 
 
-def _head(words: DataFrame, limit: int) -> tuple[dict[bytes, int], int]:
-    """The words with at least ``least`` occurrences, ``least`` so chosen that at most ``limit`` qualify."""
-    level = F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
-    sizes = words.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least"))
-    least, total = (1 << 62), 0
+def closing_keys(last: np.ndarray, closer: int) -> np.ndarray:
+    return (last & ((1 << 8 * ORDER) - 1)) << 8 | CLOSERS[closer]
+
+
+def _grams(pieces: DataFrame) -> DataFrame:
+    """(key, c): how often training has each context and symbol; zero if only other texts have it."""
+
+    def run(columns: list[pa.Array]) -> dict:
+        keys, owner, last = gram_keys([p.encode() for p in columns[0].to_pylist()])
+        all_keys, all_counts = [keys], [columns[1].to_numpy()[owner]]
+        for i, column in enumerate(columns[2:]):
+            some = column.is_valid().to_numpy(zero_copy_only=False)
+            all_keys.append(closing_keys(last[some], i))
+            all_counts.append(column.drop_null().to_numpy())
+        found, place = np.unique(np.concatenate(all_keys), return_inverse=True)
+        return {"key": found, "c": np.bincount(place, np.concatenate(all_counts), len(found)).astype(np.int64)}
+
+    columns = ["piece", "w", *[f"c{i}" for i in range(len(CLOSERS))]]
+    return per_batch(pieces.select(*columns), run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+
+
+def _context(order: int, ctx: str = "ctx") -> Column:
+    return F.col(ctx).bitwiseAND((1 << 8 * order) - 1)
+
+
+def gram_scores(grams: DataFrame) -> DataFrame:
+    """(key, c, lp): log10 probability of each symbol in its context of five bytes."""
+    split = grams.select("key", "c", F.shiftright("key", 8).alias("ctx"), F.col("key").bitwiseAND(255).alias("sym"))
+    counts = {ORDER: written(split.filter("c > 0").select("ctx", "sym", "c"), "trie-counts")}
+    for j in range(ORDER - 1, -1, -1):
+        counts[j] = written(
+            counts[j + 1].groupBy(_context(j).alias("ctx"), "sym").agg(F.sum("c").alias("c")), "trie-counts"
+        )
+    stats = {0: counts[0].groupBy("ctx").agg(F.sum("c").alias("n"), F.count("c").alias("u"), F.lit(0).cast("long").alias("e"))}
+    for j in range(1, ORDER + 1):
+        # e: how often the next shorter context was followed by symbols that this one has seen.
+        own = counts[j].select("ctx", "sym", "c", _context(j - 1).alias("y"))
+        low = counts[j - 1].select(F.col("ctx").alias("y"), "sym", F.col("c").alias("low"))
+        stats[j] = own.join(_small(low, j - 1), ["y", "sym"]).groupBy("ctx").agg(
+            F.sum("c").alias("n"), F.count("c").alias("u"), F.sum("low").alias("e")
+        )
+    stats = {j: written(s, "trie-stats") for j, s in stats.items()}
+    seen = (
+        split.filter("c > 0")
+        .join(stats[ORDER], "ctx")
+        .select("key", "c", F.log10(F.col("c") / (F.col("n") + F.col("u"))).alias("lp"))
+    )
+    zero = F.lit(0).cast("long")
+    walk = split.filter("c = 0").select(
+        "key", "ctx", "sym", F.lit(0.0).alias("lp"), F.lit(False).alias("done"), zero.alias("ux"), zero.alias("ex")
+    )
+    for j in range(ORDER, -1, -1):
+        s = stats[j].select(F.col("ctx").alias("y"), "n", "u", "e")
+        k = counts[j].select(F.col("ctx").alias("y"), "sym", "c")
+        walk = (
+            walk.withColumn("y", _context(j))
+            .join(_small(s, j - 1), "y", "left")
+            .join(_small(k, j), ["y", "sym"], "left")
+            .withColumn("n2", F.coalesce("n", zero) - F.col("ex"))
+            .withColumn("u2", F.coalesce("u", zero) - F.col("ux"))
+            .select(
+                "key",
+                "ctx",
+                "sym",
+                F.when(F.col("done"), F.col("lp"))
+                .when(F.col("c").isNotNull(), F.col("lp") + F.log10(F.col("c") / (F.col("n2") + F.col("u2"))))
+                .when(F.col("n2") > 0, F.col("lp") + F.log10(F.col("u2") / (F.col("n2") + F.col("u2"))))
+                .otherwise(F.col("lp"))  # nothing left in this context: the escape is certain
+                .alias("lp"),
+                (F.col("done") | F.col("c").isNotNull()).alias("done"),
+                F.coalesce("u", zero).alias("ux"),
+                F.coalesce("e", zero).alias("ex"),
+            )
+        )
+    rest = F.when(F.col("done"), 0.0).otherwise(F.log10(256 - F.col("ux")))
+    return seen.union(walk.select("key", zero.alias("c"), (F.col("lp") - rest).alias("lp")))
+
+
+def _small(df: DataFrame, order: int) -> DataFrame:
+    """Tables over contexts and symbols of at most 65,536 values are sent whole: that is their bound."""
+    return F.broadcast(df) if order <= 1 else df
+
+
+def least_count(df: DataFrame, col: str, limit: int) -> int:
+    """The smallest count such that at most ``limit`` rows reach it (of the levels looked at)."""
+    level = F.floor(F.log2(F.col(col).cast("double")) * 8).cast("int")
+    sizes = df.filter(F.col(col) > 0).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("k"), F.min(col).alias("least"))
+    least, total = 1 << 62, 0
     for row in sorted(sizes.collect(), key=lambda r: -r["level"]):  # a few hundred levels at most
         total += row["k"]
         if total > limit:
             break
         least = row["least"]
-    head = words.filter((F.col("n") >= least) & (F.octet_length("word") <= HEAD_BYTES)).toArrow()
-    return {w.encode(): n for w, n in zip(head["word"].to_pylist(), head["n"].to_pylist(), strict=True)}, least
+    return least
+
+
+def _piece_scores(pieces: DataFrame, scores: DataFrame, limit: int) -> DataFrame:
+    """(piece, w, n, body, tails): log10 probability of the piece's bytes, and of each closer after it."""
+    least = least_count(scores, "c", limit)
+    head = scores.filter(F.col("c") >= least).select("key", "lp").toArrow()
+    order = np.argsort(head["key"].to_numpy())
+    shipped = pieces.sparkSession.sparkContext.broadcast((head["key"].to_numpy()[order], head["lp"].to_numpy()[order]))
+
+    def run(columns: list[pa.Array]) -> dict:
+        known, lps = shipped.value
+
+        def looked_up(keys: np.ndarray) -> np.ndarray:
+            at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
+            return np.where(known[at] == keys, lps[at], np.nan) if len(known) else np.full(len(keys), np.nan)
+
+        texts = [p.encode() for p in columns[1].to_pylist()]
+        keys, owner, last = gram_keys(texts)
+        lp = looked_up(keys)
+        gone = np.isnan(lp)
+        body = np.bincount(owner[~gone], lp[~gone], len(texts))
+        tails = np.zeros((len(texts), len(CLOSERS)))
+        key, who, where = [keys[gone]], [owner[gone]], [np.full(gone.sum(), -1)]
+        for i, column in enumerate(columns[2:]):
+            some = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+            own = closing_keys(last[some], i)
+            lp = looked_up(own)
+            gone = np.isnan(lp)
+            tails[some, i] = np.where(gone, 0.0, lp)
+            key.append(own[gone])
+            who.append(some[gone])
+            where.append(np.full(gone.sum(), i))
+        key, who, where = np.concatenate(key), np.concatenate(who), np.concatenate(where)
+        order = np.argsort(who, kind="stable")
+        ends = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(texts)))]).astype(np.int32)
+        lists = lambda v: pa.ListArray.from_arrays(pa.array(ends), pa.array(v[order]))
+        closes = np.arange(len(texts) + 1, dtype=np.int32) * len(CLOSERS)
+        return {
+            "id": columns[0],
+            "body": body,
+            "tails": pa.ListArray.from_arrays(pa.array(closes), pa.array(tails.ravel())),
+            "keys": lists(key),
+            "places": lists(where),
+        }
+
+    closers = [f"c{i}" for i in range(len(CLOSERS))]
+    parts = per_batch(
+        pieces.select("id", "piece", *closers), run, "id long, body double, tails array<double>, keys array<long>, places array<long>"
+    )
+    parts = written(parts, "piece-parts")
+    rare = parts.select("id", F.explode(F.arrays_zip("keys", "places")).alias("g"))
+    rare = rare.select("id", F.col("g.keys").alias("key"), F.col("g.places").alias("place"))
+    added = rare.join(scores.filter(F.col("c") < least).select("key", "lp"), "key")
+    sums = [F.sum(F.when(F.col("place") == i, F.col("lp")).otherwise(0.0)).alias(f"p{i}") for i in range(len(CLOSERS))]
+    added = added.groupBy("id").agg(F.sum(F.when(F.col("place") < 0, F.col("lp")).otherwise(0.0)).alias("b"), *sums)
+    tails = F.array(*[F.element_at("tails", i + 1) + F.coalesce(f"p{i}", F.lit(0.0)) for i in range(len(CLOSERS))])
+    full = parts.select("id", "body", "tails").join(added, "id", "left")
+    full = full.select("id", (F.col("body") + F.coalesce("b", F.lit(0.0))).alias("body"), tails.alias("tails"))
+    return pieces.select("id", "piece", "w", "n").join(full, "id").drop("id")
 
 
 def score_documents(
-    docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", head: int = HEAD
+    docs: DataFrame,
+    training: Column,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    grams: int = GRAMS,
+    pieces: int = PIECES,
 ) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``.
 
@@ -173,63 +278,81 @@ def score_documents(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_or_empty(text).alias("text"), training.alias("train"))
-    counted = written(_counted(rows.filter("train").select("text")), "lm-counts")
-    words = counted.filter(F.col("word").isNotNull()).select("word", "n")
-    grams = counted.filter(F.col("word").isNull()).select("code", "n").toArrow()  # at most 2^24 rows
-    trie = Trie(grams["code"].to_numpy(), grams["n"].to_numpy())
-    ends = rows.filter("train").count()
-    n_words, v_words = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).head()
+    counted = _counted(rows.select("text", "train")).withColumn("id", F.monotonically_increasing_id())
+    counted = written(counted, "lm-pieces")
+    scores = written(gram_scores(written(_grams(counted), "lm-grams")), "lm-gram-scores")
+    table = written(_piece_scores(counted, scores, grams), "lm-piece-scores")
+    words = table.filter((F.col("piece") != "") & (F.col("w") > 0))
+    ends = counted.agg(F.coalesce(F.sum(f"c{END}"), F.lit(0))).head()[0]
+    n_words, v_words = words.agg(F.coalesce(F.sum("w"), F.lit(0)), F.count(F.lit(1))).head()
     n_all, v_all = n_words + ends, v_words + (ends > 0)
-    frequent, least = _head(words, head)
-    shipped = spark.sparkContext.broadcast((trie, frequent))
+    least = least_count(table, "n", pieces)
+    frequent = (F.col("n") >= least) & (F.octet_length("piece") <= PIECE_BYTES)
+    head = table.filter(frequent).select("piece", "w", "body", "tails").toArrow()
+    flat = head["tails"].combine_chunks().flatten().to_numpy().reshape(-1, len(CLOSERS))
+    head = {
+        p.encode(): (float(np.log10(w + 1)), w > 0 and p != "", t)
+        for p, w, t in zip(
+            head["piece"].to_pylist(), head["w"].to_pylist(), flat + head["body"].to_numpy()[:, None], strict=True
+        )
+    }
+    shipped = spark.sparkContext.broadcast(head)
+    end_log = float(np.log10(ends + 1))
 
-    @arrow_udf("n_tokens long, known long, logs double, score double, words array<string>, counts array<long>")
+    @arrow_udf("n_tokens long, known long, logs double, score double, pieces array<string>, closers array<int>, counts array<long>")
     def scored(texts: pa.Array) -> pa.Array:
-        trie, frequent = shipped.value
-        raw = [t.encode().lower() for t in map(pa.StringScalar.as_py, texts)]
-        out: tuple[list, ...] = ([], [], [], [], [])
-        for t in raw:
-            tokens = t.split()
-            found = Counter(tokens)
-            rare = [w for w in found if w not in frequent]
-            k = sum(found[w] for w in rare)
-            n = np.array([(found[w], frequent[w]) for w in found if w in frequent], np.float64).reshape(-1, 2)
-            out[0].append(len(tokens) + 1)
-            out[1].append(len(tokens) - k + (ends > 0))
-            out[2].append(float(n[:, 0] @ np.log10(n[:, 1] + 1)) + float(np.log10(ends + 1)))
-            out[3].append(rare)
-            out[4].append([found[w] for w in rare])
-        return pa.StructArray.from_arrays(
-            [
-                pa.array(out[0], pa.int64()),
-                pa.array(out[1], pa.int64()),
-                pa.array(out[2], pa.float64()),
-                pa.array(trie.scores(raw), pa.float64()),
-                pa.array(out[3], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                pa.array(out[4], pa.list_(pa.int64())),
-            ],
-            names=["n_tokens", "known", "logs", "score", "words", "counts"],
-        )
+        head = shipped.value
+        out: tuple[list, ...] = ([], [], [], [], [], [], [])
+        for t in map(pa.StringScalar.as_py, texts):
+            spaced, others = pieces_of(t.encode().lower())
+            found = [((p, SPACE), n) for p, n in Counter(spaced).items()] + list(Counter(others).items())
+            tokens, known, logs, score = 1, int(ends > 0), end_log, 0.0
+            rare = []
+            for (p, closer), n in found:
+                if p:
+                    tokens += n
+                entry = head.get(p)
+                if entry is None:
+                    rare.append((p, closer, n))
+                    continue
+                score += n * entry[2][closer]
+                if entry[1]:
+                    known += n
+                    logs += n * entry[0]
+            for column, value in zip(
+                out,
+                (tokens, known, logs, score, [x[0] for x in rare], [x[1] for x in rare], [x[2] for x in rare]),
+                strict=True,
+            ):
+                column.append(value)
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+        arrays = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+        arrays[4] = arrays[4].cast(pa.list_(pa.string()))
+        return pa.StructArray.from_arrays(arrays, names=["n_tokens", "known", "logs", "score", "pieces", "closers", "counts"])
 
     marked = rows.select("doc_id", "train", F.monotonically_increasing_id().alias("row"), scored("text").alias("s"))
     marked = written(marked, "lm-scored")
-    rare = marked.select("row", F.explode(F.arrays_zip("s.words", "s.counts")).alias("w")).select(
-        "row", F.col("w.words").alias("word"), F.col("w.counts").alias("k")
-    )
-    tail = words.filter((F.col("n") < least) | (F.octet_length("word") > HEAD_BYTES))
+    rare = marked.select("row", F.explode(F.arrays_zip("s.pieces", "s.closers", "s.counts")).alias("x"))
+    rare = rare.select("row", F.col("x.pieces").alias("piece"), F.col("x.closers").alias("closer"), F.col("x.counts").alias("k"))
+    tail = table.filter(~frequent).select("piece", "w", "body", "tails")
+    known = (F.col("piece") != "") & (F.col("w") > 0)
     added = (
-        rare.join(tail, "word")
+        rare.join(tail, "piece")
         .groupBy("row")
-        .agg(F.sum("k").alias("known"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("logs"))
+        .agg(
+            F.sum(F.when(known, F.col("k")).otherwise(0)).alias("known"),
+            F.sum(F.when(known, F.col("k") * F.log10(F.col("w") + 1)).otherwise(0.0)).alias("logs"),
+            F.sum(F.col("k") * (F.col("body") + F.element_at("tails", F.col("closer") + 1))).alias("score"),
+        )
     )
     total = float(np.log10(n_all + v_all + 1))
-    n_tokens = F.col("s.n_tokens")
-    return marked.join(added.select("row", "known", "logs"), "row", "left").select(
+    both = lambda c, none: F.col(f"s.{c}") + F.coalesce(c, none)
+    return marked.join(added, "row", "left").select(
         "doc_id",
         "train",
-        n_tokens.alias("n_tokens"),
-        (F.col("s.known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        F.col("s.n_tokens").alias("n_tokens"),
+        both("known", F.lit(0)).cast("long").alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("s.logs") + F.coalesce("logs", F.lit(0.0)) - n_tokens * F.lit(total)).alias("base_score"),
-        F.col("s.score").alias("score"),
+        (both("logs", F.lit(0.0)) - F.col("s.n_tokens") * F.lit(total)).alias("base_score"),
+        both("score", F.lit(0.0)).alias("score"),
     )

@@ -180,12 +180,12 @@ def redacted(docs: DataFrame, text: str = "text", least: float = LEAST) -> DataF
 
     A null text stays null.
     """
-    names = docs.columns
-    rows = with_spans(docs, text, "__spans", least)
-    body = F.col(f"`{text}`")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = with_spans(docs.select(whole.alias("doc"), F.col(f"`{text}`").cast("string").alias("body")), "body", "spans", least)
     by_start = F.array_sort(
-        F.transform("__spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind")))
+        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind")))
     )
+    body = F.col("body")
     # Left to right: the text so far, and the end of the last span.
     state = F.aggregate(
         by_start,
@@ -201,5 +201,5 @@ def redacted(docs: DataFrame, text: str = "text", least: float = LEAST) -> DataF
         ).otherwise(F.struct(a["done"].alias("done"), F.greatest(a["at"], -s["back"]).alias("at"))),
         lambda a: F.concat(a["done"], F.substring(body, a["at"] + 1, F.length(body) - a["at"])),
     )
-    clean = F.when(F.size("__spans") > 0, state).otherwise(body)
-    return rows.withColumn(text, clean).select(*[f"`{c}`" for c in names])
+    clean = F.when(F.size("spans") > 0, state).otherwise(body)
+    return rows.select(*[(clean if c == text else F.col("doc").getField(c)).alias(c) for c in docs.columns])
