@@ -56,14 +56,16 @@ def pieces_of(text: bytes) -> tuple[list[bytes], list[tuple[bytes, int]]]:
     return spaced, others
 
 
-def piece_counts(texts: list[bytes]) -> dict[tuple[bytes, int], int]:
+def piece_counts(texts: list[bytes]) -> Counter[tuple[bytes, int]]:
     spaced: Counter[bytes] = Counter()
     others: Counter[tuple[bytes, int]] = Counter()
     for t in texts:
         a, b = pieces_of(t)
         spaced.update(a)
         others.update(b)
-    return {(p, SPACE): n for p, n in spaced.items()} | others
+    for p, n in spaced.items():
+        others[p, SPACE] += n
+    return others
 
 
 def _counted(texts: DataFrame) -> DataFrame:

@@ -118,7 +118,7 @@ def sample_labels(labels: DataFrame, label: str, doc_id: str, size: int = SAMPLE
     share = {y: min(1.0, size / n) for y, n in counts.items()}
     part = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1_000_000)) / 1e6
     rate = F.when(F.col("y") == 1, F.lit(share.get(1, 0.0))).otherwise(F.lit(share.get(0, 0.0)))
-    return one.filter(F.col("y").isin(0, 1) & (part < rate)).withColumn("w", 1 / rate)
+    return one.filter(F.col("y").isin(0, 1) & (part < rate)).withColumn("w", F.try_divide(F.lit(1.0), rate))
 
 
 def _vocabulary(sample: DataFrame, size: int) -> list[str]:
