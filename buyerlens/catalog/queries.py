@@ -415,12 +415,7 @@ def _found(spark, sf):
 @query
 def find_all_words(spark, sf):
     docs, words = _found(spark, sf)
-    listed = moderation.bounded_words(words)
-    if listed is None:
-        found = moderation.find_words_joined(docs, "doc_id", "text", words)
-    else:
-        found = docs.select("doc_id", moderation.found_words("text", listed).alias("found"))
-    return found.filter(F.size("found") > 0)
+    return moderation.find_words(docs, "doc_id", "text", words)
 
 
 @query
@@ -431,7 +426,7 @@ def find_words_joined(spark, sf):
 
 def _moderated(spark, sf):
     heads = t.tail_words(spark, sf).select(F.col("value").alias("word"))
-    p1 = moderation.bounded_words(moderation.load_dictionary(t.bench_words(spark, sf)))
+    p1 = moderation.load_dictionary(t.bench_words(spark, sf))
     return comments.moderated(t.doc_comments(spark, sf), heads, p1)
 
 

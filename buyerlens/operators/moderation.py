@@ -6,8 +6,7 @@ a P0 finding contains listed words anywhere. Only P0 rows count as violations.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,11 +14,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from buyerlens.functions.text import last_token
 
-# Up to this many words a word automaton is shipped to the Python workers (measured about ten times
-# faster than a JVM alternation of 40 words); larger dictionaries stay distributed and are joined.
-MAX_SHIPPED_WORDS = 200_000
-# Size of the prefix filter the joined search ships, whatever the size of the dictionary.
-FILTER_SLOTS = 1 << 20
+# Size of the filter the word search ships, whatever the size of the dictionary: 2^23 bits, one megabyte.
+FILTER_BITS = 23
 
 
 def flag_membership(
@@ -66,78 +62,27 @@ def moderate(
     )
 
 
-def bounded_words(
-    dictionary: DataFrame, limit: int = MAX_SHIPPED_WORDS, dict_col: str = "word"
-) -> list[str] | None:
-    """The distinct words, or None if there are more than ``limit`` (at most limit + 1 are fetched)."""
-    words = (
-        dictionary.select(dict_col).filter(F.col(dict_col) != "").distinct().limit(limit + 1).collect()
-    )
-    return None if len(words) > limit else sorted(r[0] for r in words)
-
-
-def found_words(text: Column | str, words: list[str]) -> Column:
-    """All listed words in a text as an array: left to right, longest first, not overlapping."""
-    text = F.col(text) if isinstance(text, str) else text
-    if not words:
-        return F.array().cast("array<string>")
-
-    @F.pandas_udf("array<string>")
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scan = word_scanner(words)  # once per task
-        for texts in batches:
-            yield texts.map(lambda t: None if t is None else scan(t))
-
-    return find(text)
-
-
-def word_scanner(words: list[str]) -> Callable[[str], list[str]]:
-    """Leftmost-longest search for the words, linear in the text."""
-    try:
-        import ahocorasick
-    except ImportError:
-        longest_first = sorted(words, key=lambda w: (-len(w), w))
-        return re.compile("|".join(map(re.escape, longest_first))).findall
-    auto = ahocorasick.Automaton()
-    for w in words:
-        auto.add_word(w, len(w))
-    auto.make_automaton()
-
-    def scan(text: str) -> list[str]:
-        # All occurrences as (start, -length): the leftmost first, of those the longest.
-        out, free = [], 0
-        for start, neg in sorted((end - n + 1, -n) for end, n in auto.iter(text)):
-            if start >= free:
-                free = start - neg
-                out.append(text[start:free])
-        return out
-
-    return scan
-
-
-def find_words_joined(
+def find_words(
     df: DataFrame, row_id: str, text_col: str, dictionary: DataFrame, dict_col: str = "word"
 ) -> DataFrame:
-    """The same finds for a dictionary of any size (static input): row_id and ``found``, hits only.
+    """All listed words in each text: left to right, longest first, not overlapping (static input).
+
+    Gives ``row_id`` (unique) and ``found`` of the texts that hold any. One way for a dictionary of any
+    size: for each word length, the spots of a text whose n-gram of that length may be listed are joined
+    to the dictionary on the n-gram, so a spot meets at most one word per length. A filter of fixed size
+    over n-gram hashes keeps most other spots out of the join; a dictionary too large for it lets more
+    spots through but loses none. Only finds are grouped per row, never texts.
 
-    Positions that may start a word are found by a fixed-size filter on the first characters (as
-    many as the shortest word has) and joined to the dictionary on them. A filter too small for the
-    dictionary lets more positions through but loses none. Only the hits are grouped per row, never
-    the texts.
+    The filter and the list of lengths are made by a small job when this is called.
     """
-    listed = dictionary.select(F.col(dict_col).alias("__w")).filter(F.col("__w") != "").distinct()
-    lo, hi = listed.agg(F.min(F.length("__w")), F.max(F.length("__w"))).first()
-    if lo is None:
-        return df.select(row_id, F.array().cast("array<string>").alias("found")).filter(F.lit(False))
-    words = listed.withColumn("__gram", F.substring("__w", 1, lo))
-    slots = [r[0] for r in words.select(_slot(F.col("__gram"))).distinct().collect()]  # bounded
-    spots = df.select(row_id, F.inline(_candidates(slots, lo, hi)(text_col)))
-    hits = spots.join(words, "__gram").filter(F.startswith("__win", "__w"))
-    longest = hits.groupBy(row_id, "__at").agg(F.max(F.length("__w")).alias("n"), F.first("__win").alias("win"))
+    words = dictionary.select(F.col(dict_col).alias("__gram")).filter(F.col("__gram") != "").distinct()
+    spots = df.select(row_id, F.inline(_spots(WordFilter(words, "__gram"))(text_col)))
+    hits = spots.join(words, "__gram")
+    longest = hits.groupBy(row_id, "__at").agg(
+        F.max(F.struct(F.length("__gram").alias("n"), F.col("__gram").alias("w"))).alias("best")
+    )
     per_row = longest.groupBy(row_id).agg(
-        F.sort_array(
-            F.collect_list(F.struct("__at", "n", F.substring(F.col("win"), F.lit(1), F.col("n")).alias("w")))
-        ).alias("hits")
+        F.sort_array(F.collect_list(F.struct("__at", "best.n", "best.w"))).alias("hits")
     )
     picked = F.aggregate(
         "hits",
@@ -154,64 +99,98 @@ def find_words_joined(
     return per_row.select(row_id, picked.alias("found"))
 
 
-def _slot(gram: Column) -> Column:
-    """Filter slot of a prefix: a polynomial of its code points."""
-    step = lambda acc, c: (acc * 31 + F.ascii(c)) % FILTER_SLOTS
-    return F.aggregate(F.split(gram, ""), F.lit(0).cast("bigint"), step)
+def find_words_joined(
+    df: DataFrame, row_id: str, text_col: str, dictionary: DataFrame, dict_col: str = "word"
+) -> DataFrame:
+    """:func:`find_words` that searches each distinct text once, for tables with many repeated texts."""
+    digest = F.sha2(text_col, 256)
+    texts = df.select(digest.alias("__id"), F.col(text_col).alias("__text")).dropDuplicates(["__id"])
+    found = find_words(texts.filter("__id is not null"), "__id", "__text", dictionary, dict_col)
+    return df.select(row_id, digest.alias("__id")).join(found, "__id").select(row_id, "found")
+
+
+STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so that its powers can be divided by
+
+
+class WordFilter:
+    """Lengths of the words, and a bit table of ``FILTER_BITS`` bits over their hashes."""
+
+    def __init__(self, words: DataFrame, col: str):
+        shift = 64 - FILTER_BITS
+
+        @F.pandas_udf("long")
+        def slot(batch: pd.Series) -> pd.Series:
+            return batch.map(lambda w: int(gram_slots(points_of(w), len(w), shift)[0])).astype("int64")
+
+        listed = words.select(F.length(col).alias("n"), slot(col).alias("slot"))
+        self.shift = shift
+        self.lengths = sorted(r[0] for r in listed.select("n").distinct().collect())
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("slot") % 64).cast("int"))
+        rows = (
+            listed.groupBy(F.shiftright("slot", 6).alias("i"))
+            .agg(F.bit_or(bit).alias("b"))
+            .select("i", "b")
+            .toArrow()
+        )
+        self.bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)  # whatever the dictionary's size
+        self.bits[rows["i"].to_numpy()] = rows["b"].to_numpy().view(np.uint64)
+
+    def spots(self, points: np.ndarray) -> list[tuple[int, int]]:
+        """(start, length) of the n-grams that may be listed."""
+        out = []
+        for n in self.lengths:
+            slots = gram_slots(points, n, self.shift)
+            found = (self.bits[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1)
+            out += [(at, n) for at in np.flatnonzero(found).tolist()]
+        return out
+
+
+def points_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
 
 
-def _candidates(slots: list[int], lo: int, hi: int):
-    n_slots = FILTER_SLOTS
+def gram_slots(points: np.ndarray, n: int, shift: int) -> np.ndarray:
+    """Filter slot of every n-gram: a polynomial of its code points, by running sums over the text."""
+    last = len(points) - n + 1
+    if last <= 0:
+        return np.empty(0, np.uint64)
+    powers = np.cumprod(np.full(len(points), STEP), dtype=np.uint64)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points + np.uint64(1)) * powers, dtype=np.uint64)])
+    inverse = np.cumprod(np.full(last, np.uint64(pow(int(STEP), -1, 1 << 64))), dtype=np.uint64)
+    h = (sums[n : n + last] - sums[:last]) * inverse + np.uint64(n)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(shift)
 
-    @F.pandas_udf("array<struct<__at: int, __win: string, __gram: string>>")
-    def candidates(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        wanted = np.zeros(n_slots, dtype=bool)
-        wanted[slots] = True
 
-        def spots(text):
-            if text is None or len(text) < lo:
+def _spots(table: WordFilter):
+    @F.pandas_udf("array<struct<__at: int, __gram: string>>")
+    def spots(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def of(text):
+            if text is None:
                 return []
-            points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-            last = len(points) - lo + 1
-            slot = np.zeros(last, dtype=np.int64)
-            for j in range(lo):
-                slot = (slot * 31 + points[j : j + last]) % n_slots
-            found = np.nonzero(wanted[slot])[0].tolist()
-            return [{"__at": i, "__win": text[i : i + hi], "__gram": text[i : i + lo]} for i in found]
+            return [{"__at": at, "__gram": text[at : at + n]} for at, n in table.spots(points_of(text))]
 
         for texts in batches:
-            yield texts.map(spots)
+            yield texts.map(of)
 
-    return candidates
+    return spots
 
 
-def second_check(df: DataFrame, words: list[str]) -> DataFrame:
-    """Second check of comments without a P0 finding: grade P1 with all words found.
+def second_check(df: DataFrame, dictionary: DataFrame, dict_col: str = "word") -> DataFrame:
+    """Second check of comments without a P0 finding: grade P1 with all words found (static input).
 
-    ``is_violation`` stays 0: P1 findings are hints, not violations.
+    ``is_violation`` stays 0: P1 findings are hints, not violations. Equal comments are searched once.
+    Streams run it by micro-batch (:func:`buyerlens.plans.comments.run_moderation`).
     """
-    clean = F.col("is_violation") == 0
-    found = F.when(clean, found_words("msg", words))
-    graded = df.withColumn("__found", found)
-    hit = F.coalesce(F.size("__found"), F.lit(0)) > 0
-    return graded.select(
-        *[c for c in df.columns if c not in ("violation_grade", "violation_msg")],
-        F.when(hit, "P1").otherwise(F.col("violation_grade")).alias("violation_grade"),
-        F.when(hit, F.array_join("__found", ", "))
-        .otherwise(F.col("violation_msg"))
-        .alias("violation_msg"),
-    )
-
-
-def second_check_joined(
-    df: DataFrame, dictionary: DataFrame, row_id: str, dict_col: str = "word"
-) -> DataFrame:
-    """:func:`second_check` for dictionaries too large to ship (static input, unique ``row_id``)."""
+    if not isinstance(dictionary, DataFrame):
+        raise TypeError("the second check needs a dictionary frame; an empty one finds nothing")
     clean = df.filter(F.col("is_violation") == 0)
-    found = find_words_joined(clean, row_id, "msg", dictionary, dict_col).select(
-        F.col(row_id).alias("__id"), F.array_join("found", ", ").alias("__found")
+    texts = clean.select(F.sha2("msg", 256).alias("__id"), "msg").dropDuplicates(["__id"])
+    found = find_words(texts.filter("__id is not null"), "__id", "msg", dictionary, dict_col).select(
+        F.col("__id").alias("__digest"), F.array_join("found", ", ").alias("__found")
     )
-    joined = df.join(found, F.col(row_id) == F.col("__id"), "left")
+    digest = F.when(F.col("is_violation") == 0, F.sha2("msg", 256))
+    joined = df.join(found, digest == F.col("__digest"), "left")
     hit = F.col("__found").isNotNull()
     return joined.select(
         *[c for c in df.columns if c not in ("violation_grade", "violation_msg")],

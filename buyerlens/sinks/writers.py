@@ -6,6 +6,8 @@ started query. ``once=True`` processes what is available and stops.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -102,15 +104,22 @@ def merge_by_key(
     return latest_state(both, keys, ts, ["__old", *order]).drop("__old")
 
 
-def write_changes(df: DataFrame, path: str, name: str, once: bool = True):
-    """Append upserts to a change log, one folder per micro-batch.
+def write_changes(
+    df: DataFrame,
+    path: str,
+    name: str,
+    once: bool = True,
+    work: Callable[[DataFrame], DataFrame] | None = None,
+):
+    """Append upserts to a change log, one folder per micro-batch; ``work`` is done on each batch first.
 
     A retried batch rewrites its own folder, so the log never holds a batch twice. Read the table
     with :func:`current_rows`.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        done = work(batch) if work else batch
+        done.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     if not df.isStreaming:
         raise ValueError("a change log is written by a stream; use merge_by_key for static tables")
@@ -123,6 +132,14 @@ def current_rows(spark: SparkSession, path: str, keys: list[str], ts: str) -> Da
     return latest_state(log, keys, ts, ["__newer"]).drop("__newer", "batch_id")
 
 
+def compact_changes(spark: SparkSession, path: str, to: str, keys: list[str], ts: str) -> None:
+    """Write the current rows of a change log to a new folder as a log of one batch.
+
+    Readers and the stream's next start move to the new folder; the old one is the caller's to drop.
+    """
+    current_rows(spark, path, keys, ts).write.mode("errorifexists").parquet(f"{to}/batch_id=-1")
+
+
 # -- tables and dictionaries -------------------------------------------------------------------
 
 

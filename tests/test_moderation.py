@@ -33,43 +33,36 @@ def texts_and_words(seed):
     return texts, sorted(words)
 
 
-@pytest.mark.parametrize("seed,slots", [(1, 1 << 20), (2, 4)])
-def test_both_ways_of_finding_words_agree(spark, seed, slots, monkeypatch):
-    monkeypatch.setattr(moderation, "FILTER_SLOTS", slots)
+@pytest.mark.parametrize("seed,bits", [(1, 23), (2, 6)])
+def test_finding_words_equals_brute_force(spark, seed, bits, monkeypatch):
+    monkeypatch.setattr(moderation, "FILTER_BITS", bits)
     texts, words = texts_and_words(seed)
+    words += ["a", "坏"]  # one-letter words meet every spot of their letter
     df = spark.createDataFrame([*enumerate(texts), (99, None)], "id int, msg string")
-    want = [(i, brute(t, words)) for i, t in enumerate(texts)]
-    shipped = df.select("id", moderation.found_words("msg", words).alias("f")).filter("id < 99")
-    assert [(r.id, r.f) for r in shipped.orderBy("id").collect()] == want
-    joined = moderation.find_words_joined(df, "id", "msg", words_frame(spark, words))
-    assert [(r.id, r.found) for r in joined.orderBy("id").collect()] == [w for w in want if w[1]]
-    assert any(w[1] for w in want)
+    want = [(i, f) for i, t in enumerate(texts) if (f := brute(t, words))]
+    for find in (moderation.find_words, moderation.find_words_joined):
+        got = find(df, "id", "msg", words_frame(spark, [*words, words[0], "", None]))
+        assert [(r.id, r.found) for r in got.orderBy("id").collect()] == want
+    assert want
 
 
-def test_joined_search_without_words(spark):
-    df = spark.createDataFrame([(1, "x")], "id int, msg string")
-    assert moderation.find_words_joined(df, "id", "msg", words_frame(spark, [""])).collect() == []
-
+def test_large_dictionary_finds_the_same(spark):
+    # More words than were ever shipped as a list; a few of them occur.
+    many = spark.range(250_000).select(F.concat(F.lit("word"), F.col("id").cast("string")).alias("word"))
+    df = spark.createDataFrame([(1, "xword7word249999 word"), (2, "none"), (3, "word12word123")], "id int, msg string")
+    got = {r.id: r.found for r in moderation.find_words(df, "id", "msg", many).collect()}
+    assert got == {1: ["word7", "word249999"], 3: ["word12", "word123"]}
 
-def test_scanner_without_the_automaton_library(monkeypatch):
-    import sys
 
-    texts, words = texts_and_words(3)
-    monkeypatch.setitem(sys.modules, "ahocorasick", None)
-    scan = moderation.word_scanner(words)
-    assert [scan(t) for t in texts] == [brute(t, words) for t in texts]
+def test_search_without_words(spark):
+    df = spark.createDataFrame([(1, "x")], "id int, msg string")
+    assert moderation.find_words(df, "id", "msg", words_frame(spark, [""])).collect() == []
 
 
 def test_words_with_pattern_signs(spark):
     words = ["a.b", "(x", "\\E", "$1|"]
     df = spark.createDataFrame([(1, "aab a.b (x \\E $1| $1")], "id int, msg string")
-    assert df.select(moderation.found_words("msg", words)).first()[0] == ["a.b", "(x", "\\E", "$1|"]
-
-
-def test_no_words_and_null_text(spark):
-    df = spark.createDataFrame([(1, "x"), (2, None)], "id int, msg string")
-    assert [r[0] for r in df.select(moderation.found_words("msg", [])).collect()] == [[], []]
-    assert df.filter("id = 2").select(moderation.found_words("msg", ["x"])).first()[0] is None
+    assert moderation.find_words(df, "id", "msg", words_frame(spark, words)).first().found == ["a.b", "(x", "\\E", "$1|"]
 
 
 def test_membership(spark):
@@ -102,7 +95,7 @@ def facts(spark):
 
 
 def test_moderation_grades(spark):
-    got = comments.moderated(facts(spark), words_frame(spark, ["bad", "worse"]), ["bad", "worse"])
+    got = comments.moderated(facts(spark), words_frame(spark, ["bad", "worse"]), words_frame(spark, ["bad", "worse"]))
     by = {r.ts_ms: (r.is_violation, r.violation_grade, r.violation_msg) for r in got.collect()}
     assert by == {
         10: (1, "P0", "bad"), 11: (0, "P1", "bad, worse"), 12: (0, "P1", "bad"), 13: (0, "", ""),
@@ -114,18 +107,28 @@ def test_moderation_grades(spark):
     assert len(comments.violation_feed(got).collect()) == 2
 
 
-def test_second_check_joined_equals_shipped(spark):
-    words = words_frame(spark, ["bad", "worse"])
-    first = moderation.moderate(facts(spark).dropDuplicates(["ts_ms"]), words)
-    want = moderation.second_check(first, ["bad", "worse"])
-    got = moderation.second_check_joined(first, words, "ts_ms")
-    assert rows(got, *want.columns) == rows(want)
+def test_second_check_needs_a_dictionary(spark):
+    first = moderation.moderate(facts(spark).dropDuplicates(["ts_ms"]), words_frame(spark, ["bad"]))
+    with pytest.raises(TypeError):
+        moderation.second_check(first, None)
+    assert moderation.second_check(first, words_frame(spark, [])).filter("violation_grade = 'P1'").count() == 0
 
 
-def test_bounded_words(spark):
-    words = words_frame(spark, ["b", "a", "a", "", None])
-    assert moderation.bounded_words(words) == ["a", "b"]
-    assert moderation.bounded_words(words, limit=1) is None
+def test_moderation_stream_and_feed_restart(spark, tmp_path):
+    words = words_frame(spark, ["bad", "worse"])
+    want = rows(comments.moderated(facts(spark), words, words))
+    source, out, feed = (str(tmp_path / n) for n in ("in", "out", "feed"))
+    name = tmp_path.name
+    for part in ("ts_ms < 12", "ts_ms >= 12"):  # the second start goes on where the first ended
+        facts(spark).filter(part).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(facts(spark).schema).parquet(source)
+        comments.run_moderation(stream, words, words, out, f"{name}-m").awaitTermination()
+        comments.run_violation_feed(spark, out, feed, f"{name}-f").awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.select("batch_id").distinct().count() == 2
+    assert rows(got.drop("batch_id")) == want
+    lines = sorted(r.value for r in spark.read.text(feed).collect())
+    assert lines == sorted(r.value for r in comments.violation_feed(comments.moderated(facts(spark), words, words)).collect())
 
 
 def test_dictionary_numbers(spark):

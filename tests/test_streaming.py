@@ -156,9 +156,11 @@ def test_comment_job_stream_equals_batch(spark, tmp_path):
     assert {r.dic_name for r in want.collect()} == {"好评", "差评", "N/A"}
     assert want.count() == 12
 
-    moderated = comments.moderated(want, words, ["商品"])
-    stream = comments.moderated(run(text_stream(spark, path)), words, ["商品"])
-    assert rows(drain(stream), *moderated.columns) == rows(moderated)
+    p1 = spark.createDataFrame([("商品",)], "word string")
+    moderated = comments.moderated(want, words, p1)
+    out, name = str(tmp_path / "moderated"), "moderation-" + uuid.uuid4().hex
+    comments.run_moderation(run(text_stream(spark, path)), words, p1, out, name).awaitTermination()
+    assert rows(spark.read.parquet(out), *moderated.columns) == rows(moderated)
 
 
 def test_restart_from_checkpoint(spark, tmp_path):
