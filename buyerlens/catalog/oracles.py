@@ -139,6 +139,16 @@ skus AS (
         {case_map(ORDER_CATEGORIES, 'r_name')} AS order_category
     FROM part LEFT JOIN nation ON p_size = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
+# A third of the skus twice; of equal keys the last by price counts.
+LAST_SKUS = f"""{SKUS},
+last_skus AS (
+    SELECT sku_id, tm_name, sku_price, order_category FROM (
+        SELECT * FROM skus
+        UNION ALL
+        SELECT sku_id, 'TCL', sku_price + CASE WHEN sku_id % 2 = 0 THEN 10 ELSE -10 END, order_category
+        FROM skus WHERE sku_id % 3 = 0)
+    QUALIFY row_number() OVER (PARTITION BY sku_id ORDER BY sku_price DESC) = 1)"""
+
 SNAPSHOTS = f"""{VIEWS},
 numbered AS (
     SELECT uid, ts, os, search_item, ts - ts % 120000 AS w FROM views),
@@ -206,7 +216,7 @@ profile AS (
         CAST(c_custkey % 50 + 40 AS VARCHAR) AS weight, 'kg' AS unit_weight, sup_ms
     FROM base)"""
 
-ORDER_LABELS = f"""{SKUS},
+ORDER_LABELS = f"""{LAST_SKUS},
 versions AS (
     SELECT o_orderkey, o_custkey, {order_ms('o_orderkey')} AS created, {order_ms('o_orderkey')} AS ts
     FROM orders
@@ -220,7 +230,7 @@ joined AS (
     FROM versions
     JOIN lineitem ON o_orderkey = l_orderkey
         AND {order_ms('l_orderkey')} + (l_linenumber - 4) * 2000 BETWEEN ts - 5000 AND ts + 5000
-    JOIN skus ON l_partkey = sku_id),
+    JOIN last_skus ON l_partkey = sku_id),
 {leaders('joined', 'user_id', 'ts, order_id, sku_id')},
 orders_scored AS (
     SELECT user_id, ts, tm_name, order_category, order_price, order_time FROM changed WHERE NOT same)"""
@@ -243,16 +253,11 @@ MODERATION = r"""
 tails AS (
     SELECT doc_id, list_last(string_split(rtrim(text, ','), ',')) AS token FROM documents),
 heads AS (
-    SELECT DISTINCT token FROM tails JOIN labels USING (doc_id) WHERE toxic = 1 AND token <> '')"""
+    SELECT DISTINCT CASE WHEN doc_id % 4 = 0 THEN token ELSE token || '~' END AS token
+    FROM tails WHERE token <> '')"""
 
 BENCH_WORDS = r"""
-bench AS (
-    SELECT item_id, [w for w in string_split_regex(text, '[^A-Za-z]+') if length(w) > 0] AS ws
-    FROM benchmark),
-listed AS (
-    SELECT DISTINCT list_extract([w for w in ws if length(w) = list_max([length(v) for v in ws])], 1)
-        AS word
-    FROM bench WHERE len(ws) > 0)"""
+listed AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]{7,}')) AS word FROM benchmark)"""
 
 PATTERN = "(SELECT string_agg(word, '|' ORDER BY length(word) DESC, word) FROM listed)"
 
@@ -363,35 +368,34 @@ ORACLES = {
         SELECT uid, ts, judge_os, f.search_category, {score_select('device')}, {score_select('search')}
         FROM found f {score_join('device', 'judge_os')}{score_join('search', 'f.search_category')}""",
     "interval_join_seconds": """SELECT v.event_id AS v_id, v.user_id AS v_user, (epoch_us(v.ts) // 1000) AS v_ms,
-            p.event_id AS p_id, p.user_id AS p_user, (epoch_us(p.ts) // 1000) AS p_ms
+            p.event_id AS p_id, p.user_id AS p_user, (epoch_us(p.ts) // 1000) + 300000 AS p_ms
         FROM events v JOIN events p ON v.user_id = p.user_id
-            AND (epoch_us(p.ts) // 1000) BETWEEN (epoch_us(v.ts) // 1000) - 300000 AND (epoch_us(v.ts) // 1000) + 300000
-        WHERE v.event_type = 'view' AND p.event_type = 'purchase'""",
+            AND (epoch_us(p.ts) // 1000) BETWEEN (epoch_us(v.ts) // 1000) - 600000 AND (epoch_us(v.ts) // 1000)""",
     "interval_join_days": """SELECT o_orderkey, (epoch_us(o_orderdate) // 1000) AS o_ms, l_orderkey,
             CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, (epoch_us(l_shipdate) // 1000) AS l_ms
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey
             AND l_shipdate BETWEEN o_orderdate - INTERVAL 7 DAY AND o_orderdate + INTERVAL 7 DAY""",
     "interval_join_prefixed": """SELECT c.event_id AS id, c.user_id AS "user", (epoch_us(c.ts) // 1000) AS ms,
-            e.event_id AS info_id, e.user_id AS info_user, (epoch_us(e.ts) // 1000) AS info_ms
+            e.event_id AS info_id, e.user_id AS info_user, (epoch_us(e.ts) // 1000) + 7200000 AS info_ms
         FROM events c JOIN events e ON c.user_id = e.user_id
-            AND abs((epoch_us(e.ts) // 1000) - (epoch_us(c.ts) // 1000)) <= 3600000
-        WHERE c.event_type = 'click' AND e.event_type = 'error'""",
-    "dim_lookup_default": """SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
-            CASE WHEN c_nationkey % 5 <> 0 THEN n_name ELSE 'N/A' END AS dic_name
+            AND abs((epoch_us(e.ts) // 1000) + 7200000 - (epoch_us(c.ts) // 1000)) <= 3600000""",
+    "dim_lookup_default": """SELECT c_custkey,
+            CAST(c_nationkey + CASE WHEN c_custkey % 5 = 0 THEN 100 ELSE 0 END AS BIGINT) AS c_nationkey,
+            CASE WHEN c_custkey % 5 <> 0 THEN n_name ELSE 'N/A' END AS dic_name
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "dim_chain_inner": """SELECT s_suppkey AS id, s_name AS b3name, 'group ' || n_name AS b2name,
             r_name AS b1name
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey <> 3""",
+        JOIN region ON n_regionkey = r_regionkey WHERE s_suppkey % 7 <> 0""",
     "dim_chain_left": f"WITH {SKUS} SELECT * FROM skus",
     "term_category_lookup": f"""WITH {VIEWS.replace('SELECT DISTINCT', 'SELECT')}, {CATEGORIES}, {SEARCH}
         SELECT uid, ts, search_item, b1_category, coalesce(search_category, 'unknown') AS search_category
         FROM views LEFT JOIN terms ON search_item = b3name""",
-    "sku_value_bands": f"""WITH {SKUS}
+    "sku_value_bands": f"""WITH {LAST_SKUS}
         SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, tm_name,
             order_category, {price_band('sku_price', 500, 1000)} AS order_price,
             {hour_band(hour_of(order_ms('l_orderkey')))} AS order_time
-        FROM lineitem JOIN skus ON l_partkey = sku_id WHERE sku_id % 7 <> 0""",
+        FROM lineitem JOIN last_skus ON l_partkey = sku_id WHERE sku_id % 7 <> 0""",
     "label_mode": f"""WITH {LINES}, """
     + ", ".join(
         f"""m_{d} AS (SELECT o_custkey, {d} FROM labelled GROUP BY o_custkey, {d}
@@ -453,11 +457,11 @@ ORACLES = {
             UNION ALL SELECT o_orderkey, '1001', 'c', {order_ms('o_orderkey')} FROM orders
             WHERE o_orderkey % 5 = 0),
         j AS (
-            SELECT *, CASE o_orderkey % 4 WHEN 2 THEN '{BAD_REVIEW}' WHEN 3 THEN 'N/A'
-                ELSE (SELECT r_name FROM region WHERE r_regionkey = o_orderkey % 4) END AS dic_name
+            SELECT *, CASE WHEN o_orderkey % 7 = 2 THEN '{BAD_REVIEW}' WHEN o_orderkey % 7 > 4 THEN 'N/A'
+                ELSE (SELECT r_name FROM region WHERE r_regionkey = o_orderkey % 7) END AS dic_name
             FROM c JOIN v ON o_orderkey = k AND t BETWEEN ts - 60000 AND ts + 60000)
         SELECT o_orderkey + 7 AS id, o_orderkey AS order_id, o_custkey AS user_id,
-            CAST(1200 + o_orderkey % 4 AS VARCHAR) AS appraise, dic_name,
+            CAST(1200 + o_orderkey % 7 AS VARCHAR) AS appraise, dic_name,
             '为商品「' || o_orderpriority || '」写一条电商' || dic_name || '，20字以内。' ||
                 CASE WHEN dic_name = '{BAD_REVIEW}' THEN '{BAD_REVIEW_TONE}' ELSE '' END AS commentTxt,
             'comment_info' AS "table", 'c' AS op, ts AS ts_ms,

@@ -10,7 +10,6 @@ from buyerlens.functions import bands, calendar, text
 from buyerlens.operators import activity, cdc, dedup, enrich, joins, labels, lookups, moderation, scoring
 from buyerlens.plans import comments, portrait
 from buyerlens.schemas import PORTRAIT_COLUMNS
-from buyerlens.session import settle
 from buyerlens.sinks import writers
 
 QUERIES = {}
@@ -205,18 +204,17 @@ def device_search_scores(spark, sf):
 # -- joins and lookups -------------------------------------------------------------------------
 
 
-def _events_of(spark, sf, kind, prefix):
-    ev = t.table(spark, sf, "events").filter(F.col("event_type") == kind)
-    return ev.select(
+def _events_at(spark, sf, prefix, shift_ms=0):
+    return t.table(spark, sf, "events").select(
         F.col("event_id").alias(f"{prefix}id"),
         F.col("user_id").alias(f"{prefix}user"),
-        t.millis("ts").alias(f"{prefix}ms"),
+        (t.millis("ts") + shift_ms).alias(f"{prefix}ms"),
     )
 
 
 @query
 def interval_join_seconds(spark, sf):
-    left, right = _events_of(spark, sf, "view", "v_"), _events_of(spark, sf, "purchase", "p_")
+    left, right = _events_at(spark, sf, "v_"), _events_at(spark, sf, "p_", 300_000)
     return joins.interval_join(
         left, right, [("v_user", "p_user")], "v_ms", "p_ms", -300_000, 300_000
     )
@@ -234,28 +232,28 @@ def interval_join_days(spark, sf):
 
 @query
 def interval_join_prefixed(spark, sf):
-    left = _events_of(spark, sf, "click", "")
-    right = joins.prefixed(_events_of(spark, sf, "error", ""), "info_")
+    left = _events_at(spark, sf, "")
+    right = joins.prefixed(_events_at(spark, sf, "", 7_200_000), "info_")
     hour = calendar.HOUR_MS
     return joins.interval_join(left, right, [("user", "info_user")], "ms", "info_ms", -hour, hour)
 
 
 @query
 def dim_lookup_default(spark, sf):
-    nation = t.table(spark, sf, "nation").filter("n_nationkey % 5 <> 0")
+    nation = t.table(spark, sf, "nation")
     dim = nation.select(F.col("n_nationkey").alias("dic_code"), F.col("n_name").alias("dic_name"))
-    c = t.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    unlisted = F.when(F.col("c_custkey") % 5 == 0, 100).otherwise(0)
+    c = t.table(spark, sf, "customer").select("c_custkey", (F.col("c_nationkey") + unlisted).alias("c_nationkey"))
     return lookups.lookup(c, dim, ("c_nationkey", "dic_code"), ["dic_name"], "N/A")
 
 
 @query
 def dim_chain_inner(spark, sf):
-    region = t.table(spark, sf, "region").filter("r_regionkey <> 3")
-    c1 = region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
-    _, c2, _ = t.levels(spark, sf)
+    c1, c2, _ = t.levels(spark, sf)
+    unlisted = F.when(F.col("s_suppkey") % 7 == 0, 100).otherwise(0)
     c3 = t.table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
-        F.col("s_nationkey").alias("category2_id"),
+        (F.col("s_nationkey") + unlisted).alias("category2_id"),
     )
     return lookups.category_dim(c1, c2, c3)
 
@@ -273,10 +271,12 @@ def term_category_lookup(spark, sf):
 
 @query
 def sku_value_bands(spark, sf):
+    unlisted = F.when(F.col("l_partkey") % 7 == 0, -1).otherwise(1)
     li = t.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", t.order_ms("l_orderkey").alias("create_ms")
+        "l_orderkey", "l_linenumber", (F.col("l_partkey") * unlisted).alias("l_partkey"),
+        t.order_ms("l_orderkey").alias("create_ms"),
     )
-    known = t.skus(spark, sf).filter(F.col("sku_id") % 7 != 0)
+    known = lookups.last_sku(t.repeated_skus(spark, sf))
     cols = ["tm_name", "sku_price", "order_category"]
     joined = lookups.lookup(li, known, ("l_partkey", "sku_id"), cols, how="inner")
     return joined.select(
@@ -478,7 +478,7 @@ def comment_facts(spark, sf):
         t.comment_records(spark, sf).unionAll(t.order_records(spark, sf)),
         {"comment_info": schemas.COMMENT_INFO, "order_info": schemas.ORDER_INFO},
     )
-    names = t.table(spark, sf, "region").filter("r_regionkey < 3").select(
+    names = t.table(spark, sf, "region").select(
         (F.lit(1200) + F.col("r_regionkey")).cast("string").alias("dic_code"),
         F.when(F.col("r_regionkey") == 2, text.BAD_REVIEW).otherwise(F.col("r_name")).alias("dic_name"),
     )
@@ -492,16 +492,18 @@ def comment_facts(spark, sf):
 # -- portraits ---------------------------------------------------------------------------------
 
 
-def _tables(topic, *names):
-    # The topic is stored text; writing it keeps its making out of the parsing branches.
-    return cdc.parse_cdc(settle(topic), {name: schemas.CDC_TABLES[name] for name in names})[0]
+def _tables(spark, sf, *names):
+    # As landed by ``write_routed``: each consumer reads the records of its own table only.
+    return {
+        name: cdc.parse_cdc(t.TOPICS[name](spark, sf), {name: schemas.CDC_TABLES[name]})[0][name] for name in names
+    }
 
 
 def _portrait_inputs(spark, sf):
     names = ["user_info", "user_info_sup_msg", "order_info", "order_detail"]
     pages, _ = cdc.parse_records(cdc.to_json_value(t.page_log(spark, sf)), schemas.PAGE_LOG)
     return (
-        _tables(t.change_topic(spark, sf), *names),
+        _tables(spark, sf, *names),
         cdc.project_page_log(pages),
         t.dimensions(spark, sf),
     )
@@ -509,15 +511,13 @@ def _portrait_inputs(spark, sf):
 
 @query
 def base_profile(spark, sf):
-    topic = t.user_records(spark, sf).unionAll(t.sup_records(spark, sf))
-    tables = _tables(topic, "user_info", "user_info_sup_msg")
+    tables = _tables(spark, sf, "user_info", "user_info_sup_msg")
     return portrait.base_profile(tables["user_info"], tables["user_info_sup_msg"], as_of())
 
 
 @query
 def order_scores(spark, sf):
-    topic = t.order_records(spark, sf).unionAll(t.detail_records(spark, sf))
-    tables = _tables(topic, "order_info", "order_detail")
+    tables = _tables(spark, sf, "order_info", "order_detail")
     return portrait.order_scores(
         tables["order_info"], tables["order_detail"], t.dimensions(spark, sf)
     )

@@ -196,20 +196,21 @@ def comment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         'spu_id', o_orderkey % 10,
         'order_id', o_orderkey,
         'nick_name', 'nick',
-        'appraise', CAST(1200 + o_orderkey % 4 AS STRING),
+        'appraise', CAST(1200 + o_orderkey % 7 AS STRING),
         'comment_txt', 'text',
         'create_time', {ts}), NULL)"""
     orders = table(spark, sf_dir, "orders")
     return envelope(orders, "comment_info", image, f"{ts} + (o_orderkey % 5 - 2) * 45000")
 
 
-def change_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All change records in one topic."""
-    parts = [user_records, sup_records, order_records, detail_records, comment_records]
-    out = parts[0](spark, sf_dir)
-    for p in parts[1:]:
-        out = out.unionAll(p(spark, sf_dir))
-    return out
+#: Change records by source table.
+TOPICS = {
+    "user_info": user_records,
+    "user_info_sup_msg": sup_records,
+    "order_info": order_records,
+    "order_detail": detail_records,
+    "comment_info": comment_records,
+}
 
 
 # -- dimensions --------------------------------------------------------------------------------
@@ -262,9 +263,22 @@ def skus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sku_dim(sku, c3, c2, c1, compare, trademark)
 
 
+def repeated_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third sku a second time, ten cheaper or dearer and with another brand."""
+    one = skus(spark, sf_dir)
+    key = F.col("sku_id")
+    again = one.filter(key % 3 == 0).select(
+        "sku_id",
+        F.lit("TCL").alias("tm_name"),
+        (F.col("sku_price") + F.when(key % 2 == 0, 10).otherwise(-10)).alias("sku_price"),
+        "order_category",
+    )
+    return one.unionByName(again)
+
+
 def dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
     return Dimensions(
-        skus(spark, sf_dir), categories(spark, sf_dir), search_compare(spark, sf_dir)
+        repeated_skus(spark, sf_dir), categories(spark, sf_dir), search_compare(spark, sf_dir)
     )
 
 
@@ -272,25 +286,18 @@ def dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
 
 
 def tail_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dictionary lines: the last comma token of every document labelled toxic."""
+    """Dictionary lines: the last comma token of every document, unlisted forms of it for most."""
     from buyerlens.functions.text import last_token
 
-    toxic = table(spark, sf_dir, "labels").filter(F.col("toxic") == 1).select("doc_id")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.join(toxic, "doc_id").select(last_token("text").alias("value"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", last_token("text").alias("token"))
+    unlisted = F.when((F.col("doc_id") % 4 == 0) | (F.col("token") == ""), "").otherwise("~")
+    return docs.select(F.concat("token", unlisted).alias("value"))
 
 
 def bench_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dictionary lines: the longest word of every benchmark text (first of equals)."""
-    words = F.filter(
-        F.split(F.regexp_replace("text", "[^A-Za-z]+", " "), " "), lambda w: F.length(w) > 0
-    )
-    ranked = F.transform(words, lambda w, i: F.struct((-F.length(w)).alias("n"), i.alias("i"), w.alias("w")))
-    return (
-        table(spark, sf_dir, "benchmark")
-        .select(F.array_min(ranked)["w"].alias("value"))
-        .filter(F.col("value").isNotNull())
-    )
+    """Dictionary lines: every word of seven or more letters of every benchmark text."""
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]{7,}"), F.lit(0))
+    return table(spark, sf_dir, "benchmark").select(F.explode(words).alias("value"))
 
 
 def doc_comments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,6 +38,16 @@ def one_per_key(dim: DataFrame, key: str, cols: list[str], order: str, last: boo
     return dim.groupBy(key).agg(pick(F.struct(*cols), order).alias("v")).select(key, "v.*")
 
 
+def last_sku(skus: DataFrame) -> DataFrame:
+    """One row per sku: the last in ``seq`` if the table has such a column, else the greatest in
+    (price, brand, category), nulls first.
+    """
+    cols = ["sku_price", "tm_name", "order_category"]
+    order = F.struct(*(["seq"] if "seq" in skus.columns else []), *cols)
+    picked = skus.groupBy("sku_id").agg(F.max(order).alias("v"))
+    return picked.select("sku_id", *[F.col("v")[c].alias(c) for c in ["tm_name", "sku_price", "order_category"]])
+
+
 def category_dim(c1: DataFrame, c2: DataFrame, c3: DataFrame) -> DataFrame:
     """Third-level categories with the names of all three levels."""
     l1 = c1.select(F.col("id").alias("__id1"), F.col("name").alias("b1name"))

@@ -2,72 +2,92 @@
 
 Running values (newest so far, counts so far, previous label) need a key's rows in order, which
 would put a key holding a third of all rows into one task. Instead heavy keys are cut into ranges
-of the order column. A small aggregate per (key, range) gives the state at the start of each range;
-it is added as *carry rows* that sort before the range's own rows, so every range is a separate
-group and the data is still shuffled once.
+of the order. A small aggregate per (key, range) gives the state at the start of each range; it is
+added as *carry rows* that sort before the range's own rows, so every range is a separate group and
+the data is still shuffled once.
 
-Finding the heavy keys is one count per key, run when the operator is built: usually there are none
-and the plan stays a plain window. Give :func:`buyerlens.session.settle` output to these operators
-if their input is costly to compute.
+A heavy key is cut at quantiles of its first order column, nulls first. A value that is a quantile is
+a range of its own, so a burst of rows with one time does not widen its neighbours; if the burst alone
+is heavy, it is cut again at quantiles of the second order column.
+
+All of it is part of the plan: no job runs when an operator is built. Heavy keys and their cuts are
+broadcast; a key is cut only if it has more than 1 / MAX_HEAVY_KEYS of all rows, which bounds them.
+Where there are none, adaptive execution drops the branches that read heavy keys.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 PART = "__part"
 CARRY = "__carry"
 
-# A key is cut if it has more rows than this and more than 1 / MAX_HEAVY_KEYS of all rows. The
-# second condition bounds the list of heavy keys by MAX_HEAVY_KEYS rows at any scale.
+# A key is cut if it has more rows than this and more than 1 / MAX_HEAVY_KEYS of all rows. At 10^12 rows
+# that is fifteen million rows: fewer stay in one task.
 HEAVY_ROWS = 2_000_000
 MAX_HEAVY_KEYS = 65_536
+CUTS = 64
+_NUMBERS = ("bigint", "int", "smallint", "tinyint", "double", "float")
 
 
-def heavy_keys(
-    df: DataFrame, keys: list[str], order: str, heavy_rows: int = HEAVY_ROWS
-) -> DataFrame | None:
-    """Heavy keys with start and width of their ranges as a local frame; None if there are none.
-
-    Ranges have equal width in ``order``, four per ``heavy_rows`` rows.
-    """
-    counts = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(order).alias("__lo"), F.max(order).alias("__hi")
+def _cuts(df: DataFrame, keys: list[str], by: str, heavy_rows: int, out: str) -> DataFrame:
+    """Heavy keys (as __k0, __k1 ..) with the cut values of ``by``."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).scalar()
+    names = [f"__k{i}" for i in range(len(keys))]
+    heavy = counts.filter((F.col("__n") > heavy_rows) & (F.col("__n") * F.lit(MAX_HEAVY_KEYS) > total)).select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)]
     )
-    total = df.agg(F.count(F.lit(1))).scalar()
-    heavy = counts.filter(
-        (F.col("__n") > heavy_rows) & (F.col("__n") * F.lit(MAX_HEAVY_KEYS) > total)
-    ).select(
-        *[F.col(k).alias(f"__key_{k}") for k in keys],
-        "__lo",
-        F.greatest(
-            F.lit(1.0),
-            (F.col("__hi") - F.col("__lo") + 1) / (F.ceil(F.col("__n") / heavy_rows) * 4),
-        ).alias("__width"),
-    )
-    rows = heavy.collect()  # fewer than MAX_HEAVY_KEYS by construction
-    return df.sparkSession.createDataFrame(rows, heavy.schema) if rows else None
+    rows = df.select(*keys, by).join(F.broadcast(heavy), _same(df, keys, heavy))
+    shares = [i / CUTS for i in range(1, CUTS)]
+    cuts = F.array_sort(F.array_distinct(F.percentile_approx(by, shares, 10_000)))
+    return rows.groupBy(*names).agg(F.coalesce(cuts, F.array().cast(f"array<{dict(df.dtypes)[by]}>")).alias(out))
+
+
+def _same(df: DataFrame, keys: list[str], other: DataFrame) -> list[Column]:
+    return [df[k].eqNullSafe(other[f"__k{i}"]) for i, k in enumerate(keys)]
+
+
+def _place(value: Column, cuts: Column) -> Column:
+    """Range of a value: even between cuts, odd for the cuts themselves; nulls in the first."""
+    below = F.size(F.filter(cuts, lambda c: c < value))
+    return F.when(value.isNull(), -1).otherwise(2 * below + F.array_contains(cuts, value).cast("int"))
 
 
 def split_heavy_keys(
-    df: DataFrame, keys: list[str], order: str, heavy_rows: int = HEAVY_ROWS
-) -> tuple[DataFrame, bool]:
-    """Add the range number: 0 for ordinary keys, 1.. in ``order`` for heavy ones.
+    df: DataFrame, keys: list[str], order: list[str], heavy_rows: int = HEAVY_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with their range number, 0 for ordinary keys and 1.. in order for heavy ones.
 
-    Also tells whether any key was cut. ``order`` must be numeric and not null.
+    Also gives the rows of heavy keys alone, for the carry rows. Rows that agree in the first two order
+    columns share a range. The first order column must be numeric.
     """
-    heavy = heavy_keys(df, keys, order, heavy_rows)
-    if heavy is None:
-        return df.withColumn(PART, F.lit(0).cast("bigint")), False
-    same = [df[k].eqNullSafe(heavy[f"__key_{k}"]) for k in keys]
-    part = 1 + F.floor((F.col(order) - F.col("__lo")) / F.col("__width"))
-    joined = df.join(F.broadcast(heavy), same, "left")
-    return joined.select(*df.columns, F.coalesce(part, F.lit(0)).cast("bigint").alias(PART)), True
+    kinds = dict(df.dtypes)
+    cuts = _cuts(df, keys, order[0], heavy_rows, "__cuts")
+    place = _place(F.col(order[0]), F.col("__cuts")) + 2
+
+    def ranged(how: str) -> DataFrame:
+        joined = df.join(F.broadcast(cuts), _same(df, keys, cuts), how)
+        part = F.when(F.col("__cuts").isNotNull(), place.cast("bigint") * F.lit(1 << 32)).otherwise(F.lit(0))
+        return joined.select(*df.columns, part.cast("bigint").alias(PART))
+
+    if len(order) < 2 or kinds.get(order[1]) not in _NUMBERS:
+        return ranged("left"), ranged("inner")
+    bursts = _cuts(ranged("inner"), [*keys, PART], order[1], heavy_rows, "__cuts2")
+    again = [*keys, PART]
+
+    def cut_again(how: str) -> DataFrame:
+        rows = ranged(how)
+        joined = rows.join(F.broadcast(bursts), _same(rows, again, bursts), "left")
+        # Only a range of one value may be cut by the next column: odd places.
+        odd = F.pmod(F.shiftright(PART, 32), F.lit(2)) == 1
+        inner = F.when(odd & F.col("__cuts2").isNotNull(), _place(F.col(order[1]), F.col("__cuts2")) + 2)
+        return joined.select(*df.columns, (F.col(PART) + F.coalesce(inner, F.lit(0))).alias(PART))
+
+    return cut_again("left"), cut_again("inner")
 
 
-def with_carry(parts: DataFrame, carry: DataFrame | None) -> DataFrame:
+def with_carry(parts: DataFrame, carry: DataFrame) -> DataFrame:
     """Own rows and carry rows together, told apart by the flag column."""
     own = parts.withColumn(CARRY, F.lit(False))
-    if carry is None:
-        return own
     return own.unionByName(carry.withColumn(CARRY, F.lit(True)), allowMissingColumns=True)

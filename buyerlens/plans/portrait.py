@@ -18,9 +18,9 @@ from buyerlens.operators.activity import activity_snapshots
 from buyerlens.operators.dedup import dedup_exact, keep_if_newer
 from buyerlens.operators.joins import interval_join, prefixed
 from buyerlens.operators.labels import ORDER_DIMS, label_changes
-from buyerlens.operators.lookups import lookup, search_category
+from buyerlens.operators.lookups import last_sku, lookup, search_category
 from buyerlens.operators.scoring import score, top_band, total_scores
-from buyerlens.session import DEFAULT_TZ, settle
+from buyerlens.session import DEFAULT_TZ
 from buyerlens.sinks.writers import write_files
 from buyerlens.streaming.event_time import timed, window_last
 from buyerlens.streaming.stateful import (
@@ -93,7 +93,7 @@ def order_scores(
     )
     known = lookup(
         joined.drop("line_ts"),
-        dims.skus,
+        last_sku(dims.skus),
         ("d_sku_id", "sku_id"),
         ["tm_name", "sku_price", "order_category"],
         how="inner",
@@ -115,18 +115,22 @@ def order_scores(
             labelled, "user_id", ORDER_DIMS, order, ["ts", "order_ts"], "order_ts"
         ).drop("order_ts")
     else:
-        # Read several times by the skew handling: join once, keep the narrow result.
-        changes = label_changes(settle(labelled), "user_id", ORDER_DIMS, order, ["ts"])
+        changes = label_changes(labelled, "user_id", ORDER_DIMS, order, ["ts"])
     return score(
         changes,
         {"tm": "tm_name", "category": "order_category", "price": "order_price", "time": "order_time"},
     )
 
 
-def shopper_age(orders: DataFrame, devices: DataFrame, fix_50_plus: bool = False) -> DataFrame:
-    """Inferred age band for order and device scores at most one day apart."""
-    left = timed(orders.withColumnRenamed("ts", "o_ts"), "o_ts", "order_ts", "7 days")
-    right = timed(devices.withColumnRenamed("ts", "d_ts"), "d_ts", "device_ts", "7 days")
+def shopper_age(
+    orders: DataFrame, devices: DataFrame, fix_50_plus: bool = False, late: str | None = None
+) -> DataFrame:
+    """Inferred age band for order and device scores at most one day apart.
+
+    On streams ``late`` bounds the state: rows later than that are dropped. Without it all are kept.
+    """
+    left = timed(orders.withColumnRenamed("ts", "o_ts"), "o_ts", "order_ts", late)
+    right = timed(devices.withColumnRenamed("ts", "d_ts"), "d_ts", "device_ts", late)
     joined = interval_join(
         left, right, [("user_id", "uid")], "order_ts", "device_ts", -DAY_MS, DAY_MS
     )
@@ -137,13 +141,13 @@ def shopper_age(orders: DataFrame, devices: DataFrame, fix_50_plus: bool = False
     return banded.select("user_id", "shop_age", later).distinct()
 
 
-def merge_profile(ages: DataFrame, base: DataFrame) -> DataFrame:
+def merge_profile(ages: DataFrame, base: DataFrame, late: str | None = None) -> DataFrame:
     """Portrait rows: shopper age beside base labels at most one day apart, each row once.
 
     On streams the order's time stays the watermarked column; the join bound is widened by the first
     join's own day and the exact one-day test on the later time stands beside it.
     """
-    left = timed(base.withColumnRenamed("ts_ms", "b_ts"), "b_ts", "base_ts", "7 days")
+    left = timed(base.withColumnRenamed("ts_ms", "b_ts"), "b_ts", "base_ts", late)
     if ages.isStreaming:
         joined = interval_join(
             left, ages, [("uid", "user_id")], "base_ts", "order_ts", -2 * DAY_MS, 2 * DAY_MS,
@@ -183,10 +187,15 @@ def run_streams(
     tz: str = DEFAULT_TZ,
     once: bool = True,
     prefix: str = "portrait",
+    fix_50_plus: bool = False,
+    late: str | None = None,
+    files_per_batch: int | None = None,
 ) -> list:
     """Start the portrait as streams: three scored branches to tables, then the merge.
 
-    With ``once`` each query works off what is there and the branches finish before the merge.
+    With ``once`` each query works off what is there and the branches finish before the merge. ``late``
+    bounds the merge's state (for instance "7 days") at the price of later rows; by default it keeps all.
+    ``files_per_batch`` bounds how much of a backlog the merge takes at a time.
     """
     branches = {
         "base": base_profile(tables["user_info"], tables["user_info_sup_msg"], as_of),
@@ -201,10 +210,13 @@ def run_streams(
         for q in queries:
             q.awaitTermination()
     read = {
-        name: spark.readStream.schema(df.schema).parquet(f"{folder}/{name}")
+        name: spark.readStream.schema(df.schema)
+        .options(**({"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}))
+        .parquet(f"{folder}/{name}")
         for name, df in branches.items()
     }
-    merged = merge_profile(shopper_age(read["orders"], read["devices"]), read["base"])
+    ages = shopper_age(read["orders"], read["devices"], fix_50_plus, late)
+    merged = merge_profile(ages, read["base"], late)
     queries.append(write_files(merged, f"{folder}/portraits", f"{prefix}-merge", once=once))
     if once:
         queries[-1].awaitTermination()

@@ -9,13 +9,14 @@ from buyerlens.functions.calendar import event_time
 WATERMARK = "3 seconds"
 
 
-def timed(df: DataFrame, millis: str, out: str, delay: str = WATERMARK) -> DataFrame:
+def timed(df: DataFrame, millis: str, out: str, delay: str | None = WATERMARK) -> DataFrame:
     """Add the join time ``out``: a watermarked TIMESTAMP on streams, epoch millis otherwise.
 
-    A missing time counts as the epoch.
+    A missing time counts as the epoch. Without a delay there is no watermark: no row is ever too late.
     """
     if df.isStreaming:
-        return df.withColumn(out, event_time(millis)).withWatermark(out, delay)
+        marked = df.withColumn(out, event_time(millis))
+        return marked.withWatermark(out, delay) if delay else marked
     return df.withColumn(out, F.coalesce(F.col(millis).cast("bigint"), F.lit(0).cast("bigint")))
 
 

@@ -98,12 +98,46 @@ def test_heavy_keys_are_found(spark):
     from buyerlens.operators import skew
 
     df = frame(spark, hot_data())
-    parts, cut = skew.split_heavy_keys(df, ["k"], "seq", 40)
-    assert cut
+    parts, heavy = skew.split_heavy_keys(df, ["k"], ["seq"], 40)
     by = {r["k"]: r["n"] for r in parts.groupBy("k").agg(F.countDistinct(skew.PART).alias("n")).collect()}
     assert by[0] > 10 and set(by[k] for k in by if k) == {1}
     assert parts.groupBy("k", skew.PART).count().agg(F.max("count")).first()[0] < 40
-    assert not skew.split_heavy_keys(df, ["k"], "seq")[1]
+    assert {r["k"] for r in heavy.collect()} == {0}
+    assert skew.split_heavy_keys(df, ["k"], ["seq"])[1].count() == 0
+
+
+def burst_data(spark):
+    """Null times, a row at the epoch and half of a key's rows at one time."""
+    rnd = random.Random(8)
+    times = [None] * 50 + [0] + [1_700_000_000_000] * 500 + [1_700_000_000_000 + rnd.randrange(10**6) for _ in range(449)]
+    data = [(1, t, i, rnd.choice(["a", "b", None]), rnd.choice(["x", "y"])) for i, t in enumerate(times)]
+    data += [(2, i, i, "a", "x") for i in range(5)]
+    return spark.createDataFrame(data, "k int, ts long, seq long, p string, q string")
+
+
+def test_bursts_and_missing_times_are_cut(spark):
+    from buyerlens.operators import skew
+
+    df = burst_data(spark)
+    parts, _ = skew.split_heavy_keys(df, ["k"], ["ts", "seq"], 100)
+    sizes = parts.groupBy("k", skew.PART).agg(F.count("*").alias("n"), F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    found = sizes.filter("k = 1").orderBy(skew.PART).collect()
+    assert max(r.n for r in found) <= 60 and sum(r.n for r in found) == 1000
+    # Ranges follow the order, missing times first.
+    assert found[0].lo is None
+    for a, b in zip(found, found[1:]):
+        assert a.hi is None or a.hi <= b.lo
+
+
+def test_cut_and_uncut_agree_on_bursts(spark):
+    df = burst_data(spark)
+    for cut, whole in (
+        (labels.label_changes(df, "k", ["p", "q"], ["ts", "seq"], ["seq"], h) for h in (100, 10**9)),
+        (labels.label_changes(df, "k", ["p", "q"], ["ts", "seq", "p"], ["seq"], h) for h in (100, 10**9)),
+        (labels.emit_on_change(df, "k", ["p", "q"], ["ts", "seq"], h) for h in (100, 10**9)),
+        (dedup.keep_if_newer(df, ["k"], "seq", ["ts", "seq"], h) for h in (100, 10**9)),
+    ):
+        assert rows(cut) == rows(whole) and whole.count() > 2
 
 
 def test_label_profile_ties(spark):
@@ -160,6 +194,16 @@ def test_lookup_default(spark):
     assert rows(got) == [(None, "N/A"), ("1", "one"), ("9", "N/A")]
 
 
+def test_last_sku(spark):
+    skus = spark.createDataFrame(
+        [(1, "b", 5, "x"), (1, "a", 9, "y"), (2, None, None, None), (2, "c", None, "z")],
+        "sku_id int, tm_name string, sku_price int, order_category string",
+    )
+    assert rows(lookups.last_sku(skus)) == [(1, "a", 9, "y"), (2, "c", None, "z")]
+    numbered = skus.withColumn("seq", -F.coalesce("sku_price", F.lit(0)))
+    assert rows(lookups.last_sku(numbered))[0] == (1, "b", 5, "x")
+
+
 def test_dimension_chains(spark):
     c1 = spark.createDataFrame([(1, "L1")], "id int, name string")
     c2 = spark.createDataFrame([(10, "L2", 1), (11, "none", 99)], "id int, name string, category1_id int")
