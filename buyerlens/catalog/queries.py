@@ -271,9 +271,9 @@ def term_category_lookup(spark, sf):
 
 @query
 def sku_value_bands(spark, sf):
-    unlisted = F.when(F.col("l_partkey") % 7 == 0, -1).otherwise(1)
+    unlisted = F.when(F.col("l_partkey") % 7 == 0, -1 - F.col("l_partkey"))
     li = t.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", (F.col("l_partkey") * unlisted).alias("l_partkey"),
+        "l_orderkey", "l_linenumber", F.coalesce(unlisted, "l_partkey").alias("l_partkey"),
         t.order_ms("l_orderkey").alias("create_ms"),
     )
     known = lookups.last_sku(t.repeated_skus(spark, sf))

@@ -24,28 +24,28 @@ WEIGHTS = {
 
 # Dimension, labels sharing a row, factors for the six bands.
 FACTORS = [
-    ("device", "iOS", ".7 .6 .5 .4 .3 .2"),
-    ("device", "Android", ".8 .7 .6 .5 .4 .3"),
-    ("search", "时尚与潮流", ".9 .7 .5 .3 .2 .1"),
-    ("search", "性价比", ".2 .4 .6 .7 .8 .8"),
-    ("search", "健康与养生 家庭与育儿", ".1 .2 .4 .6 .8 .7"),
-    ("search", "科技与数码", ".8 .6 .4 .3 .2 .1"),
-    ("search", "学习与发展", ".4 .5 .6 .7 .8 .7"),
-    ("tm", "索芙特 小米 Redmi CAREMiLLE TCL 联想 金沙河", ".9 .7 .5 .3 .2 .1"),
-    ("tm", "苹果 长粒香 香奈儿", ".1 .3 .5 .7 .8 .9"),
-    ("category", "潮流服饰", ".9 .8 .6 .4 .2 .1"),
-    ("category", "家具用品", ".2 .4 .6 .8 .9 .7"),
-    ("category", "健康食品", ".1 .2 .4 .6 .8 .9"),
-    ("price", "低价商品", ".8 .6 .4 .3 .2 .1"),
-    ("price", "中价商品", ".2 .4 .6 .7 .8 .7"),
-    ("price", "高价商品", ".1 .2 .3 .4 .5 .6"),
-    ("time", "凌晨", ".2 .1 .1 .1 .1 .1"),
-    ("time", "早晨", ".1 .1 .1 .1 .2 .3"),
-    ("time", "上午", ".2 .2 .2 .2 .3 .4"),
-    ("time", "中午", ".4 .4 .4 .4 .4 .3"),
-    ("time", "下午", ".4 .5 .5 .5 .5 .4"),
-    ("time", "晚上", ".8 .7 .6 .5 .4 .3"),
-    ("time", "夜间", ".9 .7 .5 .3 .2 .1"),
+    ("device", ("iOS",), ["0.7", "0.6", "0.5", "0.4", "0.3", "0.2"]),
+    ("device", ("Android",), ["0.8", "0.7", "0.6", "0.5", "0.4", "0.3"]),
+    ("search", ("时尚与潮流",), ["0.9", "0.7", "0.5", "0.3", "0.2", "0.1"]),
+    ("search", ("性价比",), ["0.2", "0.4", "0.6", "0.7", "0.8", "0.8"]),
+    ("search", ("健康与养生", "家庭与育儿"), ["0.1", "0.2", "0.4", "0.6", "0.8", "0.7"]),
+    ("search", ("科技与数码",), ["0.8", "0.6", "0.4", "0.3", "0.2", "0.1"]),
+    ("search", ("学习与发展",), ["0.4", "0.5", "0.6", "0.7", "0.8", "0.7"]),
+    ("tm", ("索芙特", "小米", "Redmi", "CAREMiLLE", "TCL", "联想", "金沙河"), ["0.9", "0.7", "0.5", "0.3", "0.2", "0.1"]),
+    ("tm", ("苹果", "长粒香", "香奈儿"), ["0.1", "0.3", "0.5", "0.7", "0.8", "0.9"]),
+    ("category", ("潮流服饰",), ["0.9", "0.8", "0.6", "0.4", "0.2", "0.1"]),
+    ("category", ("家具用品",), ["0.2", "0.4", "0.6", "0.8", "0.9", "0.7"]),
+    ("category", ("健康食品",), ["0.1", "0.2", "0.4", "0.6", "0.8", "0.9"]),
+    ("price", ("低价商品",), ["0.8", "0.6", "0.4", "0.3", "0.2", "0.1"]),
+    ("price", ("中价商品",), ["0.2", "0.4", "0.6", "0.7", "0.8", "0.7"]),
+    ("price", ("高价商品",), ["0.1", "0.2", "0.3", "0.4", "0.5", "0.6"]),
+    ("time", ("凌晨",), ["0.2", "0.1", "0.1", "0.1", "0.1", "0.1"]),
+    ("time", ("早晨",), ["0.1", "0.1", "0.1", "0.1", "0.2", "0.3"]),
+    ("time", ("上午",), ["0.2", "0.2", "0.2", "0.2", "0.3", "0.4"]),
+    ("time", ("中午",), ["0.4", "0.4", "0.4", "0.4", "0.4", "0.3"]),
+    ("time", ("下午",), ["0.4", "0.5", "0.5", "0.5", "0.5", "0.4"]),
+    ("time", ("晚上",), ["0.8", "0.7", "0.6", "0.5", "0.4", "0.3"]),
+    ("time", ("夜间",), ["0.9", "0.7", "0.5", "0.3", "0.2", "0.1"]),
 ]
 
 # Dimensions whose oldest band is written as ``<dim>_50`` and so never reaches the ``50以上`` sum.
@@ -58,9 +58,9 @@ def score_rows(factors=FACTORS, weights=WEIGHTS) -> list[tuple]:
     for dim, labels, values in factors:
         weight = Decimal(weights[dim])
         scores = [
-            (Decimal(v) * weight).quantize(Decimal("0.001"), ROUND_HALF_UP) for v in values.split()
+            (Decimal(v) * weight).quantize(Decimal("0.001"), ROUND_HALF_UP) for v in values
         ]
-        rows += [(dim, label, *scores) for label in labels.split()]
+        rows += [(dim, label, *scores) for label in labels]
     return rows
 
 

@@ -44,7 +44,7 @@ def keep_if_newer(
     keys: list[str],
     ts: str,
     order: list[str],
-    heavy_rows: int = skew.HEAVY_ROWS,
+    heavy_rows: int | None = skew.HEAVY_ROWS,
 ) -> DataFrame:
     """In order of arrival, the first row of a key and every row newer than all before it.
 
@@ -55,8 +55,8 @@ def keep_if_newer(
     """
     if order[0] == ts:
         return keep_first(df, [*keys, ts], order[1:] or [ts])
-    parts, heavy = skew.split_heavy_keys(df, keys, order, heavy_rows)
-    rows = skew.with_carry(parts, _newest_before(heavy, keys, ts))
+    parts, cut = skew.split_heavy_keys(df, keys, order, heavy_rows)
+    rows = skew.with_carry(parts, _newest_before(parts, keys, ts) if cut else None)
     before = (
         W.partitionBy(*keys, skew.PART)
         .orderBy(F.desc(skew.CARRY), *order)
@@ -72,6 +72,6 @@ def keep_if_newer(
 
 def _newest_before(parts: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """Newest time before each range of a heavy key."""
-    heads = parts.groupBy(*keys, skew.PART).agg(F.max(ts).alias(ts))
+    heads = parts.filter(F.col(skew.PART) > 0).groupBy(*keys, skew.PART).agg(F.max(ts).alias(ts))
     earlier = W.partitionBy(*keys).orderBy(skew.PART).rowsBetween(W.unboundedPreceding, -1)
     return heads.withColumn(ts, F.max(ts).over(earlier)).filter(F.col(ts).isNotNull())

@@ -36,15 +36,15 @@ def emit_on_change(
     key: str,
     cols: list[str],
     order: list[str],
-    heavy_rows: int = skew.HEAVY_ROWS,
+    heavy_rows: int | None = skew.HEAVY_ROWS,
 ) -> DataFrame:
     """Rows whose ``cols`` differ from the key's row before them (static input).
 
     The first row of a key is always kept; nulls compare equal. Heavy keys are cut into ranges of
     the order, each preceded by the last row of the range before.
     """
-    parts, heavy = skew.split_heavy_keys(df, [key], order, heavy_rows)
-    rows = skew.with_carry(parts, _last_before(heavy, key, cols, order))
+    parts, cut = skew.split_heavy_keys(df, [key], order, heavy_rows)
+    rows = skew.with_carry(parts, _last_before(parts, key, cols, order) if cut else None)
     in_order = W.partitionBy(key, skew.PART).orderBy(F.desc(skew.CARRY), *order)
     return (
         rows.withColumn("__v", F.struct(*cols))
@@ -60,7 +60,8 @@ def emit_on_change(
 def _last_before(parts: DataFrame, key: str, cols: list[str], order: list[str]) -> DataFrame:
     """Last row before each range of a heavy key."""
     last = (
-        parts.groupBy(key, skew.PART)
+        parts.filter(F.col(skew.PART) > 0)
+        .groupBy(key, skew.PART)
         .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("v"))
     )
     by_range = W.partitionBy(key).orderBy(skew.PART)
@@ -74,7 +75,7 @@ def label_changes(
     dims: list[str],
     order: list[str],
     out_cols: list[str],
-    heavy_rows: int = skew.HEAVY_ROWS,
+    heavy_rows: int | None = skew.HEAVY_ROWS,
 ) -> DataFrame:
     """Running most-frequent labels per key, one row whenever any of them changes (static input).
 
@@ -84,12 +85,12 @@ def label_changes(
     the leader so far. ``order`` gives the processing order; ``out_cols`` are kept beside the labels.
     """
     counted = [f"__w_{d}" for d in dims]
-    parts, heavy = skew.split_heavy_keys(
+    parts, cut = skew.split_heavy_keys(
         df.select(*dict.fromkeys([key, *dims, *order, *out_cols])), [key], order, heavy_rows
     )
     rows = skew.with_carry(
         parts.select("*", *[F.lit(1).cast("bigint").alias(w) for w in counted]),
-        _carry_counts(heavy, key, dims),
+        _carry_counts(parts, key, dims) if cut else None,
     )
     out_cols = [c for c in out_cols if c not in (key, *dims)]
     # One shuffle by (key, range) serves every window below. Numbering the rows first settles ties
@@ -127,7 +128,8 @@ def _carry_counts(parts: DataFrame, key: str, dims: list[str]) -> DataFrame:
     """Counts before each range: for labels the range contains, and for the leader so far."""
     at = [key, skew.PART, "dim"]
     counts = (
-        parts.unpivot(
+        parts.filter(F.col(skew.PART) > 0)
+        .unpivot(
             [F.col(key), F.col(skew.PART)],
             [F.col(d).cast("string").alias(d) for d in dims],
             "dim",

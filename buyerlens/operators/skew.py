@@ -10,9 +10,8 @@ A heavy key is cut at quantiles of its first order column, nulls first. A value
 a range of its own, so a burst of rows with one time does not widen its neighbours; if the burst alone
 is heavy, it is cut again at quantiles of the second order column.
 
-All of it is part of the plan: no job runs when an operator is built. Heavy keys and their cuts are
-broadcast; a key is cut only if it has more than 1 / MAX_HEAVY_KEYS of all rows, which bounds them.
-Where there are none, adaptive execution drops the branches that read heavy keys.
+Finding the heavy keys is one count per key, run when the operator is built; nothing else is read if
+there are none, which is usual, and the plan stays a plain window. ``heavy_rows=None`` skips the search.
 """
 
 from __future__ import annotations
@@ -22,72 +21,70 @@ from pyspark.sql import Column, DataFrame, functions as F
 PART = "__part"
 CARRY = "__carry"
 
-# A key is cut if it has more rows than this and more than 1 / MAX_HEAVY_KEYS of all rows. At 10^12 rows
-# that is fifteen million rows: fewer stay in one task.
+# A key is cut if it has more rows than this; at most MAX_HEAVY_KEYS are, the heaviest first. Below
+# 10^11 rows no more than that many keys can qualify.
 HEAVY_ROWS = 2_000_000
 MAX_HEAVY_KEYS = 65_536
 CUTS = 64
 _NUMBERS = ("bigint", "int", "smallint", "tinyint", "double", "float")
 
 
-def _cuts(df: DataFrame, keys: list[str], by: str, heavy_rows: int, out: str) -> DataFrame:
-    """Heavy keys (as __k0, __k1 ..) with the cut values of ``by``."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n")).scalar()
+def heavy_cuts(df: DataFrame, keys: list[str], by: str, heavy_rows: int) -> DataFrame | None:
+    """Heavy keys (as __k0, __k1 ..) with the cut values of ``by`` as a local frame; None without any."""
     names = [f"__k{i}" for i in range(len(keys))]
-    heavy = counts.filter((F.col("__n") > heavy_rows) & (F.col("__n") * F.lit(MAX_HEAVY_KEYS) > total)).select(
-        *[F.col(k).alias(n) for k, n in zip(keys, names)]
-    )
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > heavy_rows)
+    heavy = counts.orderBy(F.desc("__n")).limit(MAX_HEAVY_KEYS).select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    found = heavy.collect()
+    if not found:
+        return None
+    spark = df.sparkSession
+    heavy = spark.createDataFrame(found, heavy.schema)
     rows = df.select(*keys, by).join(F.broadcast(heavy), _same(df, keys, heavy))
     shares = [i / CUTS for i in range(1, CUTS)]
     cuts = F.array_sort(F.array_distinct(F.percentile_approx(by, shares, 10_000)))
-    return rows.groupBy(*names).agg(F.coalesce(cuts, F.array().cast(f"array<{dict(df.dtypes)[by]}>")).alias(out))
+    cuts = F.coalesce(cuts, F.array().cast(f"array<{dict(df.dtypes)[by]}>"))
+    cuts = rows.groupBy(*names).agg(cuts.alias("__cuts"))
+    return spark.createDataFrame(cuts.collect(), cuts.schema)  # MAX_HEAVY_KEYS rows of CUTS values at most
 
 
 def _same(df: DataFrame, keys: list[str], other: DataFrame) -> list[Column]:
     return [df[k].eqNullSafe(other[f"__k{i}"]) for i, k in enumerate(keys)]
 
 
-def _place(value: Column, cuts: Column) -> Column:
-    """Range of a value: even between cuts, odd for the cuts themselves; nulls in the first."""
-    below = F.size(F.filter(cuts, lambda c: c < value))
-    return F.when(value.isNull(), -1).otherwise(2 * below + F.array_contains(cuts, value).cast("int"))
+def _place(value: Column) -> Column:
+    """Range of a value: even between cuts, odd for the cuts themselves; nulls first."""
+    below = F.size(F.filter("__cuts", lambda c: c < value))
+    place = F.when(value.isNull(), 1).otherwise(2 * below + F.array_contains("__cuts", value).cast("int") + 2)
+    return F.when(F.col("__cuts").isNotNull(), place).otherwise(0).cast("bigint")
 
 
 def split_heavy_keys(
-    df: DataFrame, keys: list[str], order: list[str], heavy_rows: int = HEAVY_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """Rows with their range number, 0 for ordinary keys and 1.. in order for heavy ones.
+    df: DataFrame, keys: list[str], order: list[str], heavy_rows: int | None = HEAVY_ROWS
+) -> tuple[DataFrame, bool]:
+    """Add the range number: 0 for ordinary keys, 1.. in order for heavy ones.
 
-    Also gives the rows of heavy keys alone, for the carry rows. Rows that agree in the first two order
-    columns share a range. The first order column must be numeric.
+    Also tells whether any key was cut. The first order column must be numeric. Rows that agree in the
+    first two order columns share a range.
     """
-    kinds = dict(df.dtypes)
-    cuts = _cuts(df, keys, order[0], heavy_rows, "__cuts")
-    place = _place(F.col(order[0]), F.col("__cuts")) + 2
-
-    def ranged(how: str) -> DataFrame:
-        joined = df.join(F.broadcast(cuts), _same(df, keys, cuts), how)
-        part = F.when(F.col("__cuts").isNotNull(), place.cast("bigint") * F.lit(1 << 32)).otherwise(F.lit(0))
-        return joined.select(*df.columns, part.cast("bigint").alias(PART))
-
-    if len(order) < 2 or kinds.get(order[1]) not in _NUMBERS:
-        return ranged("left"), ranged("inner")
-    bursts = _cuts(ranged("inner"), [*keys, PART], order[1], heavy_rows, "__cuts2")
-    again = [*keys, PART]
-
-    def cut_again(how: str) -> DataFrame:
-        rows = ranged(how)
-        joined = rows.join(F.broadcast(bursts), _same(rows, again, bursts), "left")
-        # Only a range of one value may be cut by the next column: odd places.
-        odd = F.pmod(F.shiftright(PART, 32), F.lit(2)) == 1
-        inner = F.when(odd & F.col("__cuts2").isNotNull(), _place(F.col(order[1]), F.col("__cuts2")) + 2)
-        return joined.select(*df.columns, (F.col(PART) + F.coalesce(inner, F.lit(0))).alias(PART))
-
-    return cut_again("left"), cut_again("inner")
-
-
-def with_carry(parts: DataFrame, carry: DataFrame) -> DataFrame:
+    cuts = None if heavy_rows is None else heavy_cuts(df, keys, order[0], heavy_rows)
+    if cuts is None:
+        return df.withColumn(PART, F.lit(0).cast("bigint")), False
+    joined = df.join(F.broadcast(cuts), _same(df, keys, cuts), "left")
+    parts = joined.select(*df.columns, (_place(F.col(order[0])) * (1 << 32)).alias(PART))
+    if len(order) > 1 and dict(df.dtypes)[order[1]] in _NUMBERS:
+        again = [*keys, PART]
+        # Ranges of one value (odd places) may be cut by the next column.
+        single = parts.filter(F.pmod(F.shiftright(PART, 32), F.lit(2)) == 1)
+        bursts = heavy_cuts(single, again, order[1], heavy_rows)
+        if bursts is not None:
+            joined = parts.join(F.broadcast(bursts), _same(parts, again, bursts), "left")
+            parts = joined.select(*df.columns, (F.col(PART) + _place(F.col(order[1]))).alias(PART))
+    return parts, True
+
+
+def with_carry(parts: DataFrame, carry: DataFrame | None) -> DataFrame:
     """Own rows and carry rows together, told apart by the flag column."""
     own = parts.withColumn(CARRY, F.lit(False))
+    if carry is None:
+        return own
     return own.unionByName(carry.withColumn(CARRY, F.lit(True)), allowMissingColumns=True)

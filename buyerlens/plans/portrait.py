@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from buyerlens.functions.bands import price_band
 from buyerlens.functions.calendar import DAY_MS, hour_band, hour_of_day
+from buyerlens.functions.scores import BANDS, SCORE_TYPE
 from buyerlens.operators import cdc
 from buyerlens.operators.activity import activity_snapshots
 from buyerlens.operators.dedup import dedup_exact, keep_if_newer
@@ -129,18 +130,26 @@ def shopper_age(
 
     On streams ``late`` bounds the state: rows later than that are dropped. Without it all are kept.
     """
-    left = timed(orders.withColumnRenamed("ts", "o_ts"), "o_ts", "order_ts", late)
-    right = timed(devices.withColumnRenamed("ts", "d_ts"), "d_ts", "device_ts", late)
+    # Pairs carry one subtotal per band and side, not the scores of all dimensions.
+    left = timed(_subtotals(orders, "user_id", "o_", SCORE_DIMS[:4], fix_50_plus), "o_ts", "order_ts", late)
+    right = timed(_subtotals(devices, "uid", "d_", SCORE_DIMS[4:], fix_50_plus), "d_ts", "device_ts", late)
     joined = interval_join(
         left, right, [("user_id", "uid")], "order_ts", "device_ts", -DAY_MS, DAY_MS
     )
-    banded = top_band(total_scores(joined, SCORE_DIMS, fix_50_plus))
+    totals = [(F.col(f"`o_{b}`") + F.col(f"`d_{b}`")).cast(SCORE_TYPE).alias(b) for b in BANDS]
+    banded = top_band(joined.select("*", *totals))
     later = F.greatest("o_ts", "d_ts").alias("ts")
     if joined.isStreaming:
         return banded.select("user_id", "shop_age", later, "order_ts")
     return banded.select("user_id", "shop_age", later).distinct()
 
 
+def _subtotals(df: DataFrame, key: str, prefix: str, dims: list[str], fix_50_plus: bool) -> DataFrame:
+    """The key, the time and the sum of the dimensions' scores per band."""
+    bands = [F.col(f"`{b}`").alias(prefix + b) for b in BANDS]
+    return total_scores(df, dims, fix_50_plus).select(key, F.col("ts").alias(f"{prefix}ts"), *bands)
+
+
 def merge_profile(ages: DataFrame, base: DataFrame, late: str | None = None) -> DataFrame:
     """Portrait rows: shopper age beside base labels at most one day apart, each row once.
 
