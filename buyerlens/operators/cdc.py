@@ -32,7 +32,12 @@ def _parsed(df: DataFrame, schema: str, value_col: str) -> DataFrame:
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"},
     )
     texts = df.filter(F.col(value_col).isNotNull())
-    return texts.select(F.col(value_col).alias("value"), F.inline(F.array(record)))
+    return texts.select(F.col(value_col).alias("value"), *_arrival(df), F.inline(F.array(record)))
+
+
+def _arrival(df: DataFrame) -> list[str]:
+    """The position of a record in its topic travels with it where the source gives one."""
+    return ["arrival"] if "arrival" in df.columns else []
 
 
 def route(df: DataFrame, table: str, table_col: str = "source.table") -> DataFrame:
@@ -73,7 +78,7 @@ def flatten_image(df: DataFrame, fallback_before: bool = False) -> DataFrame:
     row, and ``op`` is added (a default text where it is missing).
     """
     if not fallback_before:
-        return df.filter(F.col("after").isNotNull()).select("after.*", "ts_ms")
+        return df.filter(F.col("after").isNotNull()).select("after.*", "ts_ms", *_arrival(df))
     filled = reduce(
         or_, [F.col(f"after.{f}").isNotNull() for f in df.schema["after"].dataType.names]
     )
@@ -81,8 +86,9 @@ def flatten_image(df: DataFrame, fallback_before: bool = False) -> DataFrame:
         F.when(filled, F.col("after")).otherwise(F.col("before")).alias("i"),
         F.coalesce("op", F.lit(NO_OP)).alias("op"),
         "ts_ms",
+        *_arrival(df),
     )
-    return image.select("i.*", "op", "ts_ms")
+    return image.select("i.*", "op", "ts_ms", *_arrival(df))
 
 
 def has_text(name: str) -> Column:
@@ -134,7 +140,7 @@ def body_labels(sups: DataFrame) -> DataFrame:
 def order_heads(orders: DataFrame) -> DataFrame:
     """order_id, order_time, user_id and ts_ms of flattened orders."""
     return orders.filter(has_text("id")).select(
-        F.col("id").alias("order_id"), F.col("create_time").alias("order_time"), "user_id", "ts_ms"
+        F.col("id").alias("order_id"), F.col("create_time").alias("order_time"), "user_id", "ts_ms", *_arrival(orders)
     )
 
 

@@ -23,7 +23,7 @@ from buyerlens.operators.lookups import last_sku, lookup, search_category
 from buyerlens.operators.scoring import score, top_band, total_scores
 from buyerlens.session import DEFAULT_TZ
 from buyerlens.sinks.writers import write_files
-from buyerlens.streaming.event_time import timed, window_last
+from buyerlens.streaming.event_time import WATERMARK, timed, window_last
 from buyerlens.streaming.stateful import (
     keep_if_newer_stream,
     label_changes_stream,
@@ -58,13 +58,14 @@ def base_profile(
     )
 
 
-def device_scores(views: DataFrame, dims: Dimensions) -> DataFrame:
+def device_scores(views: DataFrame, dims: Dimensions, delay: str = WATERMARK) -> DataFrame:
     """Device and search scores per user at the end of each two-minute window with views.
 
-    Input: projected page views (:func:`buyerlens.operators.cdc.project_page_log`).
+    Input: projected page views (:func:`buyerlens.operators.cdc.project_page_log`). On streams a window
+    waits ``delay`` for late views and views later than that are not counted.
     """
     if views.isStreaming:
-        once = timed(dedup_exact(views), "ts", "view_time")
+        once = timed(dedup_exact(views), "ts", "view_time", delay)
         running = running_activity_stream(once, "uid", "view_time", ["ts", "os", "search_item"])
         seen = window_last(running, "uid", "view_time", ["ts", "pv", "judge_os", "search_item"]).drop(
             "view_time"
@@ -81,7 +82,9 @@ def order_scores(
 ) -> DataFrame:
     """Order-label scores per user, one row whenever the user's leading labels change."""
     heads = cdc.order_heads(cdc.flatten_image(orders))
-    version_order = ["ts_ms", "order_time", "user_id"]
+    # Versions count in order of arrival where the source gives it, else in order of their own time.
+    first = "arrival" if "arrival" in heads.columns else "ts_ms"
+    version_order = [first, "order_time", "user_id"]
     # Repeated records have equal times, so keep-if-newer also removes exact copies.
     if heads.isStreaming:
         timed_heads = timed(heads, "ts_ms", "order_ts")
@@ -199,16 +202,18 @@ def run_streams(
     fix_50_plus: bool = False,
     late: str | None = None,
     files_per_batch: int | None = None,
+    view_delay: str = WATERMARK,
 ) -> list:
     """Start the portrait as streams: three scored branches to tables, then the merge.
 
     With ``once`` each query works off what is there and the branches finish before the merge. ``late``
     bounds the merge's state (for instance "7 days") at the price of later rows; by default it keeps all.
-    ``files_per_batch`` bounds how much of a backlog the merge takes at a time.
+    ``files_per_batch`` bounds how much of a backlog the merge takes at a time, ``view_delay`` is how long
+    activity windows wait for late views.
     """
     branches = {
         "base": base_profile(tables["user_info"], tables["user_info_sup_msg"], as_of),
-        "devices": device_scores(views, dims),
+        "devices": device_scores(views, dims, view_delay),
         "orders": order_scores(tables["order_info"], tables["order_detail"], dims, tz),
     }
     queries = [

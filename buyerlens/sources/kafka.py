@@ -29,16 +29,22 @@ def kafka_read_options(
     return options
 
 
-def text_values(raw: DataFrame) -> DataFrame:
-    """The value column as text; tombstones (null values) are dropped."""
-    return raw.select(F.col("value").cast("string").alias("value")).filter(F.col("value").isNotNull())
+def text_values(raw: DataFrame, positions: bool = False) -> DataFrame:
+    """The value column as text; tombstones (null values) are dropped.
 
+    With ``positions`` the column ``arrival`` keeps the offset. Change topics are partitioned by row key,
+    so the records of one key lie in one partition and their offsets are their order of arrival, which the
+    newest-version rules then follow in batches and streams alike.
+    """
+    kept = [F.col("offset").cast("bigint").alias("arrival")] if positions else []
+    return raw.select(F.col("value").cast("string").alias("value"), *kept).filter(F.col("value").isNotNull())
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, **kw) -> DataFrame:
+
+def kafka_stream(spark: SparkSession, servers: str, topic: str, positions: bool = False, **kw) -> DataFrame:
     reader = spark.readStream.format("kafka").options(**kafka_read_options(servers, topic, **kw))
-    return text_values(reader.load())
+    return text_values(reader.load(), positions)
 
 
-def kafka_batch(spark: SparkSession, servers: str, topic: str, **kw) -> DataFrame:
+def kafka_batch(spark: SparkSession, servers: str, topic: str, positions: bool = False, **kw) -> DataFrame:
     reader = spark.read.format("kafka").options(**kafka_read_options(servers, topic, **kw))
-    return text_values(reader.load())
+    return text_values(reader.load(), positions)

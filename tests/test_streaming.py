@@ -134,6 +134,34 @@ def test_order_scores_stream_equals_batch(spark, tmp_path):
     assert rows(got, *want.columns) == rows(want)
 
 
+@pytest.mark.parametrize("parts", [1, 2, 3])
+def test_arrival_order_decides_in_batch_and_stream(spark, tmp_path, parts):
+    """An older version that arrives late is dropped, however the records fall into micro-batches."""
+    rows_in = [(0, 1, 1000), (1, 1, 3000), (2, 1, 2000), (3, 2, 500), (4, 1, 4000), (5, 2, 400)]
+    df = spark.createDataFrame(rows_in, "arrival long, order_id long, ts_ms long")
+    want = [(1, 1000), (1, 3000), (1, 4000), (2, 500)]
+    batch = keep_if_newer(df, ["order_id"], "ts_ms", ["arrival"])
+    assert rows(batch, "order_id", "ts_ms") == want
+    source, out, name = str(tmp_path / "in"), str(tmp_path / "out"), "arrival-" + uuid.uuid4().hex
+    for k in range(parts):
+        df.filter(F.floor(F.col("arrival") * parts / 6) == k).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(df.schema).parquet(source)
+        writers.write_files(keep_if_newer_stream(stream, ["order_id"], "ts_ms", ["arrival"]), out, name).awaitTermination()
+    assert rows(spark.read.parquet(out), "order_id", "ts_ms") == want
+
+
+def test_order_scores_follow_arrival(spark, tmp_path):
+    lines, _ = _inputs(spark, tmp_path, 1)
+    dims = shop.dimensions(spark)
+    text = spark.read.text(lines).withColumn("arrival", F.monotonically_increasing_id())
+    tables, _ = cdc.parse_cdc(text)
+    assert "arrival" in tables["order_info"].columns
+    plain, _ = cdc.parse_cdc(text.drop("arrival"))
+    got = portrait.order_scores(tables["order_info"], tables["order_detail"], dims)
+    want = portrait.order_scores(plain["order_info"], plain["order_detail"], dims)
+    assert got.columns == want.columns and got.count() <= want.count()
+
+
 def _comment_lines():
     out = [shop.order(i, 1, shop.T0 + i, op="c") for i in range(20)]
     out += [shop.comment(i, i, 1, str(1200 + i % 3), shop.T0 + i + d) for i, d in
