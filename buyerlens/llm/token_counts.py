@@ -20,7 +20,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from buyerlens.llm.common import new_path, text_or_empty
+from buyerlens.llm.common import new_path, text_or_empty, written
 
 CACHE_SCHEMA = "content_digest string, tokenizer_digest string, n_tokens long"
 
@@ -133,6 +133,8 @@ def token_counts(
         .groupBy("content_digest")
         .agg(F.first("n_tokens").alias("__n_tokens"))
     )
+    # Two plain tables meet, so adaptive execution can split a digest that a third of the rows share.
+    stored = written(stored, "token-counts")
     body = normalised(text)
     rows = docs.select(
         *keep, F.octet_length(body).cast("long").alias("__n_bytes"), F.sha2(body, 256).alias("content_digest")
