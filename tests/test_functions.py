@@ -108,3 +108,53 @@ def test_score_frame(spark):
     frame = scores.score_frame(spark)
     assert frame.count() == len(scores.score_rows()) * 6
     assert frame.filter("dimension = 'tm' AND label = '苹果' AND band = '40_49'").first().score == Decimal("0.160")
+
+
+#: Every score: dimension, label and the six bands from 18_24 to 50以上.
+ALL_SCORES = [
+    ("device", "iOS", "0.070 0.060 0.050 0.040 0.030 0.020"),
+    ("device", "Android", "0.080 0.070 0.060 0.050 0.040 0.030"),
+    ("search", "时尚与潮流", "0.135 0.105 0.075 0.045 0.030 0.015"),
+    ("search", "性价比", "0.030 0.060 0.090 0.105 0.120 0.120"),
+    ("search", "健康与养生", "0.015 0.030 0.060 0.090 0.120 0.105"),
+    ("search", "家庭与育儿", "0.015 0.030 0.060 0.090 0.120 0.105"),
+    ("search", "科技与数码", "0.120 0.090 0.060 0.045 0.030 0.015"),
+    ("search", "学习与发展", "0.060 0.075 0.090 0.105 0.120 0.105"),
+    ("tm", "索芙特", "0.180 0.140 0.100 0.060 0.040 0.020"),
+    ("tm", "小米", "0.180 0.140 0.100 0.060 0.040 0.020"),
+    ("tm", "Redmi", "0.180 0.140 0.100 0.060 0.040 0.020"),
+    ("tm", "CAREMiLLE", "0.180 0.140 0.100 0.060 0.040 0.020"),
+    ("tm", "TCL", "0.180 0.140 0.100 0.060 0.040 0.020"),
+    ("tm", "联想", "0.180 0.140 0.100 0.060 0.040 0.020"),
+    ("tm", "金沙河", "0.180 0.140 0.100 0.060 0.040 0.020"),
+    ("tm", "苹果", "0.020 0.060 0.100 0.140 0.160 0.180"),
+    ("tm", "长粒香", "0.020 0.060 0.100 0.140 0.160 0.180"),
+    ("tm", "香奈儿", "0.020 0.060 0.100 0.140 0.160 0.180"),
+    ("category", "潮流服饰", "0.270 0.240 0.180 0.120 0.060 0.030"),
+    ("category", "家具用品", "0.060 0.120 0.180 0.240 0.270 0.210"),
+    ("category", "健康食品", "0.030 0.060 0.120 0.180 0.240 0.270"),
+    ("price", "低价商品", "0.120 0.090 0.060 0.045 0.030 0.015"),
+    ("price", "中价商品", "0.030 0.060 0.090 0.105 0.120 0.105"),
+    ("price", "高价商品", "0.015 0.030 0.045 0.060 0.075 0.090"),
+    ("time", "凌晨", "0.020 0.010 0.010 0.010 0.010 0.010"),
+    ("time", "早晨", "0.010 0.010 0.010 0.010 0.020 0.030"),
+    ("time", "上午", "0.020 0.020 0.020 0.020 0.030 0.040"),
+    ("time", "中午", "0.040 0.040 0.040 0.040 0.040 0.030"),
+    ("time", "下午", "0.040 0.050 0.050 0.050 0.050 0.040"),
+    ("time", "晚上", "0.080 0.070 0.060 0.050 0.040 0.030"),
+    ("time", "夜间", "0.090 0.070 0.050 0.030 0.020 0.010"),
+]
+
+
+def test_every_score():
+    from buyerlens.functions.scores import score_rows
+
+    got = [(r[0], r[1], " ".join(str(v) for v in r[2:])) for r in score_rows()]
+    assert sorted(got) == sorted(ALL_SCORES)
+
+
+def test_label_with_a_space():
+    from buyerlens.functions.scores import score_rows
+
+    rows = score_rows([("tm", ("Estee Lauder",), ["0.5"] * 6)], {"tm": "0.2"})
+    assert [r[:2] for r in rows] == [("tm", "Estee Lauder")]
