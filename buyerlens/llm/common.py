@@ -20,9 +20,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, unless they find it by PYTHONPATH or working folder."""
+    """Give a local session's workers this package, unless they find it by PYTHONPATH or working folder.
+
+    On a cluster it is installed or sent with --py-files, as usual.
+    """
     root = Path(buyerlens.__file__).resolve().parents[1]
     context = spark.sparkContext
+    if not context.master.startswith("local["):
+        return
     found = [Path.cwd(), *(Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p)]
     if root in found or getattr(context, "_buyerlens_shipped", False):
         return
