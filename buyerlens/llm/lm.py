@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ LINE, SPACE, END = 1, 5, 6  # places in CLOSERS
 GRAMS = 1 << 19
 PIECES = 1 << 18
 PIECE_BYTES = 64  # longer pieces are not shipped
+TEXTS = 1024  # texts worked on at a time
 _RARE = re.compile(rb"[\t\x0b\x0c\r]")
 _ANY = re.compile(rb"([\t-\r ])")
 _NONE = (1 << 48) - 1  # six end marks: the context before a piece
@@ -74,20 +76,27 @@ def _counted(texts: DataFrame) -> DataFrame:
     A closer that follows a piece outside training only has count zero, one that never follows it null.
     """
 
-    def run(columns: list[pa.Array]) -> dict:
-        texts = [t.encode().lower() for t in columns[0].to_pylist()]
-        train = columns[1].to_pylist()
-        learned = piece_counts([t for t, x in zip(texts, train, strict=True) if x])
-        rest = piece_counts([t for t, x in zip(texts, train, strict=True) if not x])
-        keys = [*learned, *(k for k in rest if k not in learned)]
-        return {
-            "piece": pa.array([p for p, _ in keys], pa.binary()).cast(pa.string()),
-            "closer": [c for _, c in keys],
-            "w": [learned.get(k, 0) for k in keys],
-            "n": [learned.get(k, 0) + rest.get(k, 0) for k in keys],
-        }
-
-    rows = per_batch(texts, run, "piece string, closer int, w long, n long")
+    names = ["piece", "closer", "w", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):  # a worker holds the pieces of so many texts
+                texts = [t.encode().lower() for t in batch.column(0).slice(at, TEXTS).to_pylist()]
+                train = batch.column(1).slice(at, TEXTS).to_pylist()
+                for learn in (True, False):
+                    found = piece_counts([t for t, x in zip(texts, train, strict=True) if x == learn])
+                    n = pa.array(found.values(), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([p for p, _ in found], pa.binary()).cast(pa.string()),
+                            pa.array([c for _, c in found], pa.int32()),
+                            n if learn else pa.array(np.zeros(len(found), np.int64)),
+                            n,
+                        ],
+                        names=names,
+                    )
+
+    rows = texts.mapInArrow(run, "piece string, closer int, w long, n long")
     by_closer = [F.sum(F.when(F.col("closer") == i, F.col("w"))).alias(f"c{i}") for i in range(len(CLOSERS))]
     return rows.groupBy("piece").agg(F.sum("w").alias("w"), F.sum("n").alias("n"), *by_closer)
 
@@ -291,47 +300,41 @@ def score_documents(
     least = least_count(table, "n", pieces)
     frequent = (F.col("n") >= least) & (F.octet_length("piece") <= PIECE_BYTES)
     head = table.filter(frequent).select("piece", "w", "body", "tails").toArrow()
-    flat = head["tails"].combine_chunks().flatten().to_numpy().reshape(-1, len(CLOSERS))
-    head = {
-        p.encode(): (float(np.log10(w + 1)), w > 0 and p != "", t)
-        for p, w, t in zip(
-            head["piece"].to_pylist(), head["w"].to_pylist(), flat + head["body"].to_numpy()[:, None], strict=True
-        )
-    }
-    shipped = spark.sparkContext.broadcast(head)
+    tails = head["tails"].combine_chunks().flatten().to_numpy().reshape(-1, len(CLOSERS))
+    weights = head["w"].to_numpy()
+    places = {p.encode(): i for i, p in enumerate(head["piece"].to_pylist())}
+    logs = np.log10(weights + 1.0)
+    is_known = weights > 0
+    if b"" in places:
+        is_known[places[b""]] = False
+    shipped = spark.sparkContext.broadcast((places, logs * is_known, is_known, tails + head["body"].to_numpy()[:, None]))
     end_log = float(np.log10(ends + 1))
 
-    @arrow_udf("n_tokens long, known long, logs double, score double, pieces array<string>, closers array<int>, counts array<long>")
-    def scored(texts: pa.Array) -> pa.Array:
-        head = shipped.value
+    def score_texts(texts: list[str]) -> pa.Array:
+        places, logs, is_known, scores = shipped.value
         out: tuple[list, ...] = ([], [], [], [], [], [], [])
-        for t in map(pa.StringScalar.as_py, texts):
+        for t in texts:
             spaced, others = pieces_of(t.encode().lower())
-            found = [((p, SPACE), n) for p, n in Counter(spaced).items()] + list(Counter(others).items())
-            tokens, known, logs, score = 1, int(ends > 0), end_log, 0.0
-            rare = []
-            for (p, closer), n in found:
-                if p:
-                    tokens += n
-                entry = head.get(p)
-                if entry is None:
-                    rare.append((p, closer, n))
-                    continue
-                score += n * entry[2][closer]
-                if entry[1]:
-                    known += n
-                    logs += n * entry[0]
-            for column, value in zip(
-                out,
-                (tokens, known, logs, score, [x[0] for x in rare], [x[1] for x in rare], [x[2] for x in rare]),
-                strict=True,
-            ):
-                column.append(value)
+            found = [(p, SPACE, n) for p, n in Counter(spaced).items()]
+            found += [(p, closer, n) for (p, closer), n in Counter(others).items()]
+            at = [places.get(p, -1) for p, _, _ in found]
+            rare = [f for f, i in zip(found, at, strict=True) if i < 0]
+            i, closer, n = np.array([(i, c, n) for i, (_, c, n) in zip(at, found, strict=True) if i >= 0], np.int64).reshape(-1, 3).T
+            out[0].append(sum(n for p, _, n in found if p) + 1)
+            out[1].append(int(n @ is_known[i]) + (ends > 0))
+            out[2].append(float(n @ logs[i]) + end_log)
+            out[3].append(float(n @ scores[i, closer]))
+            for column, values in zip(out[4:], zip(*rare, strict=True) if rare else ((), (), ()), strict=True):
+                column.append(list(values))
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
         arrays = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
         arrays[4] = arrays[4].cast(pa.list_(pa.string()))
         return pa.StructArray.from_arrays(arrays, names=["n_tokens", "known", "logs", "score", "pieces", "closers", "counts"])
 
+    @arrow_udf("n_tokens long, known long, logs double, score double, pieces array<string>, closers array<int>, counts array<long>")
+    def scored(texts: pa.Array) -> pa.Array:
+        return pa.concat_arrays([score_texts(texts.slice(i, TEXTS).to_pylist()) for i in range(0, len(texts), TEXTS)])
+
     marked = rows.select("doc_id", "train", F.monotonically_increasing_id().alias("row"), scored("text").alias("s"))
     marked = written(marked, "lm-scored")
     rare = marked.select("row", F.explode(F.arrays_zip("s.pieces", "s.closers", "s.counts")).alias("x"))
