@@ -39,7 +39,7 @@ from buyerlens.llm.common import text_or_empty
 NEVER = 1 << 30
 #: Characters whose class is the same in all Unicode versions; others are split by the tokenizers library.
 SURE = re.compile("[\n -~À-ÖØ-öø-ſ]*")
-TABLE = 4_000_000  # remembered arcs
+TABLE = 1_000_000  # remembered arcs
 
 
 def byte_letters() -> dict[str, int]:

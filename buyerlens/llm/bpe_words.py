@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 LONG = 200  # characters; longer chunks are not remembered
-MEMO = 500_000  # chunks remembered by one worker in each of two generations
+MEMO = 400_000  # chunks remembered by one worker in each of two generations
 TEXTS = 2048  # texts put together at a time
 # White space at an end, next to white space, or of any kind but space and line end.
 ODD = (
