@@ -8,7 +8,9 @@ Base kinds (email, ip, card, phone) start above any threshold's reach: once thei
 whatever stands nearby. The kinds added here are
 
     iban       two letters, two check digits, 11 to 30 letters or digits in groups of up to four; the
-               check modulo 97 must hold
+               check modulo 97 must hold. The pattern takes short words behind a number as further groups,
+               and its own letters may begin a number as well, so every start is tried and every end before
+               a blank: the longest that holds counts
     national   a telephone number without country code, 3-3-4 digits; needs a word such as "call" nearby
     ssn        3-2-4 digits with no part all zeros; needs a word such as "social" nearby
 
@@ -114,6 +116,16 @@ def _once(value: Column, use) -> Column:
 _SPAN = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
+#: Where an account number may start; its pattern follows as a look-ahead.
+_ACCOUNT = "(?<![A-Za-z0-9])(?="
+
+
+def _ends(match: Column) -> Column:
+    """The match and its beginnings before a blank, the longest first."""
+    words = F.split(match, " ")
+    return F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda k: F.array_join(F.slice(words, 1, k), " "))
+
+
 def _spans_of(kind: str, text: Column, least: float) -> Column:
     """Spans of one kind, ascending."""
     none = F.array().cast(_SPAN)
@@ -154,6 +166,30 @@ def _spans_of(kind: str, text: Column, least: float) -> Column:
             & ~F.rlike(F.substring(text, s["end"] + 1, F.lit(1)), edge),
         )
 
+    def accounts(matches: Column) -> Column:
+        # The longest match of every start; a sign is put before the text so that no part is left out at its start.
+        sizes = F.transform(F.split(F.concat(F.lit(" "), text), rf"{_ACCOUNT}{pattern})", -1), F.length)
+        starts = F.aggregate(
+            F.slice(sizes, 1, F.size(matches)),
+            F.array().cast("array<int>"),
+            lambda a, n: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(-1)) + n)),
+        )
+        ends = lambda m, start: F.transform(
+            F.filter(_ends(m), lambda p: confirmed(kind, p)), lambda p: _span(p, start + F.length(p))
+        )
+        spans = kept(F.flatten(_once(starts, lambda s: F.zip_with(matches, s, ends))))
+        return F.aggregate(
+            spans,
+            none,
+            lambda a, s: F.when(s["start"] >= F.coalesce(F.try_element_at(a, F.lit(-1))["end"], F.lit(0)), F.concat(a, F.array(s))).otherwise(a),
+        )
+
+    if kind == "iban":
+        found = _once(
+            F.regexp_extract_all(text, F.lit(rf"{_ACCOUNT}({pattern}))"), F.lit(1)),
+            lambda m: F.when(F.exists(m, lambda x: F.exists(_ends(x), lambda p: confirmed(kind, p))), accounts(m)).otherwise(none),
+        )
+        return F.coalesce(found, none).cast(_SPAN)
     found = _once(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda m: F.when(F.exists(m, lambda x: confirmed(kind, x)), kept(placed(m))).otherwise(none),
