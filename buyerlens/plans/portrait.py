@@ -61,12 +61,15 @@ def base_profile(
 def device_scores(views: DataFrame, dims: Dimensions, delay: str = WATERMARK) -> DataFrame:
     """Device and search scores per user at the end of each two-minute window with views.
 
-    Input: projected page views (:func:`buyerlens.operators.cdc.project_page_log`). On streams a window
-    waits ``delay`` for late views and views later than that are not counted.
+    Input: projected page views (:func:`buyerlens.operators.cdc.project_page_log`). On streams every view
+    is counted when it comes, however late. A window is given out ``delay`` after its end, once: later views
+    count in the windows that are still open.
     """
     if views.isStreaming:
-        once = timed(dedup_exact(views), "ts", "view_time", delay)
+        # The watermark stands behind the counts, so that it decides on windows only.
+        once = timed(dedup_exact(views), "ts", "view_time", None)
         running = running_activity_stream(once, "uid", "view_time", ["ts", "os", "search_item"])
+        running = running.withWatermark("view_time", delay)
         seen = window_last(running, "uid", "view_time", ["ts", "pv", "judge_os", "search_item"]).drop(
             "view_time"
         )
@@ -209,7 +212,7 @@ def run_streams(
     With ``once`` each query works off what is there and the branches finish before the merge. ``late``
     bounds the merge's state (for instance "7 days") at the price of later rows; by default it keeps all.
     ``files_per_batch`` bounds how much of a backlog the merge takes at a time, ``view_delay`` is how long
-    activity windows wait for late views.
+    activity windows wait for late views; views that come later count in the next window given out.
     """
     branches = {
         "base": base_profile(tables["user_info"], tables["user_info_sup_msg"], as_of),
