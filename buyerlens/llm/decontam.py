@@ -198,16 +198,19 @@ def find_items(
     window: int = WINDOW,
     shingle: int = SHINGLE,
     keep_docs: bool = False,
+    unnamed: bool = False,
 ) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items (sorted ids) for every row of ``docs``.
 
     A word is hit if it lies in an occurrence of a window. Null texts and texts without words have no
-    words and no hits; items without words or with a null id have no windows. Repeated rows are
-    reported each; equal windows of several items count for all of them. With ``keep_docs`` the result
-    has the input's columns in a struct ``doc`` as well.
+    words and no hits; items without words have no windows, and those with a null id only with
+    ``unnamed``: they then count for ``n_hit``, all together as one for ``n_items``, and are not listed.
+    Repeated rows are reported each; equal windows of several items count for all of them. With
+    ``keep_docs`` the result has the input's columns in a struct ``doc`` as well.
     """
     spark = docs.sparkSession
-    windows, owners = item_windows(items.filter(F.col(item_id).isNotNull()), item_id, item_text, window)
+    named = items if unnamed else items.filter(F.col(item_id).isNotNull())
+    windows, owners = item_windows(named, item_id, item_text, window)
     shingles = written(window_shingles(windows, shingle), "window-shingles")
     sizes = _sizes(shingles, shingle)
 
@@ -252,14 +255,14 @@ def find_items(
         .distinct()
         .join(owners, "window_id")
         .groupBy("row")
-        .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+        .agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.max(F.col("item_id").isNull().cast("int")).alias("no_id"))
     )
     result = rows.join(covered.join(held, "row"), "row", "left")
     return result.select(
         F.col("id").alias("doc_id"),
         F.col("found.n_words").alias("n_words"),
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.size(F.coalesce("items", F.array().cast("array<string>"))).cast("long").alias("n_items"),
+        (F.size(F.coalesce("items", F.array().cast("array<string>"))) + F.coalesce("no_id", F.lit(0))).cast("long").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         *(["doc"] if keep_docs else []),
     )

@@ -11,7 +11,7 @@ from buyerlens.llm.common import fold, table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), unnamed=True)
     return found.select(
         "doc_id",
         "n_words",
