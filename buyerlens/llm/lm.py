@@ -4,15 +4,16 @@ The model is a byte-context trie of depth six (contexts of five to no bytes), tr
 part. Blending is PPM with escape method C and symbol exclusion: in a context seen n times with u different
 symbols a symbol seen c times has probability c / (n + u), and u / (n + u) escapes to the context one byte
 shorter, where the symbols of the longer one no longer count. Below the empty context the remaining byte
-values are equally likely. Contexts begin anew after each white-space byte, which is predicted like any
-other byte; a text ends with an end mark, byte 255, which UTF-8 never uses.
+values are equally likely. A text ends with an end mark, byte 255, which UTF-8 never uses, and five
+of them stand before it. With ``across`` contexts run on over white space; without, they begin anew after
+each white-space byte, which is predicted like any other byte.
 
-So a text is a row of pieces, each closed by a white-space byte or the end, and a piece's code length is
-the same wherever it stands. Pieces are counted over all documents, the trie is summed from the distinct
-pieces, each distinct piece is scored once, and texts add up the scores of their pieces. Trie, piece and
-word tables grow with the corpus and stay tables; only their most frequent rows are shipped to the workers
-(``GRAMS`` and ``PIECES`` rows at most), and all others are joined, so frequent pieces cause no skew and
-rare ones need no memory. Both ways give the same numbers.
+Every byte of a text is a gram: its context and itself, six bytes. Grams are counted over the training part,
+summed within a task first, the trie is summed from the distinct grams, each distinct gram is scored once,
+and texts add up the scores of their grams. Trie, gram and word tables grow with the corpus and stay tables;
+only their most frequent rows are shipped to the workers (``GRAMS`` and ``PIECES`` rows at most), and all
+others are joined, so frequent grams cause no skew and rare ones need no memory. Both ways give the same
+numbers.
 
 A-Z are lowered first. Null texts are empty (one token, the end); an empty training part gives a uniform
 model and zero counts; repeated rows are scored each; other columns are ignored.
@@ -20,7 +21,6 @@ model and zero counts; repeated rows are scored each; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,115 +29,107 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from buyerlens.llm.common import per_batch, text_or_empty, written
+from buyerlens.llm.common import text_or_empty, written
 
 ORDER = 5
-CLOSERS = bytes([9, 10, 11, 12, 13, 32, 255])  # white space and the end mark
-LINE, SPACE, END = 1, 5, 6  # places in CLOSERS
 GRAMS = 1 << 19
 PIECES = 1 << 18
-PIECE_BYTES = 64  # longer pieces are not shipped
+PIECE_BYTES = 64  # longer words are not shipped
 TEXTS = 1024  # texts worked on at a time
-_RARE = re.compile(rb"[\t\x0b\x0c\r]")
-_ANY = re.compile(rb"([\t-\r ])")
-_NONE = (1 << 48) - 1  # six end marks: the context before a piece
-
-
-def pieces_of(text: bytes) -> tuple[list[bytes], list[tuple[bytes, int]]]:
-    """Pieces closed by a space, and the others with the place of what closes them."""
-    if _RARE.search(text):
-        parts = _ANY.split(text)
-        return [], [(p, CLOSERS.index(c)) for p, c in zip(parts[::2], [*parts[1::2], b"\xff"], strict=True)]
-    spaced: list[bytes] = []
-    others = []
-    for line in text.split(b"\n"):
-        row = line.split(b" ")
-        others.append((row.pop(), LINE))
-        spaced += row
-    others[-1] = (others[-1][0], END)
-    return spaced, others
-
-
-def piece_counts(texts: list[bytes]) -> Counter[tuple[bytes, int]]:
-    spaced: Counter[bytes] = Counter()
-    others: Counter[tuple[bytes, int]] = Counter()
-    for t in texts:
-        a, b = pieces_of(t)
-        spaced.update(a)
-        others.update(b)
-    for p, n in spaced.items():
-        others[p, SPACE] += n
-    return others
+BYTES = 1 << 20  # bytes whose grams are worked on at a time
+HELD = 1 << 20  # distinct grams a task sums before it gives them on
+_PAD = b"\xff" * ORDER
 
 
 def _counted(texts: DataFrame) -> DataFrame:
-    """(piece, w, n, c0 .. c6): occurrences in training, in all texts, and in training by closer.
-
-    A closer that follows a piece outside training only has count zero, one that never follows it null.
-    """
-
-    names = ["piece", "closer", "w", "n"]
+    """(piece, w, n): occurrences of each word in training and in all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):  # a worker holds the pieces of so many texts
-                texts = [t.encode().lower() for t in batch.column(0).slice(at, TEXTS).to_pylist()]
-                train = batch.column(1).slice(at, TEXTS).to_pylist()
+            for at in range(0, batch.num_rows, TEXTS):  # a worker holds the words of so many texts
+                found: tuple[Counter[bytes], Counter[bytes]] = (Counter(), Counter())
+                rows = batch.slice(at, TEXTS)
+                for t, x in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+                    found[bool(x)].update(t.encode().lower().split())
                 for learn in (True, False):
-                    found = piece_counts([t for t, x in zip(texts, train, strict=True) if x == learn])
-                    n = pa.array(found.values(), pa.int64())
+                    n = pa.array(found[learn].values(), pa.int64())
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([p for p, _ in found], pa.binary()).cast(pa.string()),
-                            pa.array([c for _, c in found], pa.int32()),
-                            n if learn else pa.array(np.zeros(len(found), np.int64)),
+                            pa.array(list(found[learn]), pa.binary()).cast(pa.string()),
+                            n if learn else pa.array(np.zeros(len(n), np.int64)),
                             n,
                         ],
-                        names=names,
+                        names=["piece", "w", "n"],
                     )
 
-    rows = texts.mapInArrow(run, "piece string, closer int, w long, n long")
-    by_closer = [F.sum(F.when(F.col("closer") == i, F.col("w"))).alias(f"c{i}") for i in range(len(CLOSERS))]
-    return rows.groupBy("piece").agg(F.sum("w").alias("w"), F.sum("n").alias("n"), *by_closer)
-
-
-def gram_keys(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Six-byte keys (context and symbol) of all bytes of the pieces, their owners, and each piece's last key."""
-    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    pad = b"\xff" * ORDER
-    data = np.frombuffer(b"".join(pad + p for p in pieces), np.uint8).astype(np.int64)
-    total = sizes + ORDER
-    begin = np.cumsum(total) - total + ORDER
-    ends = np.cumsum(sizes)
-    at = np.repeat(begin - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
-    keys = np.zeros(len(at), np.int64)
-    for k in range(ORDER + 1):
-        keys |= data[at - k] << (8 * k)
-    last = np.full(len(pieces), _NONE, np.int64)
-    some = sizes > 0
-    last[some] = keys[ends[some] - 1]
-    return keys, np.repeat(np.arange(len(pieces)), sizes), last
-
-
-def closing_keys(last: np.ndarray, closer: int) -> np.ndarray:
-    return (last & ((1 << 8 * ORDER) - 1)) << 8 | CLOSERS[closer]
-
-
-def _grams(pieces: DataFrame) -> DataFrame:
+    rows = texts.mapInArrow(run, "piece string, w long, n long")
+    return rows.groupBy("piece").agg(F.sum("w").alias("w"), F.sum("n").alias("n"))
+
+
+def parts_of(texts: list[bytes], limit: int = BYTES) -> Iterator[list[tuple[int, bytes, bytes]]]:
+    """Groups of (number of the text, five bytes before, part) of at most so many bytes; ends included."""
+    group: list[tuple[int, bytes, bytes]] = []
+    size = 0
+    for i, t in enumerate(texts):
+        whole = _PAD + t + b"\xff"
+        for at in range(ORDER, len(whole), limit):
+            part = whole[at : at + limit]
+            if group and size + len(part) > limit:
+                yield group
+                group, size = [], 0
+            group.append((i, whole[at - ORDER : at], part))
+            size += len(part)
+    if group:
+        yield group
+
+
+def gram_keys(group: list[tuple[int, bytes, bytes]], across: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Six-byte keys (context and symbol) of all bytes of the parts, and the texts they belong to."""
+    sizes = np.fromiter((len(p) for _, _, p in group), np.int64, len(group))
+    data = np.frombuffer(b"".join(before + p for _, before, p in group), np.uint8)
+    at = np.arange(sizes.sum()) + np.repeat(np.arange(1, len(group) + 1) * ORDER, sizes)
+    keys = data[at].astype(np.int64)
+    closed = np.zeros(len(at), bool)
+    for k in range(1, ORDER + 1):
+        own = data[at - k]
+        if not across:
+            closed |= (own == 32) | ((own >= 9) & (own <= 13))
+            own[closed] = 255
+        keys |= own.astype(np.int64) << (8 * k)
+    return keys, np.repeat(np.fromiter((i for i, _, _ in group), np.int64, len(group)), sizes)
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    found, place = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(place, np.concatenate(counts), len(found)).astype(np.int64)
+
+
+def _grams(texts: DataFrame, across: bool) -> DataFrame:
     """(key, c): how often training has each context and symbol; zero if only other texts have it."""
 
-    def run(columns: list[pa.Array]) -> dict:
-        keys, owner, last = gram_keys([p.encode() for p in columns[0].to_pylist()])
-        all_keys, all_counts = [keys], [columns[1].to_numpy()[owner]]
-        for i, column in enumerate(columns[2:]):
-            some = column.is_valid().to_numpy(zero_copy_only=False)
-            all_keys.append(closing_keys(last[some], i))
-            all_counts.append(column.drop_null().to_numpy())
-        found, place = np.unique(np.concatenate(all_keys), return_inverse=True)
-        return {"key": found, "c": np.bincount(place, np.concatenate(all_counts), len(found)).astype(np.int64)}
-
-    columns = ["piece", "w", *[f"c{i}" for i in range(len(CLOSERS))]]
-    return per_batch(pieces.select(*columns), run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.empty(0, np.int64)
+        keys, counts, new = [none], [none], 0
+        give = lambda k, c: pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], names=["key", "c"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):
+                rows = batch.slice(at, TEXTS)
+                for learn in (True, False):
+                    pairs = zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True)
+                    for group in parts_of([t.encode().lower() for t, x in pairs if bool(x) == learn]):
+                        found, n = np.unique(gram_keys(group, across)[0], return_counts=True)
+                        keys.append(found)
+                        counts.append(n if learn else np.zeros(len(found), np.int64))
+                        new += len(found)
+                        if new > HELD:
+                            k, c = _summed(keys, counts)
+                            keys, counts, new = [k], [c], 0
+                            if len(k) > HELD:
+                                yield give(k, c)
+                                keys, counts = [none], [none]
+        yield give(*_summed(keys, counts))
+
+    return texts.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
 
 def _context(order: int, ctx: str = "ctx") -> Column:
@@ -215,63 +207,11 @@ def least_count(df: DataFrame, col: str, limit: int) -> int:
     return least
 
 
-def _piece_scores(pieces: DataFrame, scores: DataFrame, limit: int) -> DataFrame:
-    """(piece, w, n, body, tails): log10 probability of the piece's bytes, and of each closer after it."""
-    least = least_count(scores, "c", limit)
-    head = scores.filter(F.col("c") >= least).select("key", "lp").toArrow()
-    order = np.argsort(head["key"].to_numpy())
-    shipped = pieces.sparkSession.sparkContext.broadcast((head["key"].to_numpy()[order], head["lp"].to_numpy()[order]))
-
-    def run(columns: list[pa.Array]) -> dict:
-        known, lps = shipped.value
-
-        def looked_up(keys: np.ndarray) -> np.ndarray:
-            at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
-            return np.where(known[at] == keys, lps[at], np.nan) if len(known) else np.full(len(keys), np.nan)
-
-        texts = [p.encode() for p in columns[1].to_pylist()]
-        keys, owner, last = gram_keys(texts)
-        lp = looked_up(keys)
-        gone = np.isnan(lp)
-        body = np.bincount(owner[~gone], lp[~gone], len(texts))
-        tails = np.zeros((len(texts), len(CLOSERS)))
-        key, who, where = [keys[gone]], [owner[gone]], [np.full(gone.sum(), -1)]
-        for i, column in enumerate(columns[2:]):
-            some = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
-            own = closing_keys(last[some], i)
-            lp = looked_up(own)
-            gone = np.isnan(lp)
-            tails[some, i] = np.where(gone, 0.0, lp)
-            key.append(own[gone])
-            who.append(some[gone])
-            where.append(np.full(gone.sum(), i))
-        key, who, where = np.concatenate(key), np.concatenate(who), np.concatenate(where)
-        order = np.argsort(who, kind="stable")
-        ends = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(texts)))]).astype(np.int32)
-        lists = lambda v: pa.ListArray.from_arrays(pa.array(ends), pa.array(v[order]))
-        closes = np.arange(len(texts) + 1, dtype=np.int32) * len(CLOSERS)
-        return {
-            "id": columns[0],
-            "body": body,
-            "tails": pa.ListArray.from_arrays(pa.array(closes), pa.array(tails.ravel())),
-            "keys": lists(key),
-            "places": lists(where),
-        }
-
-    closers = [f"c{i}" for i in range(len(CLOSERS))]
-    parts = per_batch(
-        pieces.select("id", "piece", *closers), run, "id long, body double, tails array<double>, keys array<long>, places array<long>"
-    )
-    parts = written(parts, "piece-parts")
-    rare = parts.select("id", F.explode(F.arrays_zip("keys", "places")).alias("g"))
-    rare = rare.select("id", F.col("g.keys").alias("key"), F.col("g.places").alias("place"))
-    added = rare.join(scores.filter(F.col("c") < least).select("key", "lp"), "key")
-    sums = [F.sum(F.when(F.col("place") == i, F.col("lp")).otherwise(0.0)).alias(f"p{i}") for i in range(len(CLOSERS))]
-    added = added.groupBy("id").agg(F.sum(F.when(F.col("place") < 0, F.col("lp")).otherwise(0.0)).alias("b"), *sums)
-    tails = F.array(*[F.element_at("tails", i + 1) + F.coalesce(f"p{i}", F.lit(0.0)) for i in range(len(CLOSERS))])
-    full = parts.select("id", "body", "tails").join(added, "id", "left")
-    full = full.select("id", (F.col("body") + F.coalesce("b", F.lit(0.0))).alias("body"), tails.alias("tails"))
-    return pieces.select("id", "piece", "w", "n").join(full, "id").drop("id")
+def _looked_up(keys: np.ndarray, known: np.ndarray, lps: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.full(len(keys), np.nan)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, lps[at], np.nan)
 
 
 def score_documents(
@@ -281,78 +221,101 @@ def score_documents(
     text: str = "text",
     grams: int = GRAMS,
     pieces: int = PIECES,
+    across: bool = False,
 ) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``.
 
     Tokens are the words and one end. ``base_score`` adds log10((c + 1) / (N + V + 1)) over tokens, ``score``
-    is the trie's log10 probability of the text. ``training`` tells the rows to learn from.
+    is the trie's log10 probability of the text. ``training`` tells the rows to learn from, ``across`` whether
+    contexts run on over white space.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_or_empty(text).alias("text"), training.alias("train"))
-    counted = _counted(rows.select("text", "train")).withColumn("id", F.monotonically_increasing_id())
-    counted = written(counted, "lm-pieces")
-    scores = written(gram_scores(written(_grams(counted), "lm-grams")), "lm-gram-scores")
-    table = written(_piece_scores(counted, scores, grams), "lm-piece-scores")
-    words = table.filter((F.col("piece") != "") & (F.col("w") > 0))
-    ends = counted.agg(F.coalesce(F.sum(f"c{END}"), F.lit(0))).head()[0]
-    n_words, v_words = words.agg(F.coalesce(F.sum("w"), F.lit(0)), F.count(F.lit(1))).head()
+    table = written(_counted(rows.select("text", "train")), "lm-words")
+    scores = written(gram_scores(written(_grams(rows.select("text", "train"), across), "lm-grams")), "lm-gram-scores")
+    ends = rows.agg(F.count_if("train")).head()[0]
+    n_words, v_words = table.filter("w > 0").agg(F.coalesce(F.sum("w"), F.lit(0)), F.count(F.lit(1))).head()
     n_all, v_all = n_words + ends, v_words + (ends > 0)
     least = least_count(table, "n", pieces)
     frequent = (F.col("n") >= least) & (F.octet_length("piece") <= PIECE_BYTES)
-    head = table.filter(frequent).select("piece", "w", "body", "tails").toArrow()
-    tails = head["tails"].combine_chunks().flatten().to_numpy().reshape(-1, len(CLOSERS))
+    head = table.filter(frequent).select("piece", "w").toArrow()
     weights = head["w"].to_numpy()
     places = {p.encode(): i for i, p in enumerate(head["piece"].to_pylist())}
-    logs = np.log10(weights + 1.0)
-    is_known = weights > 0
-    if b"" in places:
-        is_known[places[b""]] = False
-    shipped = spark.sparkContext.broadcast((places, logs * is_known, is_known, tails + head["body"].to_numpy()[:, None]))
+    least_gram = least_count(scores, "c", grams)
+    top = scores.filter(F.col("c") >= least_gram).select("key", "lp").toArrow()
+    order = np.argsort(top["key"].to_numpy())
+    shipped = spark.sparkContext.broadcast(
+        (places, np.log10(weights + 1.0), weights > 0, top["key"].to_numpy()[order], top["lp"].to_numpy()[order])
+    )
     end_log = float(np.log10(ends + 1))
 
-    def score_texts(texts: list[str]) -> pa.Array:
-        places, logs, is_known, scores = shipped.value
-        out: tuple[list, ...] = ([], [], [], [], [], [], [])
+    def score_texts(texts: list[bytes]) -> pa.Array:
+        places, logs, is_known, known, lps = shipped.value
+        out: tuple[list, ...] = ([], [], [], [], [])
         for t in texts:
-            spaced, others = pieces_of(t.encode().lower())
-            found = [(p, SPACE, n) for p, n in Counter(spaced).items()]
-            found += [(p, closer, n) for (p, closer), n in Counter(others).items()]
-            at = [places.get(p, -1) for p, _, _ in found]
-            rare = [f for f, i in zip(found, at, strict=True) if i < 0]
-            i, closer, n = np.array([(i, c, n) for i, (_, c, n) in zip(at, found, strict=True) if i >= 0], np.int64).reshape(-1, 3).T
-            out[0].append(sum(n for p, _, n in found if p) + 1)
+            words = Counter(t.split())
+            here = [(places[p], n) for p, n in words.items() if p in places]
+            rare = [(p, n) for p, n in words.items() if p not in places]
+            i, n = np.array(here, np.int64).reshape(-1, 2).T
+            out[0].append(sum(words.values()) + 1)
             out[1].append(int(n @ is_known[i]) + (ends > 0))
             out[2].append(float(n @ logs[i]) + end_log)
-            out[3].append(float(n @ scores[i, closer]))
-            for column, values in zip(out[4:], zip(*rare, strict=True) if rare else ((), (), ()), strict=True):
-                column.append(list(values))
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            out[3].append([p for p, _ in rare])
+            out[4].append([n for _, n in rare])
+        score = np.zeros(len(texts))
+        gone: list[np.ndarray] = [np.empty(0, np.int64)]
+        owners, times = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for group in parts_of(texts):
+            keys, owner = gram_keys(group, across)
+            lp = _looked_up(keys, known, lps)
+            miss = np.isnan(lp)
+            score += np.bincount(owner, np.where(miss, 0.0, lp), len(texts))
+            keys, owner = keys[miss], owner[miss]
+            by = np.lexsort((keys, owner))
+            keys, owner = keys[by], owner[by]
+            first = np.flatnonzero(np.diff(keys, prepend=-1) | np.diff(owner, prepend=-1))
+            gone.append(keys[first])
+            owners.append(owner[first])
+            times.append(np.diff(np.append(first, len(keys))))
+        ends_at = np.concatenate([[0], np.cumsum(np.bincount(np.concatenate(owners), minlength=len(texts)))]).astype(np.int32)
+        lists = lambda v: pa.ListArray.from_arrays(pa.array(ends_at), pa.array(np.concatenate(v)))
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
         arrays = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
-        arrays[4] = arrays[4].cast(pa.list_(pa.string()))
-        return pa.StructArray.from_arrays(arrays, names=["n_tokens", "known", "logs", "score", "pieces", "closers", "counts"])
+        arrays[3] = arrays[3].cast(pa.list_(pa.string()))
+        names = ["n_tokens", "known", "logs", "pieces", "counts", "score", "keys", "times"]
+        return pa.StructArray.from_arrays([*arrays, pa.array(score), lists(gone), lists(times)], names=names)
 
-    @arrow_udf("n_tokens long, known long, logs double, score double, pieces array<string>, closers array<int>, counts array<long>")
+    @arrow_udf(
+        "n_tokens long, known long, logs double, pieces array<string>, counts array<long>, score double, "
+        "keys array<long>, times array<long>"
+    )
     def scored(texts: pa.Array) -> pa.Array:
-        return pa.concat_arrays([score_texts(texts.slice(i, TEXTS).to_pylist()) for i in range(0, len(texts), TEXTS)])
+        parts = (texts.slice(i, TEXTS).to_pylist() for i in range(0, len(texts), TEXTS))
+        return pa.concat_arrays([score_texts([t.encode().lower() for t in part]) for part in parts])
 
     marked = rows.select("doc_id", "train", F.monotonically_increasing_id().alias("row"), scored("text").alias("s"))
     marked = written(marked, "lm-scored")
-    rare = marked.select("row", F.explode(F.arrays_zip("s.pieces", "s.closers", "s.counts")).alias("x"))
-    rare = rare.select("row", F.col("x.pieces").alias("piece"), F.col("x.closers").alias("closer"), F.col("x.counts").alias("k"))
-    tail = table.filter(~frequent).select("piece", "w", "body", "tails")
-    known = (F.col("piece") != "") & (F.col("w") > 0)
+    rare = marked.select("row", F.explode(F.arrays_zip("s.pieces", "s.counts")).alias("x"))
+    rare = rare.select("row", F.col("x.pieces").alias("piece"), F.col("x.counts").alias("k"))
+    known = F.col("w") > 0
     added = (
-        rare.join(tail, "piece")
+        rare.join(table.filter(~frequent).select("piece", "w"), "piece")
         .groupBy("row")
         .agg(
             F.sum(F.when(known, F.col("k")).otherwise(0)).alias("known"),
             F.sum(F.when(known, F.col("k") * F.log10(F.col("w") + 1)).otherwise(0.0)).alias("logs"),
-            F.sum(F.col("k") * (F.col("body") + F.element_at("tails", F.col("closer") + 1))).alias("score"),
         )
     )
+    grams_left = marked.select("row", F.explode(F.arrays_zip("s.keys", "s.times")).alias("x"))
+    grams_left = grams_left.select("row", F.col("x.keys").alias("key"), F.col("x.times").alias("k"))
+    more = (
+        grams_left.join(scores.filter(F.col("c") < least_gram).select("key", "lp"), "key")
+        .groupBy("row")
+        .agg(F.sum(F.col("k") * F.col("lp")).alias("score"))
+    )
     total = float(np.log10(n_all + v_all + 1))
     both = lambda c, none: F.col(f"s.{c}") + F.coalesce(c, none)
-    return marked.join(added, "row", "left").select(
+    return marked.join(added, "row", "left").join(more, "row", "left").select(
         "doc_id",
         "train",
         F.col("s.n_tokens").alias("n_tokens"),

@@ -44,7 +44,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = lm.score_documents(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    scored = lm.score_documents(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2, across=True)
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
