@@ -118,4 +118,96 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op1_decontamination": OP1, "op3_pii": OP3, "op8_top_k": OP8}
+OP11 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_FOLD}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (
+  SELECT lang, source, coalesce(n, 0) AS n, coalesce(v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL) USING (lang, source)
+  LEFT JOIN v USING (lang)
+),
+p AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c, 1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 1)) // (n + v) AS p
+  FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)
+),
+q AS (
+  SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (sum(c) + 1)) // (any_value(n) + any_value(v)) AS q
+  FROM c JOIN (SELECT lang, sum(n) AS n, any_value(v) AS v FROM g GROUP BY lang) USING (lang) GROUP BY lang, term
+),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS n FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(n AS INTEGER) AS rank
+FROM r WHERE part = 'pair' OR n <= 200
+"""
+
+OP12 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS sha, coalesce(html, '') AS payload FROM pages
+),
+f AS (SELECT payload, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY payload HAVING count(*) > 1)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha AS payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload)
+"""
+
+OP13 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_FOLD}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k)
+),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+cuts AS (
+  SELECT c.lang, c.k, phrase, a, cut, array_to_string(w[1:cut], ' ') AS x, array_to_string(w[cut + 1:k], ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+),
+scored AS (
+  SELECT cuts.lang, cuts.k, cuts.phrase, a, l.f AS l, r.f AS r,
+    (CAST(1000000 AS HUGEINT) * a * a) // (CAST(l.f AS HUGEINT) * r.f) AS score, cut
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = x JOIN f r ON r.lang = cuts.lang AND r.phrase = y
+),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS cover
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE k = 3)
+  GROUP BY ALL
+),
+kept AS (
+  SELECT worst.* FROM worst LEFT JOIN inside USING (lang, phrase) WHERE cover IS NULL OR 100 * cover < 50 * a
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n,
+  CAST(score AS BIGINT) AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_decontamination": OP1,
+    "op3_pii": OP3,
+    "op8_top_k": OP8,
+    "op11_divergence": OP11,
+    "op12_warc": OP12,
+    "op13_collocations": OP13,
+}

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from buyerlens.llm import bpe, decontam, lm, packing, pii, quality, simhash, token_counts, topk, toxicity
+from buyerlens.llm import (
+    bpe,
+    collocations,
+    decontam,
+    divergence,
+    lm,
+    packing,
+    pii,
+    quality,
+    simhash,
+    token_counts,
+    topk,
+    toxicity,
+    warc,
+)
 from buyerlens.llm.common import fold, table
 
 
@@ -92,6 +106,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.archived(table(spark, sf_dir, "pages"))
+    return rows.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
@@ -103,4 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_k": op8_top_k,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
+    "op11_divergence": op11_divergence,
+    "op12_warc": op12_warc,
+    "op13_collocations": op13_collocations,
 }

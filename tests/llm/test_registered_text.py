@@ -20,6 +20,9 @@ COLUMNS = {
     "op8_top_k": {"query_id", "rank", "vec_id", "score"},
     "op9_bpe": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
     "op10_quality": {"doc_id", "held_out", "score", "predicted"},
+    "op11_divergence": {"lang", "source", "part", "item", "value", "rank"},
+    "op12_warc": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
+    "op13_collocations": {"lang", "rank", "phrase", "a", "l", "r", "n", "score"},
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables are absent")
@@ -32,7 +35,7 @@ def test_columns_and_rows(spark, name):
     rows = df.collect()
     if name in ORACLES:
         con = duckdb.connect()
-        for t in ("documents", "benchmark", "embeddings"):
+        for t in ("documents", "benchmark", "embeddings", "pages"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
         found = con.sql(ORACLES[name])
         assert sorted(found.columns) == sorted(df.columns)
