@@ -32,10 +32,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from buyerlens.llm.common import text_or_empty, written
+from buyerlens.llm.perfect_hash import key_hashes
 from buyerlens.llm.word_arrays import byte_set, slices, words_of
 
-GROUP = 8 << 20  # bytes of text whose graph a task holds at a time
+GROUP = 4 << 20  # bytes of text whose graph a task holds at a time
 ROWS = 1 << 18  # rows given on at a time
+BUCKETS = 16  # for each partition of a shuffle
+HELD = 32 << 20  # bytes of phrases that a task sums at a time
 ROUNDS = 6  # a run is followed over 2^6 edges
 CUT = 32
 #: What divides pieces, and what else divides words.
@@ -43,67 +46,139 @@ PIECE_ENDS = byte_set(b".,;:!?\n\x0b\x0c\r")
 WORD = ~(PIECE_ENDS | byte_set(b" \t"))
 
 
-def _flows(texts: pa.Array, longest: int) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(length, phrases, counts) of the graph of some texts: its edges, then flows of shorter phrases."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def _flows(texts: pa.Array, longest: int) -> tuple[int, pa.Array, np.ndarray, np.ndarray]:
+    """Number of words, phrases, their counts and hashes: edges and flows of the graph of some texts."""
     words = words_of(texts, WORD, PIECE_ENDS)
     n, v = len(words.ids), len(words.vocab)
     if not n:
-        return
-    # Words that follow in the same piece: at least k after place i.
-    room = np.zeros(n, np.int64)
-    starts = np.flatnonzero(words.first)
-    room = np.repeat(np.append(starts[1:], n), np.diff(np.append(starts, n))) - np.arange(n)
-    # at[k]: places with k words or more; runs[k]: their phrase's number; made[k]: (run of k - 1, last word).
-    at = {1: np.arange(n)}
-    runs, made, counted = {1: words.ids}, {}, {}
-    size = {1: v}
-    for k in range(2, longest + 1):
-        keep = room[at[k - 1]] >= k
-        at[k] = at[k - 1][keep]
-        key = runs[k - 1][keep] * v + words.ids[at[k] + k - 1]
-        found, runs[k], counted[k] = np.unique(key, return_inverse=True, return_counts=True)
-        made[k] = (found // v, found % v)
-        size[k] = len(found)
-    text: dict[int, pa.Array] = {1: words.vocab}
+        return 0, words.vocab, words.ids, words.ids.astype(np.uint64)
+    # Words from each place to the end of its piece.
+    starts = np.append(np.flatnonzero(words.first), n)
+    room = np.repeat(starts[1:], np.diff(starts)) - np.arange(n)
+    at, run, size = np.arange(n), words.ids, v
+    text, hashes = [words.vocab], [_mixed(key_hashes(words.vocab))]
+    made, ends, flow = {}, {}, np.bincount(run, minlength=v)
     for k in range(2, longest + 1):
-        parts = text[k - 1].take(pa.array(made[k][0])), words.vocab.take(pa.array(made[k][1]))
-        text[k] = pc.binary_join_element_wise(*parts, " ")
-    flow = counted[longest] if longest > 1 else np.bincount(words.ids, minlength=v)
-    yield longest, text[longest], flow
+        keep = room[at] >= k
+        ends[k - 1] = np.bincount(run[~keep], minlength=size)  # runs that end their piece
+        at = at[keep]
+        found, run, flow = np.unique(run[keep] * v + words.ids[at + k - 1], return_inverse=True, return_counts=True)
+        before, last = made[k] = found // v, found % v
+        size = len(found)
+        text.append(pc.binary_join_element_wise(text[-1].take(pa.array(before)), words.vocab.take(pa.array(last)), " "))
+        hashes.append(_mixed(hashes[-1][before] + hashes[0][last]))
+    flows = [flow]
     for k in range(longest - 1, 0, -1):
-        ends = room[at[k]] == k  # the phrase ends its piece here
-        out = np.bincount(made[k + 1][0], flow, size[k]) if len(flow) else np.zeros(size[k])
-        flow = out.astype(np.int64) + np.bincount(runs[k][ends], minlength=size[k])
-        yield k, text[k], flow
+        onward = np.bincount(made[k + 1][0], flows[-1], len(ends[k])) if len(flows[-1]) else 0
+        flows.append(ends[k] + np.asarray(onward, np.int64))
+    return n, pa.chunked_array(text).combine_chunks(), np.concatenate(flows[::-1]), np.concatenate(hashes)
 
 
-def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 1, lang: str = "lang", text: str = "text") -> DataFrame:
-    """(lang, k, phrase, f): phrases of 1 to ``longest`` words that occur ``least`` times or more in a language.
+def _packed(texts: DataFrame, longest: int, buckets: int) -> DataFrame:
+    """(bucket, lang, phrases, counts, n): the graphs of some texts each, their phrases packed by bucket of their hash.
 
-    A row with k = 0 and an empty phrase holds the number of all words of the language, whatever ``least`` is.
+    ``phrases`` are lines, ``counts`` 32-bit numbers, ``n`` the number of words, in one row of each graph.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lang", "k", "phrase", "f"]
         for batch in batches:
             langs = batch.column(0).dictionary_encode()
             for code, name in enumerate(langs.dictionary.to_pylist()):
-                texts = batch.column(1).filter(pc.equal(langs.indices, code))
-                for at, count in slices(texts, GROUP):
-                    for k, phrases, f in _flows(texts.slice(at, count), longest):
-                        if k == 1:
-                            one = pa.array([name]), pa.array([0], pa.int32()), pa.array([""]), pa.array([int(f.sum())])
-                            yield pa.RecordBatch.from_arrays(list(one), names=names)
-                        for i in range(0, len(f), ROWS):
-                            part = phrases.slice(i, ROWS)
-                            columns = pa.repeat(name, len(part)), pa.repeat(pa.scalar(k, pa.int32()), len(part))
-                            yield pa.RecordBatch.from_arrays([*columns, part, pa.array(f[i : i + ROWS])], names=names)
+                mine = batch.column(1).filter(pc.equal(langs.indices, code))
+                for start, count in slices(mine, GROUP):
+                    n, phrases, counts, hashes = _flows(mine.slice(start, count), longest)
+                    bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+                    order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
+                    bucket, counts = bucket[order], counts[order].astype("<u4")
+                    lines = pc.binary_join_element_wise(phrases.take(pa.array(order)), "", "\n").cast(pa.large_binary())
+                    ends = np.frombuffer(lines.buffers()[1], np.int64, len(lines) + 1, lines.offset * 8)
+                    data = lines.buffers()[2]
+                    cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
+                    pairs = list(zip(cuts, cuts[1:], strict=False))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(bucket[cuts[:-1]]),
+                            pa.repeat(name, len(pairs)),
+                            pa.array([data[ends[a] : ends[b]].to_pybytes() for a, b in pairs], pa.binary()),
+                            pa.array([counts[a:b].tobytes() for a, b in pairs], pa.binary()),
+                            pa.array([n, *[0] * (len(pairs) - 1)][: len(pairs)], pa.int64()),
+                        ],
+                        names=["bucket", "lang", "phrases", "counts", "n"],
+                    )
+
+    return texts.mapInArrow(run, "bucket int, lang string, phrases binary, counts binary, n long")
+
+
+def _summed(phrases: list[bytes], counts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """Distinct lines and their summed counts."""
+    raw = np.frombuffer(b"".join(phrases), np.uint8)
+    ends = np.flatnonzero(raw == 10)
+    places = np.concatenate([[0], ends - np.arange(len(ends))])
+    lines = pa.Array.from_buffers(
+        pa.large_string(), len(ends), [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(raw[raw != 10])]
+    ).dictionary_encode()
+    each = np.frombuffer(b"".join(counts), "<u4") if counts else np.empty(0)
+    sums = np.bincount(lines.indices.to_numpy(), each, len(lines.dictionary))
+    return lines.dictionary.cast(pa.string()), sums.astype(np.int64)
+
+
+def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 1, lang: str = "lang", text: str = "text") -> DataFrame:
+    """(lang, k, phrase, f): phrases of 1 to ``longest`` words that occur ``least`` times or more in a language.
+
+    A row with k = 0 and an empty phrase holds the number of all words of the language, whatever ``least`` is.
 
+    Phrases move in packets, one for each graph and bucket; a bucket's packets of one language are summed by
+    arrays. A worker holds ``HELD`` bytes of them: of a larger bucket it gives sums as they are, and the last
+    sum, over rows, is the same for both.
+    """
+    spark = docs.sparkSession
     rows = docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), text_or_empty(f"`{text}`").alias("text")
     )
-    counts = rows.mapInArrow(run, "lang string, k int, phrase string, f long")
-    return counts.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).filter((F.col("f") >= least) | (F.col("k") == 0))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packets = _packed(rows, longest, parts * max(1, min(BUCKETS, 4096 // parts)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, phrases, counts, size, whole = None, [], [], 0, True
+        words: dict[str, int] = {}
+
+        def given() -> Iterator[pa.RecordBatch]:
+            found, f = _summed(phrases, counts)
+            if whole:
+                found, f = found.filter(pa.array(f >= least)), f[f >= least]
+            for i in range(0, len(f), ROWS):
+                part = found.slice(i, ROWS)
+                yield pa.RecordBatch.from_arrays([pa.repeat(key[1], len(part)), part, pa.array(f[i : i + ROWS])], names=["lang", "phrase", "f"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                bucket, name, lines, each, n = (batch.column(c)[i].as_py() for c in range(5))
+                words[name] = words.get(name, 0) + n
+                if key != (bucket, name):
+                    if phrases:
+                        yield from given()
+                    key, phrases, counts, size, whole = (bucket, name), [], [], 0, True
+                elif size > HELD:
+                    whole = False
+                    yield from given()
+                    phrases, counts, size = [], [], 0
+                phrases.append(lines)
+                counts.append(each)
+                size += len(lines)
+        if phrases:
+            yield from given()
+        n = len(words)
+        yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array([""] * n, pa.string()), pa.array(list(words.values()), pa.int64())], names=["lang", "phrase", "f"])
+
+    sums = packets.repartition(parts, "bucket").sortWithinPartitions("bucket", "lang").mapInArrow(run, "lang string, phrase string, f long")
+    found = sums.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    k = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))).alias("k")
+    return found.select("lang", k, "phrase", "f").filter((F.col("f") >= least) | (F.col("k") == 0))
 
 
 def _words(phrase: Column) -> Column:
