@@ -35,9 +35,9 @@ from buyerlens.llm.common import text_or_empty, written
 from buyerlens.llm.perfect_hash import key_hashes
 from buyerlens.llm.word_arrays import byte_set, slices, words_of
 
-GROUP = 4 << 20  # bytes of text whose graph a task holds at a time
+GROUP = 2 << 20  # bytes of text whose graph a task holds at a time
 ROWS = 1 << 18  # rows given on at a time
-BUCKETS = 16  # for each partition of a shuffle
+BUCKETS = 8  # for each partition of a shuffle
 HELD = 32 << 20  # bytes of phrases that a task sums at a time
 ROUNDS = 6  # a run is followed over 2^6 edges
 CUT = 32
