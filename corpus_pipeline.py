@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from buyerlens.llm import bpe, decontam, near_copies, pii, quality
+from buyerlens.llm import bpe, decontam, pii, quality, simhash
 from buyerlens.llm.common import fold, new_path, table
 
 
@@ -21,8 +21,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that similarities of 0.8 or more of the five-word shingles connect."""
-    return near_copies.one_of_each(docs)
+    """One document of each group that fingerprints of three-word shingles at most three bits apart connect."""
+    return simhash.one_of_each(docs, shingle=3, radius=3)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
