@@ -1,10 +1,10 @@
-"""Splitting texts into chunks that byte-level BPE encodes independently.
+"""Splitting texts into the words that byte-level BPE encodes independently, many texts at once.
 
-A space with a non-space character on both sides always begins a new pre-token: no alternative of the
-splitting pattern runs across it. So such texts are cut at their spaces, and each chunk (a word with its
-punctuation) is encoded once and remembered; the ids of a text are put together by array arithmetic. Any
-text with a run of spaces, other white space than line ends, or a special string takes the caller's slow
-way as a whole.
+The splitting pattern of byte-level vocabularies makes words of letters, of digits and of other signs, each with a
+space before it, and of white space. In texts of characters whose class is beyond doubt (``SURE``) words are
+found by array arithmetic over the bytes; their distinct words are encoded once for each few megabytes of text,
+and nothing is kept from one call to the next. Any other text, and one that holds a special string, takes the
+caller's way for whole texts.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-LONG = 200  # characters; longer chunks are not remembered
-MEMO = 400_000  # chunks remembered by one worker in each of two generations
-TEXTS = 2048  # texts put together at a time
-# White space at an end, next to white space, or of any kind but space and line end.
-ODD = (
-    r"\A[ \n]|[ \n]\z|[ \n][ \n]|\A\z"
-    r"|[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
-)
+SLICE = 8 << 20  # bytes of text worked on at a time
+#: Characters whose class is the same in all Unicode versions.
+SURE = r"\A[\n -~À-ÖØ-öø-ſ]*\z"
+WHITE, LETTER, DIGIT, OTHER = range(4)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[[10, 32]] = WHITE
+KIND[48:58] = DIGIT
+KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = LETTER
 
 
 def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -33,69 +33,91 @@ def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.
     return values[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1])]
 
 
-class ChunkMemo:
-    """Ids of each chunk, computed once and kept in two generations of bounded size.
+def word_starts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Whether a word begins at each byte of some texts, which begin at ``begins``."""
+    n = len(data)
+    kind = KIND[data]
+    fresh = np.ones(n, bool)
+    fresh[1:] = kind[1:] != kind[:-1]
+    edge = np.zeros(n + 1, bool)
+    edge[begins] = edge[n] = True
+    fresh |= edge[:n]
+    starts = fresh.copy()
+    runs = np.flatnonzero(fresh)
+    ends = np.append(runs[1:], n)
+    inner = ~edge[ends]  # runs that do not end their text
+    # Before a word, white space leaves its last character: a space joins the word, a line end stands alone.
+    last = ends[(kind[runs] == WHITE) & inner] - 1
+    starts[last] = True
+    starts[last[data[last] == 32] + 1] = False
+    # A lone apostrophe without a space takes the letters of a contraction.
+    lone = runs[inner & (ends - runs == 1) & (data[runs] == 39)]
+    lone = lone[starts[lone] & (kind[lone + 1] == LETTER)]
+    a = data[lone + 1]
+    far = np.minimum(lone + 2, n - 1)
+    b = np.where((lone + 2 < n) & ~fresh[far], data[far], 0)
+    size = np.where(np.isin(a, list(b"stmd")), 1, 0)
+    for pair in (b"re", b"ve", b"ll"):
+        size[(a == pair[0]) & (b == pair[1])] = 2
+    lone, size = lone[size > 0], size[size > 0]
+    starts[lone + 1] = False
+    after = lone + 1 + size
+    after = after[after < n]
+    starts[after[~fresh[after]]] = True
+    return starts
 
-    When the young generation is full it becomes the old one, whose chunks return when they are met again.
-    ``first`` encodes chunks that begin a text, ``later`` chunks that follow a space, ``whole`` any text;
-    all take a list and give the ids of each as bytes of little-endian 32-bit numbers.
-    """
 
-    def __init__(self, first, later, whole, special: tuple[str, ...] = ()):
-        self.first: Callable[[list[str]], list[bytes]] = first
-        self.later: Callable[[list[str]], list[bytes]] = later
-        self.whole: Callable[[list[str]], list[bytes]] = whole
-        self.special = special
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+def encode_texts(
+    texts: pa.Array,
+    distinct: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]] | None,
+    whole: Callable[[list[str]], list[np.ndarray]],
+    special: tuple[str, ...] = (),
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in a row, and how many each has.
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text."""
-        out: list[np.ndarray] = []
-        for i in range(0, len(texts), TEXTS):
-            part = texts.slice(i, TEXTS)
-            odd = pc.match_substring_regex(part, ODD)
-            for s in self.special:
-                odd = pc.or_(odd, pc.match_substring(part, s))
-            plain = self._plain(part.filter(pc.invert(odd)))
-            rest = iter(self.whole(part.filter(odd).to_pylist()))
-            fast = iter(plain)
-            out += [np.frombuffer(next(rest), "<u4") if x else next(fast) for x in odd.to_numpy(zero_copy_only=False)]
-        return out
+    ``distinct`` gives the ids of many words in a row and how many each has; without it all texts go to ``whole``.
+    """
+    flats, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE, "right")) - 1)
+        part = texts.slice(at, end - at)
+        at = end
+        odd = pc.invert(pc.match_substring_regex(part, SURE))
+        for s in special:
+            odd = pc.or_(odd, pc.match_substring(part, s))
+        odd = odd.to_numpy(zero_copy_only=False) if distinct else np.ones(len(part), bool)
+        flat, sizes = _plain(part if not odd.any() else part.filter(pa.array(~odd)), distinct)
+        if odd.any():
+            rest = whole(part.filter(pa.array(odd)).to_pylist())
+            each = np.zeros(len(part), np.int64)
+            each[~odd], each[odd] = sizes, list(map(len, rest))
+            merged = np.empty(each.sum(), np.int32)
+            mine = np.repeat(odd, each)
+            merged[~mine] = flat
+            merged[mine] = np.concatenate(rest)
+            flat, sizes = merged, each
+        flats.append(flat)
+        counts.append(sizes)
+    return np.concatenate(flats), np.concatenate(counts)
 
-    def _plain(self, texts: pa.Array) -> list[np.ndarray]:
-        if not len(texts):
-            return []
-        lists = pc.split_pattern(texts, pattern=" ")
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        chunks = lists.values.dictionary_encode()
-        distinct = chunks.dictionary.to_pylist()
-        heads = lists.values.take(pa.array(offsets[:-1])).to_pylist()
-        order = list(set(heads))
-        values = self._later(distinct) + self.first(order)
-        which = chunks.indices.to_numpy().astype(np.int64)
-        place = {h: len(distinct) + k for k, h in enumerate(order)}
-        which[offsets[:-1]] = [place[h] for h in heads]
-        ids = np.frombuffer(b"".join(values), "<u4")
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        starts = np.cumsum(sizes) - sizes
-        lengths = sizes[which]
-        row = gathered(ids, starts[which], lengths)
-        ends = np.concatenate([[0], np.cumsum(lengths)])[offsets].tolist()
-        return [row[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
-    def _later(self, chunks: list[str]) -> list[bytes]:
-        if len(self.young) > MEMO:
-            self.young, self.old = {}, self.young
-        values = list(map(self.young.get, chunks))
-        if None in values:
-            lost = [i for i, v in enumerate(values) if v is None]
-            new = []
-            for i in lost:
-                values[i] = self.old.get(chunks[i])
-                if values[i] is None:
-                    new.append(i)
-            for i, v in zip(new, self.later([chunks[i] for i in new]), strict=True):
-                values[i] = v
-            self.young.update((chunks[i], values[i]) for i in lost if len(chunks[i]) <= LONG)
-        return values
+def _plain(texts: pa.Array, distinct) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of texts whose words the arrays find."""
+    if not len(texts):
+        return np.empty(0, np.int32), np.empty(0, np.int64)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    raw = texts.buffers()[2]
+    data = np.frombuffer(raw or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    starts = np.flatnonzero(word_starts(data, offsets[:-1][np.diff(offsets) > 0])) if len(data) else np.empty(0, np.int64)
+    bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, bounds, pa.py_buffer(data)]).dictionary_encode()
+    ids, sizes = distinct(words.dictionary)
+    which = words.indices.to_numpy()
+    each = sizes[which]
+    flat = gathered(ids, (np.cumsum(sizes) - sizes)[which], each)
+    ends = np.concatenate([[0], np.cumsum(each)])[np.searchsorted(starts, offsets)]
+    return flat, np.diff(ends)

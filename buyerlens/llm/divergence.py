@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import IntegerType
 
 from buyerlens.llm.common import written
 from buyerlens.llm.lm import least_count
@@ -43,7 +44,7 @@ ROWS = 1 << 18
 TERM = byte_set(bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256)))
 
 
-@arrow_udf("int")
+@arrow_udf(IntegerType())
 def shard_of(terms: pa.Array) -> pa.Array:
     return pa.array((key_hashes(terms) % np.uint64(SHARDS)).astype(np.int32))
 

@@ -5,8 +5,7 @@ part. Blending is PPM with escape method C and symbol exclusion: in a context se
 symbols a symbol seen c times has probability c / (n + u), and u / (n + u) escapes to the context one byte
 shorter, where the symbols of the longer one no longer count. Below the empty context the remaining byte
 values are equally likely. A text ends with an end mark, byte 255, which UTF-8 never uses, and five
-of them stand before it. With ``across`` contexts run on over white space; without, they begin anew after
-each white-space byte, which is predicted like any other byte.
+of them stand before it. Contexts run on over white space.
 
 Every byte of a text is a gram: its context and itself, six bytes. Grams are counted over the training part,
 summed within a task first, the trie is summed from the distinct grams, each distinct gram is scored once,
@@ -83,19 +82,14 @@ def parts_of(texts: list[bytes], limit: int = BYTES) -> Iterator[list[tuple[int,
         yield group
 
 
-def gram_keys(group: list[tuple[int, bytes, bytes]], across: bool) -> tuple[np.ndarray, np.ndarray]:
+def gram_keys(group: list[tuple[int, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Six-byte keys (context and symbol) of all bytes of the parts, and the texts they belong to."""
     sizes = np.fromiter((len(p) for _, _, p in group), np.int64, len(group))
     data = np.frombuffer(b"".join(before + p for _, before, p in group), np.uint8)
     at = np.arange(sizes.sum()) + np.repeat(np.arange(1, len(group) + 1) * ORDER, sizes)
     keys = data[at].astype(np.int64)
-    closed = np.zeros(len(at), bool)
     for k in range(1, ORDER + 1):
-        own = data[at - k]
-        if not across:
-            closed |= (own == 32) | ((own >= 9) & (own <= 13))
-            own[closed] = 255
-        keys |= own.astype(np.int64) << (8 * k)
+        keys |= data[at - k].astype(np.int64) << (8 * k)
     return keys, np.repeat(np.fromiter((i for i, _, _ in group), np.int64, len(group)), sizes)
 
 
@@ -104,7 +98,7 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return found, np.bincount(place, np.concatenate(counts), len(found)).astype(np.int64)
 
 
-def _grams(texts: DataFrame, across: bool) -> DataFrame:
+def _grams(texts: DataFrame) -> DataFrame:
     """(key, c): how often training has each context and symbol; zero if only other texts have it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +111,7 @@ def _grams(texts: DataFrame, across: bool) -> DataFrame:
                 for learn in (True, False):
                     pairs = zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True)
                     for group in parts_of([t.encode().lower() for t, x in pairs if bool(x) == learn]):
-                        found, n = np.unique(gram_keys(group, across)[0], return_counts=True)
+                        found, n = np.unique(gram_keys(group)[0], return_counts=True)
                         keys.append(found)
                         counts.append(n if learn else np.zeros(len(found), np.int64))
                         new += len(found)
@@ -221,18 +215,16 @@ def score_documents(
     text: str = "text",
     grams: int = GRAMS,
     pieces: int = PIECES,
-    across: bool = False,
 ) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``.
 
     Tokens are the words and one end. ``base_score`` adds log10((c + 1) / (N + V + 1)) over tokens, ``score``
-    is the trie's log10 probability of the text. ``training`` tells the rows to learn from, ``across`` whether
-    contexts run on over white space.
+    is the trie's log10 probability of the text. ``training`` tells the rows to learn from.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_or_empty(text).alias("text"), training.alias("train"))
     table = written(_counted(rows.select("text", "train")), "lm-words")
-    scores = written(gram_scores(written(_grams(rows.select("text", "train"), across), "lm-grams")), "lm-gram-scores")
+    scores = written(gram_scores(written(_grams(rows.select("text", "train")), "lm-grams")), "lm-gram-scores")
     ends = rows.agg(F.count_if("train")).head()[0]
     n_words, v_words = table.filter("w > 0").agg(F.coalesce(F.sum("w"), F.lit(0)), F.count(F.lit(1))).head()
     n_all, v_all = n_words + ends, v_words + (ends > 0)
@@ -266,8 +258,9 @@ def score_documents(
         gone: list[np.ndarray] = [np.empty(0, np.int64)]
         owners, times = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for group in parts_of(texts):
-            keys, owner = gram_keys(group, across)
-            lp = _looked_up(keys, known, lps)
+            keys, owner = gram_keys(group)
+            found, which = np.unique(keys, return_inverse=True)  # a gram is looked up once
+            lp = _looked_up(found, known, lps)[which]
             miss = np.isnan(lp)
             score += np.bincount(owner, np.where(miss, 0.0, lp), len(texts))
             keys, owner = keys[miss], owner[miss]

@@ -20,6 +20,7 @@ one another ordered by their content, and an empty table makes a readable file s
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from buyerlens.llm.bpe_words import ChunkMemo
+from buyerlens.llm.bpe_words import encode_texts
 from buyerlens.llm.common import new_path, per_batch, text_or_empty
 
 BLOCK_IDS = 1 << 18  # a block closes with the document that reaches this many ids
@@ -71,7 +72,7 @@ def unpack(packed: bytes, width: int, start: int, count: int) -> np.ndarray:
 
 
 class LibraryEncoder:
-    """Ids of whole texts by the tokenizers library, as bytes of little-endian 32-bit numbers."""
+    """Ids of whole texts by the tokenizers library; of a byte-level vocabulary distinct words are encoded once."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -81,31 +82,27 @@ class LibraryEncoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.size = self.tok.get_vocab_size()
-        special = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
-        self.memo = ChunkMemo(self._encode, self._encode_later, self._encode, special)
-
-    def _encode_later(self, chunks: list[str]) -> list[bytes]:
-        """Chunks that follow a space: many are encoded as one text and told apart by offsets."""
-        out: list[bytes] = []
-        for i in range(0, len(chunks), 4096):
-            part = chunks[i : i + 4096]
-            whole = self.tok.encode(" " + " ".join(part), add_special_tokens=False)
-            begins = np.cumsum([0, *(len(c) + 1 for c in part)])
-            at = np.fromiter((a for a, _ in whole.offsets), np.int64)
-            ids = np.array(whole.ids, dtype="<u4")
-            cuts = np.searchsorted(at, begins).tolist()
-            out += [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
-        return out
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        self.special = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
+        spec = json.loads(self.tok.to_str())
+        split = spec["pre_tokenizer"] or {}
+        plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+        self.by_words = self._words if plain and spec["normalizer"] is None else None
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Words of a split text are split no further, so many are encoded as one pre-split text."""
+        whole = self.tok.encode(words.cast(pa.large_string()).to_pylist(), is_pretokenized=True, add_special_tokens=False)
+        which = np.array(whole.word_ids, np.int64)
+        return np.array(whole.ids, np.int32), np.bincount(which, minlength=len(words))
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
         out = []
-        for i in range(0, len(texts), 4096):
-            for e in self.tok.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False):
-                out.append(np.array(e.ids, dtype="<u4").tobytes())
+        for i in range(0, len(texts), 256):
+            out += [np.array(e.ids, np.int32) for e in self.tok.encode_batch_fast(texts[i : i + 256], add_special_tokens=False)]
         return out
 
-    def texts(self, texts: pa.Array) -> list[np.ndarray]:
-        return self.memo.encode(texts)
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has."""
+        return encode_texts(texts, self.by_words, self._whole, self.special)
 
 
 @lru_cache(maxsize=2)
@@ -115,11 +112,18 @@ def encoder(name: str) -> LibraryEncoder:
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int | None, width: int, doc_id: str, text: str) -> DataFrame:
     """doc_id, n_tokens and packed ids of each text, the end id included."""
-    tail = np.array([] if end_id is None else [end_id], np.uint32)
-
     def run(columns: list[pa.Array]) -> dict:
-        ids = [np.concatenate([x, tail]) for x in encoder(tokenizer).texts(columns[1])]
-        return {"doc_id": columns[0], "n_tokens": [len(x) for x in ids], "packed": [pack(x, width) for x in ids]}
+        ids, sizes = encoder(tokenizer).encode(columns[1])
+        if end_id is not None:
+            ids = np.insert(ids, np.cumsum(sizes), end_id)
+            sizes = sizes + 1
+        ends = np.cumsum(sizes).tolist()
+        if width % 8:
+            packed = [pack(ids[a:b], width) for a, b in zip([0, *ends], ends, strict=False)]
+        else:  # whole bytes: the ids of all texts are packed at once
+            data, n = pack(ids, width), width // 8
+            packed = [data[a * n : b * n] for a, b in zip([0, *ends], ends, strict=False)]
+        return {"doc_id": columns[0], "n_tokens": sizes, "packed": packed}
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     return per_batch(rows, run, "doc_id long, n_tokens long, packed binary")
@@ -187,26 +191,27 @@ def _blocks(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, first = 0, 0, 0
         doc_ids: list = []
-        ids: list[np.ndarray] = []
+        ids: list[bytes] = []
+        counts: list[int] = []
         size = 0
 
         def closed():
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).tolist()
-            row = [[part], [block], [first], [doc_ids], [offsets], [width], [pack(np.concatenate(ids), width)]]
+            offsets = np.concatenate([[0], np.cumsum(counts)]).tolist()
+            whole = pack(np.concatenate([unpack(x, width, 0, n) for x, n in zip(ids, counts, strict=True)]), width) if width % 8 else b"".join(ids)
+            row = [[part], [block], [first], [doc_ids], [offsets], [width], [whole]]
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, type=f.type) for v, f in zip(row, schema, strict=True)], schema=schema
             )
 
         for batch in batches:
-            for i in range(batch.num_rows):
-                part = batch.column(0)[i].as_py()
-                doc_ids.append(batch.column(1)[i].as_py())
-                n = batch.column(2)[i].as_py()
-                ids.append(unpack(batch.column(3)[i].as_buffer(), width, 0, n))
+            for part, doc, n, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                doc_ids.append(doc)
+                ids.append(packed)
+                counts.append(n)
                 size += n
                 if size >= BLOCK_IDS:
                     yield closed()
-                    block, first, size, doc_ids, ids = block + 1, first + size, 0, [], []
+                    block, first, size, doc_ids, ids, counts = block + 1, first + size, 0, [], [], []
         if doc_ids:
             yield closed()
 

@@ -87,9 +87,9 @@ def open_cache(spark: SparkSession, path: str) -> DataFrame:
 def fill_cache(texts: DataFrame, path: str, tokenizer: str, text: str = "text") -> None:
     """Encode the distinct texts that the cache lacks and append their counts.
 
-    Only digests take part in the search for misses. A text is chosen for each missing digest by a
-    map-side reduction to one row per digest and task, so a text that fills a third of the table is
-    shuffled once per task.
+    Texts are reduced to one of each digest first, within a task before they move, so a text that fills a
+    third of the table is shuffled once per task; the cache, of any size, meets one row of each digest,
+    which lies where the reduction has put it.
     """
     spark = texts.sparkSession
     version = tokenizer_digest(public_tokenizers.path(tokenizer))
@@ -101,8 +101,10 @@ def fill_cache(texts: DataFrame, path: str, tokenizer: str, text: str = "text")
     body = texts.select(normalised(text).alias("body"))
     misses = (
         body.select(F.sha2("body", 256).alias("content_digest"), "body")
-        .join(known, "content_digest", "left_anti")
         .dropDuplicates(["content_digest"])
+        # Not an anti-join, which the optimizer would carry out before the reduction.
+        .join(known.withColumn("stored", F.lit(True)), "content_digest", "left")
+        .filter(F.col("stored").isNull())
     )
     misses.select(
         "content_digest",

@@ -13,7 +13,9 @@ rows, as the question asks.
 
 Vectors that are null or hold null or non-finite components take no part, nor do null ids. Only vectors of
 the query's own length are compared. A row never meets rows of its own id. Repeated rows stay candidates
-and queries of their own. Scores are 64-bit integers.
+and queries of their own. Integers beyond ``LARGEST`` on either side count as that bound. Ranks go by exact
+products of any size; a score that 64 bits don't hold is given as their largest or smallest number. Ids that are
+no numbers end the job with Spark's cast error; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from buyerlens.llm.common import _arrow_schema, written
 
 BLOCK = 32_768  # rows of an index block
 QUERIES = 32  # queries of a query block
+LARGEST = 1 << 52
+LOW_BITS = 62  # a score moves as two numbers: these bits, and what stands above them
 
 INDEX = "part long, seq long, dim int, n int, ids binary, lows binary, widths binary, slices binary"
 CHUNK = "dim int, n int, qs binary, qids binary, values binary"
@@ -36,11 +40,12 @@ CHUNK = "dim int, n int, qs binary, qids binary, values binary"
 def whole_numbers(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
     """(vec_id, dim, v) of the vectors that take part."""
     v = F.transform(F.col(f"`{vec_col}`"), lambda x: x.cast("double"))
+    whole = lambda x: F.floor(F.greatest(F.least(x * scale, F.lit(float(LARGEST))), F.lit(-float(LARGEST))))
     fine = F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     return (
         vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), v.alias("v"))
         .filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & fine)
-        .select("vec_id", F.size("v").alias("dim"), F.transform("v", lambda x: F.floor(x * scale)).alias("v"))
+        .select("vec_id", F.size("v").alias("dim"), F.transform("v", whole).alias("v"))
     )
 
 
@@ -234,12 +239,17 @@ def top_k(
     )
     found = pairs.select(
         "q_dim", "q_qs", "q_qids", "q_values", "dim", "n", "ids", "lows", "widths", "slices"
-    ).mapInArrow(_searched(k), "q long, query_id long, vec_id long, score long")
-    order = W.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    ).mapInArrow(_searched(k), "q long, query_id long, vec_id long, high long, low long")
+    order = W.partitionBy("q").orderBy(F.desc("high"), F.desc("low"), "vec_id")
+    score = (
+        F.when(F.col("high") > 1, (1 << 63) - 1)
+        .when(F.col("high") < -2, F.lit(-(1 << 63) + 1) - 1)
+        .otherwise(F.col("high") * (1 << LOW_BITS) + F.col("low"))
+    )
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score"))
     )
 
 
@@ -247,7 +257,7 @@ def _searched(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, block = None, None
         for b in batches:
-            out: tuple[list, ...] = ([], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [])
             for i in range(b.num_rows):
                 q_dim, qs, qids, values, dim, n, ids, lows, widths, slices = (c[i].as_py() for c in b.columns)
                 if q_dim != dim:
@@ -260,7 +270,8 @@ def _searched(k: int):
                     out[0].extend([q] * len(scores))
                     out[1].extend([own] * len(scores))
                     out[2].extend(vec_ids.tolist())
-                    out[3].extend(scores)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["q", "query_id", "vec_id", "score"])
+                    out[3].extend(s >> LOW_BITS for s in scores)
+                    out[4].extend(s & (1 << LOW_BITS) - 1 for s in scores)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["q", "query_id", "vec_id", "high", "low"])
 
     return run

@@ -3,6 +3,8 @@
 ``register(spark)`` makes the format "warc" known. A read plans partitions from file sizes, reads the header
 of each record first, applies the predicates that Spark pushes down (record type and other header columns),
 and steps over the payload of every record that they reject, or of all if no payload column is asked for.
+Push-down is an option, off unless asked for: in Spark 4.1 all scans of one loaded frame share the predicates
+planned last, so a frame that a query uses twice would lose rows. ``records_of`` asks for it, on a fresh frame.
 Archives may be plain or compressed record by record; the writer's compressed members tell their length
 (extra field "sl"), so stepping over one costs no inflation. Members of other writers are inflated to find
 their end, and their files are one partition each.
@@ -296,13 +298,6 @@ class Reader(DataSourceReader):
         self.path, self.columns, self.split = path, columns, split
         self.filters: list[Filter] = []
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for f in filters:
-            if test_of(f) is None:
-                yield f
-            else:
-                self.filters.append(f)
-
     def partitions(self) -> list[Range]:
         fs, root = file_system(self.path)
         pieces = []
@@ -362,6 +357,14 @@ class Reader(DataSourceReader):
             yield batch()
 
 
+class PushingReader(Reader):
+    """A reader that takes over predicates. Spark tests the rows again, which costs little."""
+
+    def pushFilters(self, filters: list[Filter]) -> list[Filter]:
+        self.filters = [f for f in filters if test_of(f) is not None]
+        return filters
+
+
 # Writing
 
 
@@ -470,7 +473,7 @@ class Writer(DataSourceArrowWriter):
 
 
 class WarcSource(DataSource):
-    """Options: path, split (bytes of a partition), compression (gzip or none), level, roll, date."""
+    """Options: path, pushdown, split (bytes of a partition), compression (gzip or none), level, roll, date."""
 
     @classmethod
     def name(cls) -> str:
@@ -483,7 +486,8 @@ class WarcSource(DataSource):
         unknown = set(schema.names) - set(KINDS)
         if unknown:
             raise ValueError(f"no such columns: {sorted(unknown)}")
-        return Reader(self.options["path"], schema.names, int(self.options.get("split", SPLIT)))
+        kind = PushingReader if self.options.get("pushdown", "false") == "true" else Reader
+        return kind(self.options["path"], schema.names, int(self.options.get("split", SPLIT)))
 
     def writer(self, schema: StructType, overwrite: bool) -> Writer:
         o = self.options
@@ -500,6 +504,17 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcSource)
 
 
+def records_of(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """The records below ``path``, loaded anew, with predicates pushed to the source.
+
+    Use such a frame for one query: the scans of one loaded frame share the predicates that were planned last.
+    """
+    kinds = dict(part.split() for part in SCHEMA.split(", "))
+    schema = ", ".join(f"{c} {kinds[c]}" for c in columns or kinds)
+    register(spark)
+    return spark.read.format("warc").schema(schema).option("pushdown", "true").load(path)
+
+
 # Pages
 
 
@@ -551,7 +566,7 @@ def archived(pages: DataFrame, path: str | None = None, least: int = 100, **opti
     register(spark)
     path = path or new_path(spark, "warc")
     with_roles(pages, least, **options).write.format("warc").mode("append").save(path)
-    found = spark.read.format("warc").schema("type string, record_id string, uri string, digest string, refers_to string, payload_bytes long, payload binary").load(path)
+    found = records_of(spark, path, ["type", "record_id", "uri", "digest", "refers_to", "payload_bytes", "payload"])
     found = found.filter(F.col("type").isin("response", "revisit"))
     own = F.col("type") == "response"
     page = lambda c: F.nullif(F.regexp_replace(c, "^urn:page:", ""), F.lit("null"))

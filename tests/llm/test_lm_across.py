@@ -58,7 +58,7 @@ def test_contexts_run_on(spark, tmp_path, monkeypatch, grams):
         docs.write.parquet(str(tmp_path / "documents.parquet"))
         rows = op5_lm(spark, str(tmp_path)).collect()
     else:
-        rows = lm.score_documents(docs, fold("doc_id", 7) != 2, grams=grams, pieces=3, across=True).collect()
+        rows = lm.score_documents(docs, fold("doc_id", 7) != 2, grams=grams, pieces=3).collect()
     got = {r.doc_id: r.score for r in rows}
     want = brute(texts, train)
     assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-7)
@@ -68,8 +68,7 @@ def test_contexts_run_on(spark, tmp_path, monkeypatch, grams):
 
 def test_long_texts_are_cut_without_loss():
     texts = [b"some words and more" * 20, b"", b"x y"]
-    for across in (True, False):
-        whole = [lm.gram_keys(g, across) for g in lm.parts_of(texts)]
-        cut = [lm.gram_keys(g, across) for g in lm.parts_of(texts, 7)]
-        for i in range(2):
-            assert np.concatenate([w[i] for w in whole]).tolist() == np.concatenate([c[i] for c in cut]).tolist()
+    whole = [lm.gram_keys(g) for g in lm.parts_of(texts)]
+    cut = [lm.gram_keys(g) for g in lm.parts_of(texts, 7)]
+    for i in range(2):
+        assert np.concatenate([w[i] for w in whole]).tolist() == np.concatenate([c[i] for c in cut]).tolist()
