@@ -21,14 +21,12 @@ from buyerlens.operators.joins import interval_join, prefixed
 from buyerlens.operators.labels import ORDER_DIMS, label_changes
 from buyerlens.operators.lookups import last_sku, lookup, search_category
 from buyerlens.operators.scoring import score, top_band, total_scores
-from buyerlens.session import DEFAULT_TZ
+from buyerlens.operators.validity import paired_times
+from buyerlens.session import DEFAULT_TZ, settle
 from buyerlens.sinks.writers import write_files
-from buyerlens.streaming.event_time import WATERMARK, timed, window_last
-from buyerlens.streaming.stateful import (
-    keep_if_newer_stream,
-    label_changes_stream,
-    running_activity_stream,
-)
+from buyerlens.streaming.event_time import WATERMARK, timed
+from buyerlens.streaming.stateful import keep_if_newer_stream, label_changes_stream, running_activity_stream
+from buyerlens.streaming.windows import SALTS, activity_windows, last_of_interval
 
 SCORE_DIMS = ["time", "price", "category", "tm", "device", "search"]
 
@@ -58,23 +56,24 @@ def base_profile(
     )
 
 
-def device_scores(views: DataFrame, dims: Dimensions, delay: str = WATERMARK) -> DataFrame:
+def device_scores(
+    views: DataFrame, dims: Dimensions, delay: str = WATERMARK, salts: int = SALTS, clock_ms: int | None = None
+) -> DataFrame:
     """Device and search scores per user at the end of each two-minute window with views.
 
-    Input: projected page views (:func:`buyerlens.operators.cdc.project_page_log`). On streams every view
-    is counted when it comes, however late. A window is given out ``delay`` after its end, once: later views
-    count in the windows that are still open.
+    Input: projected page views (:func:`buyerlens.operators.cdc.project_page_log`). On streams a window is
+    given out ``delay`` after its end, once, with all views that came before; later views count in the user's
+    next window. ``salts`` is the number of tasks that share a user. With ``clock_ms`` windows are intervals of
+    processing time instead: the state of every user with views, at each multiple of ``clock_ms``.
     """
-    if views.isStreaming:
-        # The watermark stands behind the counts, so that it decides on windows only.
+    if not views.isStreaming:
+        seen = activity_snapshots(dedup_exact(views))
+    elif clock_ms is None:
+        seen = activity_windows(dedup_exact(views), delay=delay, salts=salts)
+    else:
         once = timed(dedup_exact(views), "ts", "view_time", None)
         running = running_activity_stream(once, "uid", "view_time", ["ts", "os", "search_item"])
-        running = running.withWatermark("view_time", delay)
-        seen = window_last(running, "uid", "view_time", ["ts", "pv", "judge_os", "search_item"]).drop(
-            "view_time"
-        )
-    else:
-        seen = activity_snapshots(dedup_exact(views))
+        seen = last_of_interval(running.drop("view_time"), ["uid"], ["pv"], clock_ms)
     found = search_category(seen, dims.categories, dims.search_compare)
     kept = found.select("uid", "ts", "judge_os", "search_category")
     return score(kept, {"device": "judge_os", "search": "search_category"})
@@ -83,7 +82,11 @@ def device_scores(views: DataFrame, dims: Dimensions, delay: str = WATERMARK) ->
 def order_scores(
     orders: DataFrame, details: DataFrame, dims: Dimensions, tz: str = DEFAULT_TZ
 ) -> DataFrame:
-    """Order-label scores per user, one row whenever the user's leading labels change."""
+    """Order-label scores per user, one row whenever the user's leading labels change.
+
+    On streams versions (unless the source gives their arrival) and labels are handled in order of event time when
+    the watermark has passed it, so the result does not depend on where micro-batches end.
+    """
     heads = cdc.order_heads(cdc.flatten_image(orders))
     # Versions count in order of arrival where the source gives it, else in order of their own time.
     first = "arrival" if "arrival" in heads.columns else "ts_ms"
@@ -91,7 +94,9 @@ def order_scores(
     # Repeated records have equal times, so keep-if-newer also removes exact copies.
     if heads.isStreaming:
         timed_heads = timed(heads, "ts_ms", "order_ts")
-        newer = keep_if_newer_stream(timed_heads, ["order_id"], "ts_ms", version_order, "order_ts")
+        newer = keep_if_newer_stream(
+            timed_heads, ["order_id"], "ts_ms", version_order, "order_ts", release=first == "ts_ms"
+        )
     else:
         newer = timed(keep_if_newer(heads, ["order_id"], "ts_ms", version_order), "ts_ms", "order_ts")
     lines = timed(prefixed(cdc.order_lines(details), "d_"), "d_ts_ms", "line_ts")
@@ -119,10 +124,11 @@ def order_scores(
     order = ["ts", "order_id", "sku_id"]
     if labelled.isStreaming:
         changes = label_changes_stream(
-            labelled, "user_id", ORDER_DIMS, order, ["ts", "order_ts"], "order_ts"
+            labelled, "user_id", ORDER_DIMS, order, ["ts", "order_ts"], "order_ts", release="ts"
         ).drop("order_ts")
     else:
-        changes = label_changes(labelled, "user_id", ORDER_DIMS, order, ["ts"])
+        # Written once: the count of heavy keys and the windows read these narrow rows, not all before them.
+        changes = label_changes(settle(labelled), "user_id", ORDER_DIMS, order, ["ts"])
     return score(
         changes,
         {"tm": "tm_name", "category": "order_category", "price": "order_price", "time": "order_time"},
@@ -137,17 +143,23 @@ def shopper_age(
     On streams ``late`` bounds the state: rows later than that are dropped. Without it all are kept.
     """
     # Pairs carry one subtotal per band and side, not the scores of all dimensions.
-    left = timed(_subtotals(orders, "user_id", "o_", SCORE_DIMS[:4], fix_50_plus), "o_ts", "order_ts", late)
-    right = timed(_subtotals(devices, "uid", "d_", SCORE_DIMS[4:], fix_50_plus), "d_ts", "device_ts", late)
+    left = _subtotals(orders, "user_id", "o_", SCORE_DIMS[:4], fix_50_plus)
+    right = _subtotals(devices, "uid", "d_", SCORE_DIMS[4:], fix_50_plus)
+
+    def banded(pairs: DataFrame) -> DataFrame:
+        totals = [(F.col(f"`o_{b}`") + F.col(f"`d_{b}`")).cast(SCORE_TYPE).alias(b) for b in BANDS]
+        return top_band(pairs.select("*", *totals))
+
+    if not (left.isStreaming or right.isStreaming):
+        # Device scores change a few times per user, so order scores meet their runs, not all windows.
+        right = right.withColumnsRenamed({"uid": "user_id", "d_ts": "ts"})
+        cols = [f"d_{b}" for b in BANDS]
+        return paired_times(left.withColumnRenamed("o_ts", "ts"), right, "user_id", "ts", cols, DAY_MS, banded, "shop_age")
+    left, right = timed(left, "o_ts", "order_ts", late), timed(right, "d_ts", "device_ts", late)
     joined = interval_join(
         left, right, [("user_id", "uid")], "order_ts", "device_ts", -DAY_MS, DAY_MS
     )
-    totals = [(F.col(f"`o_{b}`") + F.col(f"`d_{b}`")).cast(SCORE_TYPE).alias(b) for b in BANDS]
-    banded = top_band(joined.select("*", *totals))
-    later = F.greatest("o_ts", "d_ts").alias("ts")
-    if joined.isStreaming:
-        return banded.select("user_id", "shop_age", later, "order_ts")
-    return banded.select("user_id", "shop_age", later).distinct()
+    return banded(joined).select("user_id", "shop_age", F.greatest("o_ts", "d_ts").alias("ts"), "order_ts")
 
 
 def _subtotals(df: DataFrame, key: str, prefix: str, dims: list[str], fix_50_plus: bool) -> DataFrame:

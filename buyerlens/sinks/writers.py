@@ -166,9 +166,13 @@ def write_dictionary(words: DataFrame, path: str) -> None:
 
 
 def write_routed(df: DataFrame, path: str, name: str, value_col: str = "value", once: bool = True):
-    """Land a change topic partitioned by source table, so each consumer reads only its own part."""
+    """Land a change topic partitioned by source table, so each consumer reads only its own part.
+
+    The place of arrival is kept if the source gives it, since newest-version rules go by it.
+    """
     table = F.coalesce(F.get_json_object(value_col, "$.source.table"), F.lit("unknown"))
-    landed = df.select(F.col(value_col).alias("value"), table.alias("table"))
+    arrival = [c for c in ("arrival",) if c in df.columns]
+    landed = df.select(F.col(value_col).alias("value"), *arrival, table.alias("table"))
     if df.isStreaming:
         writer = landed.writeStream.format("parquet").partitionBy("table").option("path", path)
         return _start(writer, df, name, once)

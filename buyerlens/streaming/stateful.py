@@ -2,6 +2,10 @@
 
 State is a few scalars per key, or one counter per (key, label). Rows of a micro-batch are handled in
 order of ``order`` columns; times are kept as BIGINT.
+
+With ``release`` a processor keeps the rows that come and handles them when the watermark has passed their
+time, in order of time, so its output does not depend on where micro-batches end. Rows that are late for the
+watermark are dropped, as Spark does with every event-time operator; the last rows wait for the watermark.
 """
 
 from __future__ import annotations
@@ -20,13 +24,60 @@ def _sort_key(row: Row, order: list[str]) -> tuple:
 
 
 class _Ordered(StatefulProcessor):
+    """Subclasses give ``begin`` (their state) and ``step`` (what ordered rows of a key become)."""
+
+    #: Column of the event time in millis and the schema of the rows, if rows wait for the watermark.
+    release: tuple[str, StructType] | None = None
+
     def __init__(self, order: list[str], ttl_ms: int | None = None):
         self.order = order
         self.ttl_ms = ttl_ms
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        if self.release:
+            self.waiting = handle.getListState("waiting", self.release[1])
+            self.due = handle.getValueState("due", "at BIGINT")
+        self.begin(handle)
+
     def in_order(self, rows: Iterator[Row]) -> list[Row]:
         return sorted(rows, key=lambda r: _sort_key(r, self.order))
 
+    def _time(self, row: Row) -> int:
+        return row[self.release[0]] or 0
+
+    def _wake(self, at: int) -> None:
+        """Have a timer for the earliest waiting row; a timer fires after its time."""
+        due = self.due.get()
+        if due is None or at < due[0]:
+            if due is not None:
+                self.handle.deleteTimer(max(due[0] - 1, 0))
+            self.handle.registerTimer(max(at - 1, 0))
+            self.due.update((at,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if not self.release:
+            return iter(self.step(key, self.in_order(rows)))
+        rows = list(rows)
+        self.waiting.appendList([tuple(r) for r in rows])
+        self._wake(min(map(self._time, rows)))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        make = Row(*self.release[1].names)
+        ready, rest = [], []
+        for values in self.waiting.get():
+            row = make(*values)
+            (ready if self._time(row) <= passed else rest).append(row)
+        self.due.clear()
+        if rest:
+            self.waiting.put([tuple(r) for r in rest])
+            self._wake(min(map(self._time, rest)))
+        else:
+            self.waiting.clear()
+        return iter(self.step(key, self.in_order(ready)))
+
     def close(self) -> None:
         pass
 
@@ -38,22 +89,22 @@ class NewerOnly(_Ordered):
         super().__init__(order, ttl_ms)
         self.ts = ts
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def begin(self, handle: StatefulProcessorHandle) -> None:
         self.newest = handle.getValueState("newest", "ts BIGINT", self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def step(self, key, rows: list[Row]) -> list[Row]:
         state = self.newest.get()
         newest = None if state is None else state[0]
         start = newest
         out = []
-        for row in self.in_order(rows):
+        for row in rows:
             ts = row[self.ts]
             if newest is None or (ts is not None and ts > newest):
                 newest = ts
                 out.append(row)
         if newest is not None and newest != start:
             self.newest.update((newest,))
-        return iter(out)
+        return out
 
 
 class LabelLeaders(_Ordered):
@@ -65,17 +116,17 @@ class LabelLeaders(_Ordered):
         super().__init__(order, ttl_ms)
         self.key, self.dims, self.keep = key, dims, keep
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def begin(self, handle: StatefulProcessorHandle) -> None:
         self.counts = handle.getMapState("counts", "dim INT, label STRING", "n BIGINT", self.ttl_ms)
         fields = ", ".join(f"l{i} STRING, n{i} BIGINT" for i in range(len(self.dims)))
         self.leaders = handle.getValueState("leaders", fields, self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def step(self, key, rows: list[Row]) -> list[Row]:
         state = self.leaders.get()
         lead = [] if state is None else [(state[2 * i], state[2 * i + 1]) for i in range(len(self.dims))]
         fresh: dict = {}
         out = []
-        for row in self.in_order(rows):
+        for row in rows:
             before = [label for label, _ in lead]
             now = []
             for i, dim in enumerate(self.dims):
@@ -93,7 +144,7 @@ class LabelLeaders(_Ordered):
             self.counts.updateValue(at, (n,))
         if lead:
             self.leaders.update(tuple(v for pair in lead for v in pair))
-        return iter(out)
+        return out
 
 
 def _leader(best, reached):
@@ -116,17 +167,17 @@ class RunningActivity(_Ordered):
         super().__init__(order, ttl_ms)
         self.key, self.time_col = key, time_col
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def begin(self, handle: StatefulProcessorHandle) -> None:
         self.sums = handle.getValueState(
             "sums",
             "pv BIGINT, ios BOOLEAN, android BOOLEAN, os STRING, term STRING, many BOOLEAN",
             self.ttl_ms,
         )
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def step(self, key, rows: list[Row]) -> list[Row]:
         pv, ios, android, os, term, many = self.sums.get() or (0, False, False, None, None, False)
         out = []
-        for row in self.in_order(rows):
+        for row in rows:
             pv += 1
             ios, android = ios or row["os"] == "iOS", android or row["os"] == "Android"
             if row["os"] is not None and (os is None or row["os"] < os):
@@ -146,7 +197,7 @@ class RunningActivity(_Ordered):
                 )
             )
         self.sums.update((pv, ios, android, os, term, many))
-        return iter(out)
+        return out
 
 
 def _run(df: DataFrame, keys: list[str], processor, schema, time_col: str | None) -> DataFrame:
@@ -168,9 +219,16 @@ def keep_if_newer_stream(
     order: list[str],
     time_col: str | None = None,
     ttl_ms: int | None = None,
+    release: bool = False,
 ) -> DataFrame:
-    """Streaming form of :func:`buyerlens.operators.dedup.keep_if_newer`."""
-    return _run(df, keys, NewerOnly(ts, order, ttl_ms), df.schema, time_col)
+    """Streaming form of :func:`buyerlens.operators.dedup.keep_if_newer`.
+
+    With ``release`` rows wait until the watermark of ``time_col`` has passed ``ts``; without, rows of a
+    micro-batch are handled at once, which gives one result if micro-batches follow ``order`` (arrival).
+    """
+    processor = NewerOnly(ts, order, ttl_ms)
+    processor.release = (ts, df.schema) if release else None
+    return _run(df, keys, processor, df.schema, time_col)
 
 
 def label_changes_stream(
@@ -181,10 +239,16 @@ def label_changes_stream(
     out_cols: list[str],
     time_col: str | None = None,
     ttl_ms: int | None = None,
+    release: str | None = None,
 ) -> DataFrame:
-    """Streaming form of :func:`buyerlens.operators.labels.label_changes`."""
+    """Streaming form of :func:`buyerlens.operators.labels.label_changes`.
+
+    ``release`` names the event time in millis at which rows wait for the watermark of ``time_col``.
+    """
     kept = [df.schema[c] for c in [key, *out_cols, *dims]]
-    return _run(df, [key], LabelLeaders(key, dims, order, out_cols, ttl_ms), StructType(kept), time_col)
+    processor = LabelLeaders(key, dims, order, out_cols, ttl_ms)
+    processor.release = (release, df.schema) if release else None
+    return _run(df, [key], processor, StructType(kept), time_col)
 
 
 def running_activity_stream(
