@@ -353,6 +353,18 @@ ORACLES = {
             CAST((epoch_us(o_orderdate) // 1000) AS VARCHAR) AS ts_ms
         FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey
             ORDER BY o_orderdate DESC, 1 - o_orderkey % 2, o_orderkey) = 1""",
+    "keyed_upserts": """SELECT CAST(o_custkey AS VARCHAR) AS o_custkey,
+            CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+            CAST((epoch_us(o_orderdate) // 1000) AS VARCHAR) AS ts_ms
+        FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey
+            ORDER BY o_orderdate DESC, 1 - o_orderkey % 2, o_orderkey) = 1""",
+    "dim_as_of": """WITH v AS (
+            SELECT o_custkey % 50 AS dic_code, epoch_us(o_orderdate) // 1000 AS valid_from, max(o_orderpriority) AS dic_name
+            FROM orders GROUP BY ALL),
+        l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 9 <> 0 THEN l_suppkey % 60 END AS code,
+                epoch_us(l_shipdate) // 1000 AS ts FROM lineitem)
+        SELECT l_orderkey, l_linenumber, code, ts, coalesce(dic_name, 'N/A') AS dic_name
+        FROM l ASOF LEFT JOIN v ON l.code = v.dic_code AND l.ts >= v.valid_from""",
     "user_activity_sets": f"""WITH {VIEWS} SELECT uid, count(*) AS pv, max(ts) AS ts, """
     + ", ".join(
         f"coalesce(string_agg(DISTINCT {c}, ',' ORDER BY {c}), '') AS {c}"

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from buyerlens import schemas
 from buyerlens.catalog import standins as t
 from buyerlens.functions import bands, calendar, text
-from buyerlens.operators import activity, cdc, dedup, enrich, joins, labels, lookups, moderation, scoring
+from buyerlens.operators import activity, cdc, dedup, enrich, joins, labels, lookups, moderation, scoring, versions
 from buyerlens.plans import comments, portrait
 from buyerlens.schemas import PORTRAIT_COLUMNS
-from buyerlens.sinks import writers
+from buyerlens.session import shared_dir
+from buyerlens.sinks import keyed, writers
 
 QUERIES = {}
 
@@ -170,6 +173,16 @@ def keyed_merge(spark, sf):
     return writers.as_cells(merged, "o_custkey")
 
 
+@query
+def keyed_upserts(spark, sf):
+    rows, path = _versions(spark, sf), f"{shared_dir(spark)}/keyed/{uuid.uuid4().hex}"
+    for part in (0, 1):
+        keyed.upsert(rows.filter(F.col("o_orderkey") % 2 == part), path, ["o_custkey"], "ts_ms", ["o_orderkey"])
+    return writers.as_cells(keyed.keyed_rows(spark, path), "o_custkey").select(
+        "o_custkey", "o_orderkey", "o_orderstatus", "ts_ms"
+    )
+
+
 # -- activity ----------------------------------------------------------------------------------
 
 
@@ -247,6 +260,18 @@ def dim_lookup_default(spark, sf):
     return lookups.lookup(c, dim, ("c_nationkey", "dic_code"), ["dic_name"], "N/A")
 
 
+@query
+def dim_as_of(spark, sf):
+    orders, lines = t.table(spark, sf, "orders"), t.table(spark, sf, "lineitem")
+    names = orders.select(
+        (F.col("o_custkey") % 50).alias("dic_code"), t.millis("o_orderdate").alias("valid_from"),
+        F.col("o_orderpriority").alias("dic_name"),
+    )
+    code = F.when(F.col("l_partkey") % 9 != 0, F.col("l_suppkey") % 60)
+    facts = lines.select("l_orderkey", "l_linenumber", code.alias("code"), t.millis("l_shipdate").alias("ts"))
+    return versions.as_of_lookup(facts, names, ("code", "dic_code"), "ts", "valid_from", ["dic_name"], "N/A")
+
+
 @query
 def dim_chain_inner(spark, sf):
     c1, c2, _ = t.levels(spark, sf)

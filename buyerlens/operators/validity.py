@@ -14,6 +14,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from buyerlens.session import settle
+
 
 def with_runs(df: DataFrame, key: str, ts: str, cols: list[str]) -> DataFrame:
     """``df`` with ``run``: rows of a key in order of ``ts`` that agree in ``cols`` without a break share it.
@@ -65,10 +67,11 @@ def paired_times(
     """
     changes = changes.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
     rows = with_runs(rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, ts, *cols), key, ts, cols)
+    rows = settle(rows)  # read four times below; what stands before is done once
     spans = runs(rows, key, ts, cols)
     met = last_at(changes, rows, key, ts, gap).join(spans, key)
     met = met.filter((F.col("first") <= F.col(ts) + gap) & (F.col("last") >= F.col(ts) - gap))
-    met = result(met)
+    met = settle(result(met).select(key, ts, out, "run", "first", "last", "seen"))
     # A row of the run up to the change: the run's last, or the key's latest row if the run goes on.
     before = (F.col("last") <= F.col(ts)) | ((F.col("first") <= F.col(ts)) & F.col("seen").isNotNull())
     at_change = met.filter(before).select(key, out, ts)

@@ -32,7 +32,7 @@ def write_kafka(df: DataFrame, servers: str, topic: str, name: str):
     """Rows as JSON text to a topic (at least once on streams)."""
     value, options = to_json_value(df), kafka_write_options(servers, topic)
     if df.isStreaming:
-        return _start(value.writeStream.format("kafka").options(**options), df, name, False)
+        return start(value.writeStream.format("kafka").options(**options), df, name, False)
     return value.write.format("kafka").options(**options).save()
 
 
@@ -42,7 +42,7 @@ def write_files(
     """Append rows to a folder: exactly once for streams."""
     if df.isStreaming:
         writer = df.writeStream.format(fmt).options(**options).outputMode("append").option("path", path)
-        return _start(writer, df, name, once)
+        return start(writer, df, name, once)
     df.write.format(fmt).options(**options).mode("append").save(path)
     return None
 
@@ -62,22 +62,26 @@ def write_portrait_csv(df: DataFrame, path: str, name: str, once: bool = True):
 def write_console(df: DataFrame, name: str, once: bool = True, rows: int = 20):
     if df.isStreaming:
         writer = df.writeStream.format("console").option("numRows", rows).option("truncate", "false")
-        return _start(writer, df, name, once)
+        return start(writer, df, name, once)
     return df.show(rows, truncate=False)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, name: str, once: bool = True, **options):
-    """Append to a relational or analytic table; a retried micro-batch may append again."""
+    """Append to a relational or analytic table; a retried micro-batch may append again.
+
+    Where the store can replace a load by its number, use :func:`buyerlens.sinks.keyed.write_with_ledger`.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
     if not df.isStreaming:
         return save(df, 0)
-    return _start(df.writeStream.foreachBatch(save), df, name, once)
+    return start(df.writeStream.foreachBatch(save), df, name, once)
 
 
-def _start(writer, df: DataFrame, name: str, once: bool) -> StreamingQuery:
+def start(writer, df: DataFrame, name: str, once: bool) -> StreamingQuery:
+    """Start a stream's writer under a name, with its checkpoint in the shared folder."""
     root = shared_dir(df.sparkSession)
     writer = writer.queryName(name).option("checkpointLocation", f"{root}/queries/{name}")
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -123,7 +127,7 @@ def write_changes(
 
     if not df.isStreaming:
         raise ValueError("a change log is written by a stream; use merge_by_key for static tables")
-    return _start(df.writeStream.foreachBatch(save), df, name, once)
+    return start(df.writeStream.foreachBatch(save), df, name, once)
 
 
 def current_rows(spark: SparkSession, path: str, keys: list[str], ts: str) -> DataFrame:
@@ -175,6 +179,6 @@ def write_routed(df: DataFrame, path: str, name: str, value_col: str = "value",
     landed = df.select(F.col(value_col).alias("value"), *arrival, table.alias("table"))
     if df.isStreaming:
         writer = landed.writeStream.format("parquet").partitionBy("table").option("path", path)
-        return _start(writer, df, name, once)
+        return start(writer, df, name, once)
     landed.write.mode("append").partitionBy("table").parquet(path)
     return None

@@ -1,0 +1,123 @@
+"""Keyed tables, the ledger of loads, and look-ups in versions."""
+
+import time
+import uuid
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from buyerlens.operators import versions
+from buyerlens.sinks import keyed, writers
+from buyerlens.sources.files import table_stream
+from conftest import rows
+
+
+def parts(path):
+    """Names and times of the data files of each bucket."""
+    return {p.name: {(f.name, f.stat().st_mtime_ns) for f in p.glob("*.parquet")} for p in Path(path).glob("key_bucket=*")}
+
+
+def test_upsert_rewrites_its_buckets_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(i, 5, f"v{i}") for i in range(200)], "k long, ts long, v string")
+    assert len(keyed.upsert(first, path, ["k"], "ts", buckets=16)) == 16
+    before = parts(path)
+    update = spark.createDataFrame([(7, 9, "new"), (7, 8, "older"), (7, 9, "new")], first.schema)
+    assert len(touched := keyed.upsert(update, path, ["k"], "ts", ["v"], buckets=16)) == 1
+    after = parts(path)
+    assert {b for b in after if after[b] != before[b]} == {f"key_bucket={touched[0]}"}
+    want = [(i, 5, f"v{i}") if i != 7 else (7, 9, "new") for i in range(200)]
+    assert sorted(map(tuple, keyed.keyed_rows(spark, path).collect())) == want
+    # Again: the same table. A row older than the stored one changes nothing. Nothing touches nothing.
+    keyed.upsert(update, path, ["k"], "ts", ["v"], buckets=16)
+    keyed.upsert(spark.createDataFrame([(3, 1, "old")], first.schema), path, ["k"], "ts", buckets=16)
+    assert keyed.upsert(update.limit(0), path, ["k"], "ts", buckets=16) == []
+    assert sorted(map(tuple, keyed.keyed_rows(spark, path).collect())) == want
+
+
+def test_upsert_of_null_keys_and_new_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    keyed.upsert(spark.createDataFrame([(None, 1, "a"), (1, 1, "b")], "k long, ts long, v string"), path, ["k"], "ts", buckets=1)
+    keyed.upsert(spark.createDataFrame([(None, 2, 7)], "k long, ts long, w int"), path, ["k"], "ts", buckets=1)
+    assert rows(keyed.keyed_rows(spark, path).select("k", "ts", "v", "w")) == [(None, 2, None, 7), (1, 1, "b", None)]
+
+
+def test_stream_of_upserts(spark, tmp_path):
+    path, source = str(tmp_path / "t"), str(tmp_path / "in")
+    schema = "k long, ts long, v string"
+    for data in ([(1, 1, "a"), (2, 1, "b")], [(1, 3, "c")], [(1, 2, "late"), (3, 1, "d")]):
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(source)
+        time.sleep(0.01)
+    stream = table_stream(spark, source, schema, max_files=1)
+    keyed.write_upserts(stream, path, "up-" + uuid.uuid4().hex, ["k"], "ts", buckets=4).awaitTermination()
+    assert rows(keyed.keyed_rows(spark, path).select("k", "ts", "v")) == [(1, 3, "c"), (2, 1, "b"), (3, 1, "d")]
+
+
+def test_failed_load_is_not_appended_twice(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "store")
+    spark.range(20).repartition(4).write.parquet(source)
+    name, attempts = "store-" + uuid.uuid4().hex, []
+
+    def save(batch, batch_id):
+        batch.write.mode("overwrite").json(f"{out}/load={batch_id}")
+        attempts.append(batch_id)
+        if len(attempts) == 1:
+            raise RuntimeError("the store took the rows, the answer got lost")
+
+    def run():
+        stream = table_stream(spark, source, "id long")
+        return keyed.write_with_ledger(stream, save, f"{out}_ledger", name)
+
+    with pytest.raises(Exception, match="answer got lost"):
+        run().awaitTermination()
+    run().awaitTermination()
+    assert attempts == [0, 0] and sorted(r.id for r in spark.read.json(out).collect()) == list(range(20))
+    run().awaitTermination()
+    assert attempts == [0, 0]
+    # A batch that the ledger has is not given to the store, even if the stream has lost its place.
+    keyed.write_with_ledger(table_stream(spark, source, "id long"), save, f"{out}_ledger", name + "-again").awaitTermination()
+    assert attempts == [0, 0]
+    lines = str(tmp_path / "lines")
+    keyed.write_store_lines(table_stream(spark, source, "id long"), lines, name + "-lines").awaitTermination()
+    assert spark.read.json(lines).count() == 20
+
+
+def test_versions_valid_at_a_time(spark):
+    names = [("a", 10, "A1"), ("a", 1000, "A2"), ("a", 1000, "A0"), ("b", 50, None), (None, 1, "x"), ("a", None, "y")]
+    facts = [("a", t) for t in (9, 10, 999, 1000, 50_000)] + [("b", 60), ("c", 60), (None, 60), ("a", None), ("a", 10)]
+    df = spark.createDataFrame(facts, "code string, ts long").withColumn("dic_name", F.lit("clash"))
+    dim = spark.createDataFrame(names, "dic_code string, valid_from long, dic_name string")
+
+    def brute(code, ts):
+        found = [(f, n) for k, f, n in names if k is not None and k == code and f is not None and ts is not None and f <= ts]
+        best = max((f for f, _ in found), default=None)
+        return max((n for f, n in found if f == best and n is not None), default=None) or "N/A"
+
+    want = sorted([(c, t, brute(c, t)) for c, t in facts], key=str)
+    for stretch in (7, 100, 10**9):
+        got = versions.as_of_lookup(df, dim, ("code", "dic_code"), "ts", "valid_from", ["dic_name"], "N/A", stretch)
+        assert sorted(map(tuple, got.collect()), key=str) == want
+    none = versions.as_of_lookup(df, dim.limit(0), ("code", "dic_code"), "ts", "valid_from", ["dic_name"], "N/A")
+    assert {r.dic_name for r in none.collect()} == {"N/A"}
+
+
+def test_stream_sees_a_changed_name_without_a_restart(spark, tmp_path):
+    dim, source, out = str(tmp_path / "dim"), str(tmp_path / "in"), str(tmp_path / "out")
+    schema, facts = "dic_code string, valid_from long, dic_name string", "code string, ts long"
+    spark.createDataFrame([("a", 0, "old")], schema).write.parquet(dim)
+    spark.createDataFrame([("a", 5)], facts).coalesce(1).write.parquet(source)
+    work = versions.refreshing(
+        lambda: spark.read.schema(schema).parquet(dim),
+        lambda batch, d: versions.as_of_lookup(batch, d, ("code", "dic_code"), "ts", "valid_from", ["dic_name"], "N/A"),
+    )
+    q = writers.write_changes(table_stream(spark, source, facts), out, "fresh-" + uuid.uuid4().hex, once=False, work=work)
+    try:
+        q.processAllAvailable()
+        spark.createDataFrame([("a", 10, "new")], schema).write.mode("append").parquet(dim)
+        spark.createDataFrame([("a", 12), ("a", 6)], facts).coalesce(1).write.mode("append").parquet(source)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    found = spark.read.parquet(out).select("ts", "dic_name").collect()
+    assert sorted(map(tuple, found)) == [(5, "old"), (6, "old"), (12, "new")]
