@@ -36,49 +36,13 @@ from pyspark.sql.functions import arrow_udf
 
 from buyerlens.llm.bpe_words import encode_texts, gathered
 from buyerlens.llm.common import text_or_empty
+from buyerlens.llm.number_table import Table
 
 NEVER = 1 << 30
 LONG = 256  # bytes; longer words are walked one by one
 TEXTS = 2048  # texts decoded at a time
 
 
-class Table:
-    """Numbers under 63-bit keys, looked up for many keys at once; -1 for unknown keys."""
-
-    def __init__(self, entries: dict[int, int]):
-        bits = max(4, (2 * len(entries)).bit_length())
-        self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
-        self.keys = np.full(1 << bits, -1, np.int64)
-        self.values = np.full(1 << bits, -1, np.int64)
-        keys = np.fromiter(entries.keys(), np.int64, len(entries))
-        values = np.fromiter(entries.values(), np.int64, len(entries))
-        at = self._home(keys)
-        while len(keys):
-            free = self.keys[at] == -1
-            self.keys[at[free]] = keys[free]  # of keys that meet here the last stays
-            here = self.keys[at] == keys
-            self.values[at[here]] = values[here]
-            keys, values, at = keys[~here], values[~here], at[~here] + 1 & self.mask
-
-    def _home(self, keys: np.ndarray) -> np.ndarray:
-        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
-
-    def get(self, keys: np.ndarray) -> np.ndarray:
-        at = self._home(keys)
-        held = self.keys[at]
-        out = np.where(held == keys, self.values[at], -1)
-        left = np.flatnonzero((held != keys) & (held != -1))
-        at = at[left]
-        while len(left):
-            at = at + 1 & self.mask
-            held = self.keys[at]
-            hit = held == keys[left]
-            out[left[hit]] = self.values[at[hit]]
-            on = ~hit & (held != -1)
-            left, at = left[on], at[on]
-        return out
-
-
 def byte_letters() -> dict[str, int]:
     """The printable letters by which vocabulary files write bytes."""
     keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -109,7 +73,7 @@ class Automaton:
         for when, (u, v) in enumerate(merges, 1):
             self._gadget(vocab[u], vocab[v], vocab[u + v], when)
         # The compiled tables.
-        self.arc_lost, self.trie = Table(self.lost), Table(self.next)
+        self.arc_lost, self.trie = Table.of(self.lost), Table.of(self.next)
         self.tokens = np.array(self.token)
         self.made_at, self.left_part, self.right_part = np.array(self.made), np.array(self.left), np.array(self.right)
         self.sizes = np.array([len(self.labels.get(i, b"")) for i in range(size)])

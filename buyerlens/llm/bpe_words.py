@@ -72,17 +72,19 @@ def encode_texts(
     distinct: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]] | None,
     whole: Callable[[list[str]], list[np.ndarray]],
     special: tuple[str, ...] = (),
+    limit: int = SLICE,
 ) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts in a row, and how many each has.
 
     ``distinct`` gives the ids of many words in a row and how many each has; without it all texts go to ``whole``.
+    Words are told apart within ``limit`` bytes of text.
     """
     flats, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
     at = 0
     while at < len(texts):
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE, "right")) - 1)
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         part = texts.slice(at, end - at)
         at = end
         odd = pc.invert(pc.match_substring_regex(part, SURE))

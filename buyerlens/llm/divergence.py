@@ -35,7 +35,7 @@ from buyerlens.llm.word_arrays import byte_set, slices, words_of
 SHIPPED = 1 << 20  # terms broadcast at most
 TERM_BYTES = 64  # longer terms are not broadcast
 SHARDS = 16
-GROUP = 8 << 20  # bytes of text worked on at a time
+GROUP = 16 << 20  # bytes of text worked on at a time
 HELD = 64 << 20  # bytes of slots a task holds
 CELLS = 1 << 20
 REST = 1 << 40  # numbers of terms that are not broadcast begin here
@@ -181,6 +181,8 @@ def group_counts(rows: DataFrame, shards: DataFrame, complete: bool) -> DataFram
         yield from flushed()
 
     found = rows.mapInArrow(run, "lang string, source string, slot long, term string, c long")
+    if complete:
+        return found.groupBy("lang", "source", "slot").agg(F.sum("c").alias("c")).withColumn("term", F.lit(None).cast("string"))
     return found.groupBy("lang", "source", "slot", "term").agg(F.sum("c").alias("c"))
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from buyerlens.llm.common import text_or_empty, written
+from buyerlens.llm.number_table import Table
 
 ORDER = 5
 GRAMS = 1 << 19
@@ -201,11 +202,11 @@ def least_count(df: DataFrame, col: str, limit: int) -> int:
     return least
 
 
-def _looked_up(keys: np.ndarray, known: np.ndarray, lps: np.ndarray) -> np.ndarray:
-    if not len(known):
+def _looked_up(keys: np.ndarray, known: Table, lps: np.ndarray) -> np.ndarray:
+    if not len(lps):
         return np.full(len(keys), np.nan)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, lps[at], np.nan)
+    at = known.get(keys)
+    return np.where(at >= 0, lps[at], np.nan)
 
 
 def score_documents(
@@ -235,10 +236,8 @@ def score_documents(
     places = {p.encode(): i for i, p in enumerate(head["piece"].to_pylist())}
     least_gram = least_count(scores, "c", grams)
     top = scores.filter(F.col("c") >= least_gram).select("key", "lp").toArrow()
-    order = np.argsort(top["key"].to_numpy())
-    shipped = spark.sparkContext.broadcast(
-        (places, np.log10(weights + 1.0), weights > 0, top["key"].to_numpy()[order], top["lp"].to_numpy()[order])
-    )
+    known_grams = Table(top["key"].to_numpy(), np.arange(len(top)))
+    shipped = spark.sparkContext.broadcast((places, np.log10(weights + 1.0), weights > 0, known_grams, top["lp"].to_numpy()))
     end_log = float(np.log10(ends + 1))
 
     def score_texts(texts: list[bytes]) -> pa.Array:
@@ -259,8 +258,7 @@ def score_documents(
         owners, times = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for group in parts_of(texts):
             keys, owner = gram_keys(group)
-            found, which = np.unique(keys, return_inverse=True)  # a gram is looked up once
-            lp = _looked_up(found, known, lps)[which]
+            lp = _looked_up(keys, known, lps)
             miss = np.isnan(lp)
             score += np.bincount(owner, np.where(miss, 0.0, lp), len(texts))
             keys, owner = keys[miss], owner[miss]

@@ -35,6 +35,7 @@ from buyerlens.llm.bpe_words import encode_texts
 from buyerlens.llm.common import new_path, per_batch, text_or_empty
 
 BLOCK_IDS = 1 << 18  # a block closes with the document that reaches this many ids
+SLICE = 32 << 20  # bytes of text whose distinct words are encoded at a time
 STEP = 1 << 16  # ids that are spread into single bits at a time
 
 
@@ -102,7 +103,7 @@ class LibraryEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has."""
-        return encode_texts(texts, self.by_words, self._whole, self.special)
+        return encode_texts(texts, self.by_words, self._whole, self.special, SLICE)
 
 
 @lru_cache(maxsize=2)
