@@ -257,7 +257,7 @@ heads AS (
     FROM tails WHERE token <> '')"""
 
 BENCH_WORDS = r"""
-listed AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]{7,}')) AS word FROM benchmark)"""
+listed AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM benchmark)"""
 
 PATTERN = "(SELECT string_agg(word, '|' ORDER BY length(word) DESC, word) FROM listed)"
 
@@ -492,5 +492,10 @@ ORACLES = {
     + ") AS value FROM portrait",
 }
 ORACLES["find_words_joined"] = ORACLES["find_all_words"]
+ORACLES["find_words_folded"] = f"""WITH listed AS (
+        SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z]+'))) AS word FROM benchmark)
+    SELECT doc_id, array_to_string(found, '|') AS found
+    FROM (SELECT doc_id, regexp_extract_all(text, {PATTERN}, 0, 'i') AS found FROM documents)
+    WHERE len(found) > 0"""
 ORACLES["text_generation_udf"] = """SELECT conv_id, turn, length(text) || ' chars: ' || text AS text
     FROM conversations"""

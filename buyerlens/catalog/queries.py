@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from buyerlens import schemas
 from buyerlens.catalog import standins as t
 from buyerlens.functions import bands, calendar, text
-from buyerlens.operators import activity, cdc, dedup, enrich, joins, labels, lookups, moderation, scoring, versions
+from buyerlens.operators import activity, cdc, dedup, enrich, joins, labels, lookups, moderation, scoring, versions, wordsearch
 from buyerlens.plans import comments, portrait
 from buyerlens.schemas import PORTRAIT_COLUMNS
 from buyerlens.session import shared_dir
@@ -440,13 +440,20 @@ def _found(spark, sf):
 @query
 def find_all_words(spark, sf):
     docs, words = _found(spark, sf)
-    return moderation.find_words(docs, "doc_id", "text", words)
+    return wordsearch.find_words(docs, "doc_id", "text", words)
 
 
 @query
 def find_words_joined(spark, sf):
     docs, words = _found(spark, sf)
-    return moderation.find_words_joined(docs, "doc_id", "text", words)
+    found = wordsearch.finds_by_digest(docs, "text", words)
+    return docs.join(found, F.sha2("text", 256) == F.col("__id")).select("doc_id", "found")
+
+
+@query
+def find_words_folded(spark, sf):
+    docs, words = _found(spark, sf)
+    return wordsearch.find_words(docs, "doc_id", "text", words, fold=True)
 
 
 def _moderated(spark, sf):

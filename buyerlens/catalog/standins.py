@@ -295,8 +295,8 @@ def tail_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bench_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dictionary lines: every word of seven or more letters of every benchmark text."""
-    words = F.regexp_extract_all("text", F.lit("[A-Za-z]{7,}"), F.lit(0))
+    """Dictionary lines: every word of Latin letters, one-letter ones too, of every benchmark text."""
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
     return table(spark, sf_dir, "benchmark").select(F.explode(words).alias("value"))
 
 

@@ -6,16 +6,10 @@ a P0 finding contains listed words anywhere. Only P0 rows count as violations.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from buyerlens.functions.text import last_token
-
-# Size of the filter the word search ships, whatever the size of the dictionary: 2^23 bits, one megabyte.
-FILTER_BITS = 23
+from buyerlens.operators.wordsearch import finds_by_digest
 
 
 def flag_membership(
@@ -62,131 +56,17 @@ def moderate(
     )
 
 
-def find_words(
-    df: DataFrame, row_id: str, text_col: str, dictionary: DataFrame, dict_col: str = "word"
-) -> DataFrame:
-    """All listed words in each text: left to right, longest first, not overlapping (static input).
-
-    Gives ``row_id`` (unique) and ``found`` of the texts that hold any. One way for a dictionary of any
-    size: for each word length, the spots of a text whose n-gram of that length may be listed are joined
-    to the dictionary on the n-gram, so a spot meets at most one word per length. A filter of fixed size
-    over n-gram hashes keeps most other spots out of the join; a dictionary too large for it lets more
-    spots through but loses none. Only finds are grouped per row, never texts.
-
-    The filter and the list of lengths are made by a small job when this is called.
-    """
-    words = dictionary.select(F.col(dict_col).alias("__gram")).filter(F.col("__gram") != "").distinct()
-    spots = df.select(row_id, F.inline(_spots(WordFilter(words, "__gram"))(text_col)))
-    hits = spots.join(words, "__gram")
-    longest = hits.groupBy(row_id, "__at").agg(
-        F.max(F.struct(F.length("__gram").alias("n"), F.col("__gram").alias("w"))).alias("best")
-    )
-    per_row = longest.groupBy(row_id).agg(
-        F.sort_array(F.collect_list(F.struct("__at", "best.n", "best.w"))).alias("hits")
-    )
-    picked = F.aggregate(
-        "hits",
-        F.struct(F.lit(0).alias("free"), F.array().cast("array<string>").alias("found")),
-        lambda acc, h: F.when(
-            h["__at"] >= acc["free"],
-            F.struct(
-                (h["__at"] + h["n"]).alias("free"),
-                F.concat(acc["found"], F.array(h["w"])).alias("found"),
-            ),
-        ).otherwise(acc),
-        lambda acc: acc["found"],
-    )
-    return per_row.select(row_id, picked.alias("found"))
-
-
-def find_words_joined(
-    df: DataFrame, row_id: str, text_col: str, dictionary: DataFrame, dict_col: str = "word"
-) -> DataFrame:
-    """:func:`find_words` that searches each distinct text once, for tables with many repeated texts."""
-    digest = F.sha2(text_col, 256)
-    texts = df.select(digest.alias("__id"), F.col(text_col).alias("__text")).dropDuplicates(["__id"])
-    found = find_words(texts.filter("__id is not null"), "__id", "__text", dictionary, dict_col)
-    return df.select(row_id, digest.alias("__id")).join(found, "__id").select(row_id, "found")
-
-
-STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so that its powers can be divided by
-
-
-class WordFilter:
-    """Lengths of the words, and a bit table of ``FILTER_BITS`` bits over their hashes."""
-
-    def __init__(self, words: DataFrame, col: str):
-        shift = 64 - FILTER_BITS
-
-        @F.pandas_udf("long")
-        def slot(batch: pd.Series) -> pd.Series:
-            return batch.map(lambda w: int(gram_slots(points_of(w), len(w), shift)[0])).astype("int64")
-
-        listed = words.select(F.length(col).alias("n"), slot(col).alias("slot"))
-        self.shift = shift
-        self.lengths = sorted(r[0] for r in listed.select("n").distinct().collect())
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("slot") % 64).cast("int"))
-        rows = (
-            listed.groupBy(F.shiftright("slot", 6).alias("i"))
-            .agg(F.bit_or(bit).alias("b"))
-            .select("i", "b")
-            .toArrow()
-        )
-        self.bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)  # whatever the dictionary's size
-        self.bits[rows["i"].to_numpy()] = rows["b"].to_numpy().view(np.uint64)
-
-    def spots(self, points: np.ndarray) -> list[tuple[int, int]]:
-        """(start, length) of the n-grams that may be listed."""
-        out = []
-        for n in self.lengths:
-            slots = gram_slots(points, n, self.shift)
-            found = (self.bits[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1)
-            out += [(at, n) for at in np.flatnonzero(found).tolist()]
-        return out
-
-
-def points_of(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-
-
-def gram_slots(points: np.ndarray, n: int, shift: int) -> np.ndarray:
-    """Filter slot of every n-gram: a polynomial of its code points, by running sums over the text."""
-    last = len(points) - n + 1
-    if last <= 0:
-        return np.empty(0, np.uint64)
-    powers = np.cumprod(np.full(len(points), STEP), dtype=np.uint64)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points + np.uint64(1)) * powers, dtype=np.uint64)])
-    inverse = np.cumprod(np.full(last, np.uint64(pow(int(STEP), -1, 1 << 64))), dtype=np.uint64)
-    h = (sums[n : n + last] - sums[:last]) * inverse + np.uint64(n)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(shift)
-
-
-def _spots(table: WordFilter):
-    @F.pandas_udf("array<struct<__at: int, __gram: string>>")
-    def spots(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def of(text):
-            if text is None:
-                return []
-            return [{"__at": at, "__gram": text[at : at + n]} for at, n in table.spots(points_of(text))]
-
-        for texts in batches:
-            yield texts.map(of)
-
-    return spots
-
-
-def second_check(df: DataFrame, dictionary: DataFrame, dict_col: str = "word") -> DataFrame:
+def second_check(df: DataFrame, dictionary: DataFrame, dict_col: str = "word", fold: bool = False) -> DataFrame:
     """Second check of comments without a P0 finding: grade P1 with all words found (static input).
 
-    ``is_violation`` stays 0: P1 findings are hints, not violations. Equal comments are searched once.
+    ``is_violation`` stays 0: P1 findings are hints, not violations. Equal comments are searched once; with
+    ``fold`` case and full-width forms make no difference.
     Streams run it by micro-batch (:func:`buyerlens.plans.comments.run_moderation`).
     """
     if not isinstance(dictionary, DataFrame):
         raise TypeError("the second check needs a dictionary frame; an empty one finds nothing")
     clean = df.filter(F.col("is_violation") == 0)
-    texts = clean.select(F.sha2("msg", 256).alias("__id"), "msg").dropDuplicates(["__id"])
-    found = find_words(texts.filter("__id is not null"), "__id", "msg", dictionary, dict_col).select(
+    found = finds_by_digest(clean, "msg", dictionary, dict_col, fold).select(
         F.col("__id").alias("__digest"), F.array_join("found", ", ").alias("__found")
     )
     digest = F.when(F.col("is_violation") == 0, F.sha2("msg", 256))

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from buyerlens.operators import enrich, moderation
+from buyerlens.operators import enrich, moderation, wordsearch
 from buyerlens.plans import comments
 from conftest import rows
 
@@ -35,34 +35,53 @@ def texts_and_words(seed):
 
 @pytest.mark.parametrize("seed,bits", [(1, 23), (2, 6)])
 def test_finding_words_equals_brute_force(spark, seed, bits, monkeypatch):
-    monkeypatch.setattr(moderation, "FILTER_BITS", bits)
+    monkeypatch.setattr(wordsearch, "FILTER_BITS", bits)
+    monkeypatch.setattr(wordsearch, "PACK", 500)  # many packs
     texts, words = texts_and_words(seed)
     words += ["a", "坏"]  # one-letter words meet every spot of their letter
     df = spark.createDataFrame([*enumerate(texts), (99, None)], "id int, msg string")
     want = [(i, f) for i, t in enumerate(texts) if (f := brute(t, words))]
-    for find in (moderation.find_words, moderation.find_words_joined):
-        got = find(df, "id", "msg", words_frame(spark, [*words, words[0], "", None]))
-        assert [(r.id, r.found) for r in got.orderBy("id").collect()] == want
+    df = df.unionAll(df.filter("id = 3"))  # a row that comes twice is found twice
+    want += [w for w in want if w[0] == 3]
+    got = wordsearch.find_words(df, "id", "msg", words_frame(spark, [*words, words[0], "", None]))
+    assert [(r.id, r.found) for r in got.orderBy("id").collect()] == sorted(want)
     assert want
 
 
+def test_filter_errors_are_tried_shorter(monkeypatch):
+    # With a filter of two slots nearly every n-gram passes, and only the words count.
+    monkeypatch.setattr(wordsearch, "_PACK_BITS", 1)
+    texts, words = texts_and_words(5)
+    assert wordsearch.finds(texts, set(words)) == [brute(t, words) for t in texts]
+
+
+def test_folding_keeps_places_and_spelling(spark):
+    texts = ["ＢＡＤ word", "a bAd　Word!", "bad\u3000word", "İbad", None, ""]
+    df = spark.createDataFrame([*enumerate(texts)], "id int, msg string")
+    words = words_frame(spark, ["Bad", "ｗord", "bad word"])
+    got = {r.id: r.found for r in wordsearch.find_words(df, "id", "msg", words, fold=True).collect()}
+    assert got == {0: ["ＢＡＤ word"], 1: ["bAd　Word"], 2: ["bad\u3000word"], 3: ["bad"]}
+    plain = {r.id: r.found for r in wordsearch.find_words(df, "id", "msg", words).collect()}
+    assert plain == {}
+
+
 def test_large_dictionary_finds_the_same(spark):
     # More words than were ever shipped as a list; a few of them occur.
     many = spark.range(250_000).select(F.concat(F.lit("word"), F.col("id").cast("string")).alias("word"))
     df = spark.createDataFrame([(1, "xword7word249999 word"), (2, "none"), (3, "word12word123")], "id int, msg string")
-    got = {r.id: r.found for r in moderation.find_words(df, "id", "msg", many).collect()}
+    got = {r.id: r.found for r in wordsearch.find_words(df, "id", "msg", many).collect()}
     assert got == {1: ["word7", "word249999"], 3: ["word12", "word123"]}
 
 
 def test_search_without_words(spark):
     df = spark.createDataFrame([(1, "x")], "id int, msg string")
-    assert moderation.find_words(df, "id", "msg", words_frame(spark, [""])).collect() == []
+    assert wordsearch.find_words(df, "id", "msg", words_frame(spark, [""])).collect() == []
 
 
 def test_words_with_pattern_signs(spark):
     words = ["a.b", "(x", "\\E", "$1|"]
     df = spark.createDataFrame([(1, "aab a.b (x \\E $1| $1")], "id int, msg string")
-    assert moderation.find_words(df, "id", "msg", words_frame(spark, words)).first().found == ["a.b", "(x", "\\E", "$1|"]
+    assert wordsearch.find_words(df, "id", "msg", words_frame(spark, words)).first().found == ["a.b", "(x", "\\E", "$1|"]
 
 
 def test_membership(spark):
