@@ -371,6 +371,13 @@ ORACLES = {
         for c in ("os", "ch", "md", "ba", "search_item")
     )
     + " FROM views GROUP BY uid",
+    "user_activity_bounded": f"""WITH {VIEWS} SELECT uid, """
+    + ", ".join(
+        f"""coalesce(array_to_string(list_sort(list(DISTINCT {c}) FILTER ({c} IS NOT NULL))[1:2], ','), '') AS {c},
+            CAST(count(DISTINCT {c}) > 2 AS BIGINT) AS {c}_more, count(DISTINCT {c}) AS {c}_distinct"""
+        for c in ("os", "ch", "md", "ba", "search_item")
+    )
+    + " FROM views GROUP BY uid",
     "tumbling_last": """SELECT user_id, (epoch_us(ts) // 1000) AS ts, event_id, event_type,
             (epoch_us(ts) // 1000) - (epoch_us(ts) // 1000) % 120000 AS window_start
         FROM events QUALIFY row_number() OVER (PARTITION BY user_id, (epoch_us(ts) // 1000) // 120000
@@ -491,6 +498,8 @@ ORACLES = {
     + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in PORTRAIT_COLUMNS)
     + ") AS value FROM portrait",
 }
+ORACLES["text_generation_bounded"] = """SELECT conv_id, turn, length(p) || ' chars: ' || p AS answer
+    FROM (SELECT *, role || ': ' || substr(text, 1, 12) AS p FROM conversations)"""
 ORACLES["find_words_joined"] = ORACLES["find_all_words"]
 ORACLES["find_words_folded"] = f"""WITH listed AS (
         SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z]+'))) AS word FROM benchmark)

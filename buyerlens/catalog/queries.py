@@ -195,6 +195,11 @@ def user_activity_sets(spark, sf):
     return activity.user_activity(_views(spark, sf))
 
 
+@query
+def user_activity_bounded(spark, sf):
+    return activity.activity_bounded(_views(spark, sf), limit=2).drop("pv", "ts")
+
+
 @query
 def tumbling_last(spark, sf):
     ev = t.table(spark, sf, "events").select(
@@ -504,6 +509,14 @@ def text_generation_udf(spark, sf):
     )
 
 
+@query
+def text_generation_bounded(spark, sf):
+    turns = t.table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    opening = F.concat("role", F.lit(": "), F.substring("text", 1, 12))
+    answered = enrich.enrich_bounded(turns, "answer", lambda p: f"{len(p)} chars: {p}", opening, in_flight=4, tasks=8)
+    return answered.select("conv_id", "turn", "answer")
+
+
 @query
 def comment_facts(spark, sf):
     tables, _ = cdc.parse_cdc(

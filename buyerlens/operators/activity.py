@@ -40,6 +40,68 @@ def user_activity(
     return joined.select(key, "pv", time_col, *[F.coalesce(c, F.lit("")).alias(c) for c in set_cols])
 
 
+LG_K = 12  # sketches of 4,096 registers: estimates within 1.6 % or so
+
+
+def activity_bounded(
+    df: DataFrame, key: str = "uid", set_cols: list[str] | None = None, time_col: str = "ts", limit: int = 1000
+) -> DataFrame:
+    """:func:`user_activity` whose rows have a bound: per column at most ``limit`` values (static input).
+
+    Gives pv, the last time and for each column its values (sorted comma text, the first ``limit`` in order),
+    ``{c}_more`` (whether there are others) and ``{c}_distinct`` (the exact number, or the estimate of a mergeable
+    sketch if there are others). Each task before a shuffle hands on at most ``limit`` + 1 values per user and column,
+    so a hot user costs that much per task and no more. Null values are none; empty texts are values.
+    """
+    set_cols = SET_COLS if set_cols is None else set_cols
+    counts = activity_sketches(df, key, set_cols, time_col)
+    # The first of the distinct values in order: Spark applies the rank limit in each task before the shuffle, too.
+    by_value = W.partitionBy(key, "dim").orderBy("label")
+    distinct = _long(df, [key], set_cols).distinct()
+    first = distinct.withColumn("__rank", F.row_number().over(by_value)).filter(F.col("__rank") <= limit + 1)
+    values = lambda c, last: F.when((F.col("dim") == c) & (F.col("__rank") <= last), F.col("label"))
+    sets = first.groupBy(key).agg(
+        *[F.array_join(F.sort_array(F.collect_set(values(c, limit))), ",").alias(c) for c in set_cols],
+        *[F.count(values(c, limit + 1)).alias(f"{c}_first") for c in set_cols],
+    )
+    joined = counts.join(sets.withColumnRenamed(key, "__of"), F.col(key).eqNullSafe(F.col("__of")), "left")
+    more = {c: F.coalesce(F.col(f"{c}_first") > limit, F.lit(False)) for c in set_cols}
+    return joined.select(
+        key,
+        "pv",
+        time_col,
+        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in set_cols],
+        *[more[c].alias(f"{c}_more") for c in set_cols],
+        *[
+            F.when(more[c], F.greatest(F.hll_sketch_estimate(f"{c}_sketch"), F.lit(limit + 1).cast("long")))
+            .otherwise(F.coalesce(f"{c}_first", F.lit(0)))
+            .alias(f"{c}_distinct")
+            for c in set_cols
+        ],
+    )
+
+
+def activity_sketches(df: DataFrame, key: str = "uid", set_cols: list[str] | None = None, time_col: str = "ts") -> DataFrame:
+    """Per user pv, last time and a sketch of each column's values, to be stored and merged (streams too)."""
+    set_cols = SET_COLS if set_cols is None else set_cols
+    return df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("pv"),
+        F.max(time_col).alias(time_col),
+        *[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(LG_K)).alias(f"{c}_sketch") for c in set_cols],
+    )
+
+
+def merge_sketches(parts: DataFrame, key: str = "uid", set_cols: list[str] | None = None, time_col: str = "ts") -> DataFrame:
+    """Rows of :func:`activity_sketches` of several days as one row per user, with estimates of the numbers of values."""
+    set_cols = SET_COLS if set_cols is None else set_cols
+    merged = parts.groupBy(key).agg(
+        F.sum("pv").alias("pv"),
+        F.max(time_col).alias(time_col),
+        *[F.hll_union_agg(f"{c}_sketch").alias(f"{c}_sketch") for c in set_cols],
+    )
+    return merged.select("*", *[F.hll_sketch_estimate(f"{c}_sketch").alias(f"{c}_distinct") for c in set_cols])
+
+
 def _long(df: DataFrame, ids: list[str], cols: list[str]) -> DataFrame:
     """One row per non-null value of ``cols``: ids, dim, label."""
     return df.unpivot(
