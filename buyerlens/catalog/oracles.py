@@ -498,6 +498,11 @@ ORACLES = {
     + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in PORTRAIT_COLUMNS)
     + ") AS value FROM portrait",
 }
+ORACLES["cdc_flatten_once"] = ORACLES["cdc_flatten"]
+# Events name no table, so every text of them that is not null is a reject.
+ORACLES["cdc_rejects_once"] = """SELECT value, count(*) AS n
+    FROM (SELECT CASE WHEN event_id % 7 = 0 THEN '#' || props WHEN event_id % 10 <> 0 THEN props END AS value FROM events)
+    WHERE value IS NOT NULL GROUP BY value"""
 ORACLES["text_generation_bounded"] = """SELECT conv_id, turn, length(p) || ' chars: ' || p AS answer
     FROM (SELECT *, role || ': ' || substr(text, 1, 12) AS p FROM conversations)"""
 ORACLES["find_words_joined"] = ORACLES["find_all_words"]

@@ -72,6 +72,26 @@ def cdc_flatten(spark, sf):
     )
 
 
+@query
+def cdc_flatten_once(spark, sf):
+    topic = t.order_records(spark, sf).unionAll(t.comment_records(spark, sf))
+    wanted = {"order_info": schemas.ORDER_INFO, "comment_info": schemas.COMMENT_INFO}
+    tables, _ = cdc.parse_cdc_once(topic, wanted)
+    return cdc.flatten_image(tables["order_info"]).select(
+        "id", "user_id", "consignee", "order_status", "total_amount", "create_time", "ts_ms"
+    )
+
+
+@query
+def cdc_rejects_once(spark, sf):
+    ev = t.table(spark, sf, "events")
+    broken = F.when(F.col("event_id") % 10 != 0, F.col("props"))
+    broken = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("#"), F.col("props"))).otherwise(broken)
+    topic = ev.select(broken.alias("value")).unionAll(t.order_records(spark, sf).select("value"))
+    _, bad = cdc.parse_cdc_once(topic, {"order_info": schemas.ORDER_INFO})
+    return bad.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def cdc_image_fallback(spark, sf):
     o = t.table(spark, sf, "orders")

@@ -6,9 +6,11 @@ from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from buyerlens import schemas
 from buyerlens.functions import bands, calendar
+from buyerlens.session import settle
 
 NO_OP = "no op"  # default operation name where a record carries none
 
@@ -71,6 +73,38 @@ def parse_cdc(
     return out, parsed.filter(rejects).select("value")
 
 
+def parse_cdc_once(
+    df: DataFrame, tables: dict[str, str] | None = None, value_col: str = "value"
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """:func:`parse_cdc` from one scan and one JSON parse of the topic, for static input that no consumer has landed.
+
+    Records are parsed to a variant, and those of the wanted tables and the rejects are written to the shared folder,
+    one partition a table; each typed frame reads its own. Rejects are texts that are no JSON or name no table.
+    A field of the wrong type is null, but text that spells a value of the field's type counts as that value.
+    """
+    tables = schemas.CDC_TABLES if tables is None else tables
+    parsed = df.filter(F.col(value_col).isNotNull()).select(
+        F.col(value_col).alias("value"), *_arrival(df), F.inline(F.array(F.struct(F.try_parse_json(value_col).alias("record"))))
+    )
+    name = F.try_variant_get("record", "$.source.table", "string")
+    rows = parsed.withColumn("table", F.nullif(name, F.lit("")))
+    rejected = F.col("table").isNull()
+    rows = rows.filter(rejected | F.col("table").isin(*tables))
+    # A record that was parsed needs no text, and a reject nothing else.
+    text = F.when(rejected, F.col("value"))
+    landed = settle(rows.select(text.alias("value"), *_arrival(df), "record", "table"), "table")
+    out = {}
+    for table, image in tables.items():
+        typed = F.try_variant_get("record", "$", f"struct<{_typed(schemas.envelope(image))}>")
+        out[table] = route(landed, table, "table").select(*_arrival(df), F.inline(F.array(typed)))
+    return out, landed.filter(rejected).select("value")
+
+
+def _typed(fields: str) -> str:
+    """A DDL list of fields as it stands inside a struct type."""
+    return StructType.fromDDL(fields).simpleString().removeprefix("struct<").removesuffix(">")
+
+
 def flatten_image(df: DataFrame, fallback_before: bool = False) -> DataFrame:
     """Fields of the after-image beside ``ts_ms``.
 

@@ -34,14 +34,15 @@ def use_rocksdb(spark: SparkSession) -> None:
     )
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, *partitions: str) -> DataFrame:
     """Write a costly static intermediate once to the shared folder and read it back.
 
     For results that several branches of a plan use: later branches read only their columns, and a
-    lost executor costs a re-read, not the whole lineage. Runs a job. Streams pass through.
+    lost executor costs a re-read, not the whole lineage. Runs a job. Streams pass through. With ``partitions``
+    the table has a folder for each of their values.
     """
     if df.isStreaming:
         return df
     path = f"{shared_dir(df.sparkSession)}/settled/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

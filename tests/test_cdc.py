@@ -69,3 +69,27 @@ def test_page_log_without_item_type(spark):
     log, _ = cdc.parse_records(shop.texts(spark, [line]), schemas.PAGE_LOG)
     row = cdc.project_page_log(log).first()
     assert (row.uid, row.ts, row.os, row.search_item) == ("7", 4, "iOS", None)
+
+
+def test_one_parse_equals_a_parse_per_table(spark):
+    texts = [
+        '{"before":null,"after":{"id":1,"user_id":7,"total_amount":12.5,"consignee":"坏 \\u0041"},"source":{"table":"order_info"},"op":"c","ts_ms":5}',
+        '{"after":{"id":"x","user_id":8},"source":{"table":"order_info"},"op":"u","ts_ms":6}',
+        '{"before":{"id":3},"after":null,"source":{"table":"order_info"},"op":"d","ts_ms":7,"other":[1,{"a":2}]}',
+        '{"after":{"id":4},"source":{"table":"comment_info"},"op":"c","ts_ms":8}',
+        '{"after":{"id":4},"source":{"table":"unwanted"},"op":"c","ts_ms":8}',
+        '{"after":{"id":4},"source":{},"op":"c"}', "[1]", "5", "{broken", "", None,
+    ]
+    topic = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "value string, arrival long")
+    wanted = {"order_info": schemas.ORDER_INFO, "comment_info": schemas.COMMENT_INFO}
+    once, bad = cdc.parse_cdc_once(topic, wanted)
+    each, _ = cdc.parse_cdc(topic, wanted)
+    for name in wanted:
+        assert set(once[name].columns) == set(each[name].columns)
+        cols = sorted(each[name].columns)
+        assert once[name].schema["after"].dataType == each[name].schema["after"].dataType
+        got, want = ([r.asDict(True) for r in d.select(cols).orderBy("arrival").collect()] for d in (once[name], each[name]))
+        assert got == want
+    assert rows(bad) == sorted([(t,) for t in texts[5:10]])
+    assert once["order_info"].count() == 3
+    assert cdc.parse_cdc_once(topic.limit(0), wanted)[1].count() == 0
