@@ -7,13 +7,16 @@ document labels only, by the gradient of the documents' log loss, and then tell
 Features of a word are the word in lower case and its first three to six letters. Sentences end at a line
 end or at a word that ends with a full stop, question or exclamation mark.
 
-The model is fitted on a bounded sample of labelled rows, ``SAMPLE`` of each label by hash of the id,
-weighted back to the labels' true numbers. Its features are the ``VOCABULARY`` that separate the sample's
+The model is fitted on a bounded sample of whole labelled documents, ``SAMPLE`` rows and ``SAMPLE_BYTES`` bytes of
+text of each label at most, by hash of the id and the text, weighted back to the labels' true numbers. So what the
+driver gathers to train is bounded in bytes, too. Its features are the ``VOCABULARY`` that separate the sample's
 labels best. Scoring covers every document and every sentence.
 
-Null and empty texts are one empty sentence. A document labelled more than once counts by its greatest
-label; null labels are left out. If the sample lacks a label, every score is one half of the way there:
-0 if nothing is toxic, 0.5 if nothing is known, and 1 if everything is.
+Null and empty texts are one empty sentence. Very long texts are scored whole; a labelled one beyond
+``SAMPLE_BYTES`` is not learned from. Rows of ``docs`` that repeat an id and a text are learned from once, and
+scored each. A document labelled more than once counts by its greatest label; null labels are left out. Other
+columns are not read, whatever their names. If the sample lacks a label, every score is one half of the way
+there: 0 if nothing is toxic, 0.5 if nothing is known, and 1 if everything is.
 """
 
 from __future__ import annotations
@@ -31,6 +34,9 @@ from pyspark.sql.functions import arrow_udf
 from buyerlens.llm.common import _arrow_schema, per_batch, text_or_empty, written
 
 SAMPLE = 10_000  # labelled rows of each label
+SAMPLE_BYTES = 24 << 20  # bytes of their texts of each label
+PARTS = 4096  # parts by hash, of which as many are taken as fit
+CHUNK = 1 << 20  # features that a step of the training handles together
 VOCABULARY = 4096
 STEPS = 300
 PENALTY = 1e-5
@@ -170,38 +176,58 @@ def _bags(sample: DataFrame, vocabulary: list[str]) -> pa.Table:
     return sample.select("text", "y", "w").mapInArrow(run, schema).toArrow()
 
 
-def train(bags: pa.Table, n: int, steps: int = STEPS, penalty: float = PENALTY) -> tuple[float, np.ndarray]:
-    """Bias and feature weights by Adam on the weighted log loss of noisy-or documents."""
+@dataclass
+class _Chunk:
+    """Some documents, their sentences that hold features, and these features."""
+
+    y: np.ndarray
+    w: np.ndarray
+    ids: np.ndarray
+    sizes: np.ndarray  # features of each sentence
+    home: np.ndarray  # document of each sentence
+    empty: np.ndarray  # sentences of each document without features; they are all alike
+
+
+def _chunks(bags: pa.Table) -> list[_Chunk]:
     bags = bags.combine_chunks()
-    y = bags["y"].to_numpy().astype(float)
-    w = bags["w"].to_numpy()
-    w = w / w.sum()
-    sizes = bags["sizes"].combine_chunks()
-    per_doc = np.diff(sizes.offsets.to_numpy())
-    per_sentence = sizes.flatten().to_numpy().astype(np.int64)
-    ids = bags["ids"].combine_chunks().flatten().to_numpy().astype(np.int64)
-    doc = np.repeat(np.arange(len(y)), per_doc)
-    # Sentences without features are all alike: they are counted per document.
-    full = np.flatnonzero(per_sentence)
-    empty = per_doc - np.bincount(doc[full], minlength=len(y))
-    owner = np.repeat(np.arange(len(full)), per_sentence[full])
-    home = doc[full]
+    y, w = bags["y"].to_numpy().astype(float), bags["w"].to_numpy()
+    sizes, ids = bags["sizes"].combine_chunks(), bags["ids"].combine_chunks()
+    sentences, features_to = sizes.offsets.to_numpy(), ids.offsets.to_numpy()
+    per_sentence, flat = sizes.flatten().to_numpy(), ids.flatten().to_numpy()
+    base, first = sentences[0], features_to[0]
+    out, a = [], 0
+    while a < len(y):
+        b = max(a + 1, int(np.searchsorted(features_to, features_to[a] + CHUNK, "right")) - 1)
+        own = per_sentence[sentences[a] - base : sentences[b] - base]
+        doc = np.repeat(np.arange(b - a), np.diff(sentences[a : b + 1]))
+        full = np.flatnonzero(own)
+        empty = np.diff(sentences[a : b + 1]) - np.bincount(doc[full], minlength=b - a)
+        out.append(_Chunk(y[a:b], w[a:b] / w.sum(), flat[features_to[a] - first : features_to[b] - first], own[full], doc[full], empty))
+        a = b
+    return out
+
+
+def train(bags: pa.Table, n: int, steps: int = STEPS, penalty: float = PENALTY) -> tuple[float, np.ndarray]:
+    """Bias and feature weights by Adam on the weighted log loss of noisy-or documents, chunk by chunk."""
+    chunks = _chunks(bags)
     theta = np.zeros(n + 1)
     theta[-1] = -5.0
     m, v = np.zeros(n + 1), np.zeros(n + 1)
     for step in range(1, steps + 1):
-        logit = theta[-1] + np.bincount(owner, theta[ids], minlength=len(full))
-        p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        p0 = 1 / (1 + np.exp(-theta[-1]))
-        quiet = np.bincount(home, np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(y)) + empty * np.log1p(-p0)
-        none = np.exp(quiet)  # probability that no sentence offends
-        # d loss / d quiet: for toxic documents w * none / (1 - none), for others -w.
-        slope = np.where(y > 0, w * none / np.maximum(1 - none, 1e-9), -w)
-        # d quiet / d logit = -p
-        pull = -slope[home] * p
         grad = np.zeros(n + 1)
-        grad[:n] = np.bincount(ids, pull[owner], minlength=n)
-        grad[n] = pull.sum() - (slope * empty).sum() * p0
+        p0 = 1 / (1 + np.exp(-theta[-1]))
+        for c in chunks:
+            owner = np.repeat(np.arange(len(c.sizes)), c.sizes)
+            logit = theta[-1] + np.bincount(owner, theta[c.ids], minlength=len(c.sizes))
+            p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+            quiet = np.bincount(c.home, np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(c.y)) + c.empty * np.log1p(-p0)
+            none = np.exp(quiet)  # probability that no sentence offends
+            # d loss / d quiet: for toxic documents w * none / (1 - none), for others -w.
+            slope = np.where(c.y > 0, c.w * none / np.maximum(1 - none, 1e-9), -c.w)
+            # d quiet / d logit = -p
+            pull = -slope[c.home] * p
+            grad[:n] += np.bincount(c.ids, pull[owner], minlength=n)
+            grad[n] += pull.sum() - (slope * c.empty).sum() * p0
         grad[:n] += penalty * theta[:n]
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
@@ -209,12 +235,31 @@ def train(bags: pa.Table, n: int, steps: int = STEPS, penalty: float = PENALTY)
     return float(theta[-1]), theta[:n]
 
 
+def _within(sample: DataFrame, size: int) -> DataFrame:
+    """Whole documents of ``sample`` (text, y, w) of at most ``size`` bytes of each label; ``w`` makes up for the rest."""
+    part = F.pmod(F.xxhash64(F.lit("part"), "doc_id", "text"), F.lit(PARTS)).cast("int")
+    parted = sample.withColumn("part", part)
+    sizes = parted.groupBy("y", "part").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b"))
+    taken, used, rows, left = [], Counter(), Counter(), Counter()
+    for r in sizes.orderBy("y", "part").collect():  # two labels of PARTS rows
+        rows[r["y"]] += r["n"]
+        if used[r["y"]] + r["b"] <= size:
+            used[r["y"]] += r["b"]
+            left[r["y"]] += r["n"]
+            taken.append((r["y"], r["part"]))
+    if rows == left:
+        return sample.select("text", "y", "w")
+    kept = sample.sparkSession.createDataFrame([(y, p, rows[y] / left[y]) for y, p in taken], "y int, part int, more double")
+    return parted.join(F.broadcast(kept), ["y", "part"]).select("text", "y", (F.col("w") * F.col("more")).alias("w"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text") -> Model:
     """Model from a bounded sample of ``labels`` and the texts of ``docs`` they belong to."""
     chosen = written(sample_labels(labels, label, doc_id), "sample-labels")
     # Bounded by SAMPLE rows of each label, so it is sent to the texts.
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_or_empty(text).alias("text"))
-    sample = written(rows.join(F.broadcast(chosen), "doc_id").select("text", "y", "w"), "sample")
+    sample = written(rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y", "w").distinct(), "sample")
+    sample = _within(sample, SAMPLE_BYTES)
     have = {r["y"] for r in sample.select("y").distinct().collect()}
     if have != {0, 1}:
         return Model(0.0, {}, flat=0.5 if not have else float(have == {1}))
