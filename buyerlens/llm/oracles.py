@@ -65,17 +65,28 @@ found AS ({" UNION ALL ".join([
     _kind(2, "ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "", "0.8", "address|host|server|login"),
     _kind(3, "card", r"[0-9](?:[\x20-]?[0-9])+", "", "0.8", "card|credit|visa|payment|debit"),
     _kind(4, "phone", r"\+[0-9][\x20().0-9-]+[0-9]", "", "0.7", "phone|call|tel|mobile|fax"),
-    _kind(5, "iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?", "[A-Za-z0-9]", "0.7",
-          "iban|account|bank|konto|compte|cuenta"),
     _kind(6, "national", r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}", "[0-9+.-]", "0.3", "phone|call|tel|mobile|fax"),
     _kind(7, "ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "[0-9-]", "0.3", "ssn|social"),
 ])}),
+zones AS ({_kind(5, "iban", r"[A-Z0-9]+(?:\x20[A-Z0-9]+)*", "[A-Za-z0-9]", "0.7", "iban|account|bank|konto|compte|cuenta")}),
+starts AS (
+  SELECT * REPLACE (CAST(s + i - 1 + coalesce(list_sum(list_transform(ws[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s),
+    string_split(regexp_extract(array_to_string(ws[i:], ' '),
+      '^[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?'), ' ') AS gs
+  FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM (SELECT *, string_split(m, ' ') AS ws FROM zones))
+  WHERE regexp_matches(ws[i], '^[A-Z]{{2}}[0-9]{{2}}')
+),
+accounts AS (
+  SELECT doc_id, k, kind, m, s, s + length(m) AS e, t, base, near, edge
+  FROM (SELECT * REPLACE (array_to_string(gs[1:j], ' ') AS m)
+        FROM (SELECT *, unnest(range(1, len(gs) + 1)) AS j FROM starts))
+),
 read AS (
   SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS n, replace(m, ' ', '') AS p,
     translate(substr(t, greatest(s - 40, 0) + 1, s - greatest(s - 40, 0)) || ' ' || substr(t, e + 1, 40),
               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS around,
     CASE WHEN s > 0 THEN substr(t, s, 1) ELSE '' END AS b, substr(t, e + 1, 1) AS a
-  FROM found
+  FROM (SELECT * FROM found UNION ALL SELECT * FROM accounts)
 ),
 sure AS (
   SELECT doc_id, k, kind, s, e FROM read WHERE CASE kind
@@ -91,12 +102,17 @@ sure AS (
     AND round(base + CASE WHEN regexp_matches(around, near) THEN 0.4 ELSE 0 END
       - CASE WHEN regexp_matches(around, 'order|version|invoice|isbn|serial|part no') THEN 0.4 ELSE 0 END, 2) >= 0.5))
 ),
+apart AS (
+  SELECT doc_id, 5 AS k, 'iban' AS kind, x.s AS s, x.e AS e
+  FROM (SELECT doc_id, unnest(list_reduce(l, lambda a, b: CASE WHEN b[1].s >= a[len(a)].e THEN list_concat(a, b) ELSE a END)) AS x
+        FROM (SELECT doc_id, list([{{'s': s, 'e': e}}] ORDER BY s, e DESC) AS l FROM sure WHERE k = 5 GROUP BY doc_id))
+),
 per AS (
   SELECT doc_id, count(*) FILTER (k = 1) AS n_email, count(*) FILTER (k = 2) AS n_ip, count(*) FILTER (k = 3) AS n_card,
     count(*) FILTER (k = 4) AS n_phone,
     string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) FILTER (k <= 4) AS base,
     string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) AS spans
-  FROM sure GROUP BY doc_id
+  FROM (SELECT doc_id, k, kind, s, e FROM sure WHERE k <> 5 UNION ALL SELECT * FROM apart) GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
   coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans

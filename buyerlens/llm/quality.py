@@ -6,8 +6,10 @@ kernel. Every task sums the normal equations of its labelled rows and the sums a
 what is gathered has the size of the model. The ridge scores of each half of the rows, fitted on the other
 half, are made probabilities by isotonic regression over fine bins.
 
-Statistics depend on the text only. Null and empty texts have all-zero statistics and a score like any
-other. Labels that are null are left out; a document labelled more than once counts by its mean label.
+Statistics depend on the text only, and on the whole of it, however long. Null and empty texts have all-zero
+statistics and a score like any other. Rows of ``docs`` that repeat an id are scored each, and each is learned
+from. Other columns are not read, whatever their names (``keep_good`` hands them on). Labels that are null are
+left out; a document labelled more than once counts by its mean label. Empty tables give empty results.
 Without labels, or without both classes, every score is the mean label (one half if there is none).
 """
 
