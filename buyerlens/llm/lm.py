@@ -26,7 +26,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.functions import arrow_udf
 
 from buyerlens.llm.common import text_or_empty, written
 from buyerlens.llm.number_table import Table
@@ -276,15 +275,19 @@ def score_documents(
         names = ["n_tokens", "known", "logs", "pieces", "counts", "score", "keys", "times"]
         return pa.StructArray.from_arrays([*arrays, pa.array(score), lists(gone), lists(times)], names=names)
 
-    @arrow_udf(
-        "n_tokens long, known long, logs double, pieces array<string>, counts array<long>, score double, "
-        "keys array<long>, times array<long>"
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):  # scores of so many texts are held at a time
+                part = batch.slice(at, TEXTS)
+                s = score_texts([t.encode().lower() for t in part.column(3).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], s], names=["doc_id", "train", "row", "s"])
+
+    numbered = rows.select("doc_id", "train", F.monotonically_increasing_id().alias("row"), "text")
+    marked = numbered.mapInArrow(
+        scored,
+        f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, train boolean, row long, s struct<n_tokens: long, known: long, "
+        "logs: double, pieces: array<string>, counts: array<long>, score: double, keys: array<long>, times: array<long>>",
     )
-    def scored(texts: pa.Array) -> pa.Array:
-        parts = (texts.slice(i, TEXTS).to_pylist() for i in range(0, len(texts), TEXTS))
-        return pa.concat_arrays([score_texts([t.encode().lower() for t in part]) for part in parts])
-
-    marked = rows.select("doc_id", "train", F.monotonically_increasing_id().alias("row"), scored("text").alias("s"))
     marked = written(marked, "lm-scored")
     rare = marked.select("row", F.explode(F.arrays_zip("s.pieces", "s.counts")).alias("x"))
     rare = rare.select("row", F.col("x.pieces").alias("piece"), F.col("x.counts").alias("k"))
