@@ -35,8 +35,8 @@ GRAMS = 1 << 19
 PIECES = 1 << 18
 PIECE_BYTES = 64  # longer words are not shipped
 TEXTS = 1024  # texts worked on at a time
-BYTES = 1 << 20  # bytes whose grams are worked on at a time
-HELD = 1 << 20  # distinct grams a task sums before it gives them on
+BYTES = 1 << 19  # bytes whose grams are worked on at a time
+HELD = 1 << 18  # distinct grams a task sums before it gives them on
 _PAD = b"\xff" * ORDER
 
 
