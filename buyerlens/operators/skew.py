@@ -8,43 +8,77 @@ the data is still shuffled once.
 
 A heavy key is cut at quantiles of its first order column, nulls first. A value that is a quantile is
 a range of its own, so a burst of rows with one time does not widen its neighbours; if the burst alone
-is heavy, it is cut again at quantiles of the second order column.
+is heavy, it is cut again at quantiles of the second order column. Texts are cut by the seven bytes after
+what all texts of the key begin with.
 
 Finding the heavy keys is one count per key, run when the operator is built; nothing else is read if
-there are none, which is usual, and the plan stays a plain window. ``heavy_rows=None`` skips the search.
+there are none, which is usual, and the plan stays a plain window. Heavy keys and their cuts are tables in
+the shared folder, however many there are. ``heavy_rows=None`` skips the search.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from buyerlens.session import settle
+
 PART = "__part"
 CARRY = "__carry"
 
-# A key is cut if it has more rows than this; at most MAX_HEAVY_KEYS are, the heaviest first. Below
-# 10^11 rows no more than that many keys can qualify.
+# A key is cut if it has more rows than this.
 HEAVY_ROWS = 2_000_000
-MAX_HEAVY_KEYS = 65_536
+# Up to so many heavy keys are sent to all tasks; more are joined, the largest of them split by adaptive execution.
+SENT_KEYS = 65_536
 CUTS = 64
 _NUMBERS = ("bigint", "int", "smallint", "tinyint", "double", "float")
 
 
+def _number(name: str, kind: str) -> Column | None:
+    """A number in the order of the column's values (after ``__skip`` bytes of texts); None for other types."""
+    value = F.col(name)
+    if kind in _NUMBERS:
+        return value
+    if kind in ("string", "binary"):
+        head = F.substring(value.cast("binary"), F.col("__skip") + 1, F.lit(7))
+        return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("bigint")
+    if kind.startswith("decimal"):
+        return value.cast("double")
+    if kind == "boolean":
+        return value.cast("int")
+    if kind == "date":
+        return F.unix_date(value)
+    return F.unix_micros(value) if kind == "timestamp" else None
+
+
+def _shared_bytes(low: Column, high: Column) -> Column:
+    """How many bytes the least and the greatest text, and so all between them, begin with alike."""
+    low, high = low.cast("binary"), high.cast("binary")
+    most = F.least(F.octet_length(low), F.octet_length(high))
+    places = F.when(most > 0, F.sequence(F.lit(1), most)).otherwise(F.array().cast("array<int>"))
+    alike = F.filter(places, lambda i: F.substring(low, F.lit(1), i) == F.substring(high, F.lit(1), i))
+    return F.coalesce(F.size(alike), F.lit(0))
+
+
 def heavy_cuts(df: DataFrame, keys: list[str], by: str, heavy_rows: int) -> DataFrame | None:
-    """Heavy keys (as __k0, __k1 ..) with the cut values of ``by`` as a local frame; None without any."""
+    """Heavy keys (as __k0, __k1 ..) with the cut numbers of ``by``; None without any."""
     names = [f"__k{i}" for i in range(len(keys))]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > heavy_rows)
-    heavy = counts.orderBy(F.desc("__n")).limit(MAX_HEAVY_KEYS).select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    found = heavy.collect()
+    heavy = settle(counts.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.lit(0).alias("__skip")))
+    found = heavy.count()
     if not found:
         return None
-    spark = df.sparkSession
-    heavy = spark.createDataFrame(found, heavy.schema)
-    rows = df.select(*keys, by).join(F.broadcast(heavy), _same(df, keys, heavy))
+    sent = (lambda frame: F.broadcast(frame)) if found <= SENT_KEYS else (lambda frame: frame)
+    kind = dict(df.dtypes)[by]
+    wanted = df.select(*keys, by)
+    if kind in ("string", "binary"):
+        rows = wanted.join(sent(heavy), _same(wanted, keys, heavy))
+        heavy = settle(rows.groupBy(*names).agg(_shared_bytes(F.min(by), F.max(by)).alias("__skip")))
+    rows = wanted.join(sent(heavy), _same(wanted, keys, heavy)).select(*names, "__skip", _number(by, kind).alias("__by"))
     shares = [i / CUTS for i in range(1, CUTS)]
-    cuts = F.array_sort(F.array_distinct(F.percentile_approx(by, shares, 10_000)))
-    cuts = F.coalesce(cuts, F.array().cast(f"array<{dict(df.dtypes)[by]}>"))
-    cuts = rows.groupBy(*names).agg(cuts.alias("__cuts"))
-    return spark.createDataFrame(cuts.collect(), cuts.schema)  # MAX_HEAVY_KEYS rows of CUTS values at most
+    cuts = F.array_sort(F.array_distinct(F.percentile_approx("__by", shares, 10_000)))
+    cuts = F.coalesce(cuts, F.array().cast(f"array<{dict(rows.dtypes)['__by']}>"))
+    cuts = settle(rows.groupBy(*names, "__skip").agg(cuts.alias("__cuts")))
+    return sent(cuts)
 
 
 def _same(df: DataFrame, keys: list[str], other: DataFrame) -> list[Column]:
@@ -63,22 +97,27 @@ def split_heavy_keys(
 ) -> tuple[DataFrame, bool]:
     """Add the range number: 0 for ordinary keys, 1.. in order for heavy ones.
 
-    Also tells whether any key was cut. The first order column must be numeric. Rows that agree in the
-    first two order columns share a range.
+    Also tells whether any key was cut. The first order column must be a number, text, time or flag; a second
+    one of another type cuts nothing. Rows that agree in the first two order columns share a range, and so
+    do texts that agree in the bytes looked at.
     """
+    kinds = dict(df.dtypes)
     cuts = None if heavy_rows is None else heavy_cuts(df, keys, order[0], heavy_rows)
     if cuts is None:
         return df.withColumn(PART, F.lit(0).cast("bigint")), False
-    joined = df.join(F.broadcast(cuts), _same(df, keys, cuts), "left")
-    parts = joined.select(*df.columns, (_place(F.col(order[0])) * (1 << 32)).alias(PART))
-    if len(order) > 1 and dict(df.dtypes)[order[1]] in _NUMBERS:
+    joined = df.join(cuts, _same(df, keys, cuts), "left")
+    place = _place(_number(order[0], kinds[order[0]]))
+    parts = joined.select(*df.columns, (place * (1 << 32)).alias(PART))
+    second = None if len(order) < 2 else _number(order[1], kinds[order[1]])
+    # A range holds one value of a number where it is a cut itself; texts that are cut alike may differ further on.
+    if second is not None and kinds[order[0]] in _NUMBERS:
         again = [*keys, PART]
         # Ranges of one value (odd places) may be cut by the next column.
         single = parts.filter(F.pmod(F.shiftright(PART, 32), F.lit(2)) == 1)
         bursts = heavy_cuts(single, again, order[1], heavy_rows)
         if bursts is not None:
-            joined = parts.join(F.broadcast(bursts), _same(parts, again, bursts), "left")
-            parts = joined.select(*df.columns, (F.col(PART) + _place(F.col(order[1]))).alias(PART))
+            joined = parts.join(bursts, _same(parts, again, bursts), "left")
+            parts = joined.select(*df.columns, (F.col(PART) + _place(second)).alias(PART))
     return parts, True
 
 

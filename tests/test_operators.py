@@ -141,6 +141,47 @@ def test_cut_and_uncut_agree_on_bursts(spark):
         assert rows(cut) == rows(whole) and whole.count() > 2
 
 
+def test_bursts_are_cut_by_texts(spark):
+    from buyerlens.operators import skew
+
+    plain = burst_data(spark)
+    name = F.format_string("Order#%09d", "seq")
+    for second in (name, name.cast("binary"), F.timestamp_millis("seq"), F.col("seq").cast("decimal(20,2)")):
+        df = plain.withColumn("no", second)
+        parts, cut = skew.split_heavy_keys(df, ["k"], ["ts", "no"], 100)
+        found = parts.filter("k = 1").groupBy(skew.PART).agg(F.count("*").alias("n")).collect()
+        assert cut and max(r.n for r in found) <= 60 and sum(r.n for r in found) == 1000
+        by_part, by_order = (
+            [r.seq for r in parts.filter("k = 1").orderBy(*o).collect()] for o in ([skew.PART, "ts", "no"], ["ts", "no"])
+        )
+        assert by_part == by_order
+        a, b = (labels.label_changes(df, "k", ["p", "q"], ["ts", "no"], ["seq"], h) for h in (100, 10**9))
+        assert rows(a) == rows(b) and b.count() > 2
+
+
+def test_texts_cut_by_their_first_difference(spark):
+    from buyerlens.operators import skew
+
+    texts = ["", "\u00e9", "z", None, "user-\u65e5"] + [f"user-{i:05d}" for i in range(300)]
+    df = spark.createDataFrame([(1, t, i) for i, t in enumerate(texts)] + [(None, f"user-{i:03d}", i) for i in range(200)], "k int, t string, i int")
+    parts, cut = skew.split_heavy_keys(df, ["k"], ["t"], 100)
+    assert cut and parts.filter(F.col(skew.PART) == 0).isEmpty() and parts.count() == len(texts) + 200
+    for key in ("k = 1", "k IS NULL"):
+        own = parts.filter(key)
+        assert [r.i for r in own.orderBy(skew.PART, "t").collect()] == [r.i for r in own.orderBy("t").collect()]
+    assert parts.filter("k IS NULL").groupBy(skew.PART).count().agg(F.max("count")).head()[0] <= 20
+
+
+def test_many_heavy_keys_are_joined(spark, monkeypatch):
+    from buyerlens.operators import skew
+
+    df = spark.range(2000).selectExpr("id % 10 AS k", "id AS seq")
+    sent, _ = skew.split_heavy_keys(df, ["k"], ["seq"], 100)
+    monkeypatch.setattr(skew, "SENT_KEYS", 3)
+    joined, cut = skew.split_heavy_keys(df, ["k"], ["seq"], 100)
+    assert cut and rows(joined) == rows(sent) and joined.filter(F.col(skew.PART) == 0).isEmpty()
+
+
 def test_label_profile_ties(spark):
     df = frame(spark, [(1, 1, 1, "b", "x"), (1, 2, 2, "a", "x"), (2, 3, 3, None, "y"), (2, 4, 4, None, "x")])
     assert rows(labels.label_profile(df, "k", ["p", "q"])) == [(1, "a", "x"), (2, None, "x")]
