@@ -5,7 +5,8 @@ one. Written out, every change on one side meets every row of the other side nea
 repeats itself: its rows are runs of equal values. So each change meets each *run* once, and two facts give
 all pairs' times: whether the run has a row up to ``gap`` before the change (then the change's own time is one), and
 that all rows of the run up to ``gap`` after it are. The latter are intervals, which are united per run and result
-before the run's rows are looked up in them, so the work is linear in the changes and in the rows.
+before the run's rows are looked up in them, so the work is linear in the changes and in the rows. Changes and runs
+meet by key and stretch of time, so a hot key is spread over its stretches.
 """
 
 from __future__ import annotations
@@ -56,20 +57,28 @@ def last_at(df: DataFrame, rows: DataFrame, key: str, ts: str, gap: int) -> Data
     return out.withColumn("seen", F.when(F.col("seen") >= F.col(ts) - gap, F.col("seen")))
 
 
+def history(rows: DataFrame, key: str, ts: str, cols: list[str]) -> DataFrame:
+    """The other side of :func:`paired_times`: rows with their runs, written once. Null keys and times are left out."""
+    rows = rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, ts, *cols)
+    return settle(with_runs(rows, key, ts, cols))  # read four times; what stands before is done once
+
+
 def paired_times(
     changes: DataFrame, rows: DataFrame, key: str, ts: str, cols: list[str], gap: int, result: Callable[[DataFrame], DataFrame], out: str
 ) -> DataFrame:
     """(key, out, ts), distinct: for each change and row of a key at most ``gap`` apart, what ``result`` makes of
     both and the later of their times.
 
-    ``result`` adds ``out`` to a frame that has the columns of ``changes`` and ``cols`` of a run; both sides hold
+    ``rows`` may come from :func:`history`, then they are not worked out again. ``result`` adds ``out`` to a frame that has the columns of ``changes`` and ``cols`` of a run; both sides hold
     the time in ``ts`` (epoch millis), their other names differ. Null keys and times pair with nothing.
     """
     changes = changes.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    rows = with_runs(rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, ts, *cols), key, ts, cols)
-    rows = settle(rows)  # read four times below; what stands before is done once
-    spans = runs(rows, key, ts, cols)
-    met = last_at(changes, rows, key, ts, gap).join(spans, key)
+    rows = rows if "run" in rows.columns else history(rows, key, ts, cols)
+    # A run stands in every stretch from which a change reaches it, a change in its own only: they meet once at most.
+    stretch = lambda c: F.floor(F.col(c) / F.lit(gap))
+    spans = runs(rows, key, ts, cols).withColumn("__at", F.explode(F.sequence(stretch("first") - 1, stretch("last") + 1)))
+    seen = last_at(changes, rows, key, ts, gap).withColumn("__at", stretch(ts))
+    met = seen.join(spans, [key, "__at"])
     met = met.filter((F.col("first") <= F.col(ts) + gap) & (F.col("last") >= F.col(ts) - gap))
     met = settle(result(met).select(key, ts, out, "run", "first", "last", "seen"))
     # A row of the run up to the change: the run's last, or the key's latest row if the run goes on.

@@ -21,14 +21,15 @@ from buyerlens.operators.joins import interval_join, prefixed
 from buyerlens.operators.labels import ORDER_DIMS, label_changes
 from buyerlens.operators.lookups import last_sku, lookup, search_category
 from buyerlens.operators.scoring import score, top_band, total_scores
-from buyerlens.operators.validity import paired_times
-from buyerlens.session import DEFAULT_TZ, settle
+from buyerlens.operators.validity import history, paired_times
+from buyerlens.session import DEFAULT_TZ, at_once, settle
 from buyerlens.sinks.writers import write_files
 from buyerlens.streaming.event_time import WATERMARK, timed
 from buyerlens.streaming.stateful import keep_if_newer_stream, label_changes_stream, running_activity_stream
 from buyerlens.streaming.windows import SALTS, activity_windows, last_of_interval
 
 SCORE_DIMS = ["time", "price", "category", "tm", "device", "search"]
+DEVICE_SUMS = [f"d_{b}" for b in BANDS]
 
 
 @dataclass
@@ -144,22 +145,30 @@ def shopper_age(
     """
     # Pairs carry one subtotal per band and side, not the scores of all dimensions.
     left = _subtotals(orders, "user_id", "o_", SCORE_DIMS[:4], fix_50_plus)
+    if not (orders.isStreaming or devices.isStreaming):
+        return _ages_by_runs(left, _device_history(devices, fix_50_plus))
     right = _subtotals(devices, "uid", "d_", SCORE_DIMS[4:], fix_50_plus)
-
-    def banded(pairs: DataFrame) -> DataFrame:
-        totals = [(F.col(f"`o_{b}`") + F.col(f"`d_{b}`")).cast(SCORE_TYPE).alias(b) for b in BANDS]
-        return top_band(pairs.select("*", *totals))
-
-    if not (left.isStreaming or right.isStreaming):
-        # Device scores change a few times per user, so order scores meet their runs, not all windows.
-        right = right.withColumnsRenamed({"uid": "user_id", "d_ts": "ts"})
-        cols = [f"d_{b}" for b in BANDS]
-        return paired_times(left.withColumnRenamed("o_ts", "ts"), right, "user_id", "ts", cols, DAY_MS, banded, "shop_age")
     left, right = timed(left, "o_ts", "order_ts", late), timed(right, "d_ts", "device_ts", late)
     joined = interval_join(
         left, right, [("user_id", "uid")], "order_ts", "device_ts", -DAY_MS, DAY_MS
     )
-    return banded(joined).select("user_id", "shop_age", F.greatest("o_ts", "d_ts").alias("ts"), "order_ts")
+    return _banded(joined).select("user_id", "shop_age", F.greatest("o_ts", "d_ts").alias("ts"), "order_ts")
+
+
+def _banded(pairs: DataFrame) -> DataFrame:
+    totals = [(F.col(f"`o_{b}`") + F.col(f"`d_{b}`")).cast(SCORE_TYPE).alias(b) for b in BANDS]
+    return top_band(pairs.select("*", *totals))
+
+
+def _device_history(devices: DataFrame, fix_50_plus: bool) -> DataFrame:
+    """Device and search subtotals with the runs in which they stay equal."""
+    rows = _subtotals(devices, "uid", "d_", SCORE_DIMS[4:], fix_50_plus)
+    return history(rows.withColumnsRenamed({"uid": "user_id", "d_ts": "ts"}), "user_id", "ts", DEVICE_SUMS)
+
+
+def _ages_by_runs(left: DataFrame, devices: DataFrame) -> DataFrame:
+    """Device scores change a few times per user, so order scores meet their runs, not all windows."""
+    return paired_times(left.withColumnRenamed("o_ts", "ts"), devices, "user_id", "ts", DEVICE_SUMS, DAY_MS, _banded, "shop_age")
 
 
 def _subtotals(df: DataFrame, key: str, prefix: str, dims: list[str], fix_50_plus: bool) -> DataFrame:
@@ -199,8 +208,13 @@ def portrait(
 ) -> DataFrame:
     """The whole portrait of static input; ``tables`` as given by ``parse_cdc``."""
     base = base_profile(tables["user_info"], tables["user_info_sup_msg"], as_of)
-    orders = order_scores(tables["order_info"], tables["order_detail"], dims, tz)
-    ages = shopper_age(orders, device_scores(views, dims), fix_50_plus)
+    # Both sides are written on the way; their jobs need not wait for each other.
+    orders, devices = at_once(
+        views.sparkSession,
+        lambda: order_scores(tables["order_info"], tables["order_detail"], dims, tz),
+        lambda: _device_history(device_scores(views, dims), fix_50_plus),
+    )
+    ages = _ages_by_runs(_subtotals(orders, "user_id", "o_", SCORE_DIMS[:4], fix_50_plus), devices)
     return merge_profile(ages, base)
 
 

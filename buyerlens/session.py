@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_TZ = "Asia/Shanghai"
@@ -46,3 +49,10 @@ def settle(df: DataFrame, *partitions: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/settled/{uuid.uuid4().hex}"
     df.write.partitionBy(*partitions).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def at_once(spark: SparkSession, *builds: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Results of functions that run jobs while they build, with their jobs side by side."""
+    with ThreadPoolExecutor(len(builds)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(b)) for b in builds]
+        return [r.result() for r in running]
