@@ -177,3 +177,23 @@ def test_generator(spark):
     assert {r.commentTxt for r in got.collect()} == {"<True>"}
     plain = enrich.enrich_text(df, "commentTxt")
     assert all("电商" in r.commentTxt for r in plain.collect())
+
+
+def test_texts_cross_the_network_twice(spark):
+    """Copies are dropped where packs are made, and the first check is not worked out again for the result."""
+    df = spark.createDataFrame([("a b",), ("a b",), ("x",), (None,)], "msg string")
+    plan = wordsearch.finds_by_digest(df, "msg", words_frame(spark, ["a"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [__id" not in plan and "FlatMapGroupsInArrow" not in plan
+    checked = moderation.second_check(comments.first_check(facts(spark), words_frame(spark, ["a"])), words_frame(spark, ["a"]))
+    assert "Window" not in checked._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("bits", [1, 20])
+def test_finds_as_arrow(monkeypatch, bits):
+    """Long words by their first signs, signs of several bytes, words and n-grams that share a slot."""
+    monkeypatch.setattr(wordsearch, "_PACK_BITS", bits)
+    words = {"a", "abcde", "abcdefgh", "abcdx", "ß", "差评差评差评", "𝔘a"}
+    texts = ["abcdefgabcdefgh", "", "abcd", "e差评差评差评差评ß𝔘a𝔘", "abcdxabcde"]
+    found, counts = wordsearch._found(texts, words, False)
+    assert found.to_pylist() == [w for t in texts for w in brute(t, words)]
+    assert counts.tolist() == [len(brute(t, words)) for t in texts]
