@@ -85,18 +85,18 @@ def label_changes(
     the leader so far. ``order`` gives the processing order; ``out_cols`` are kept beside the labels.
     """
     counted = [f"__w_{d}" for d in dims]
-    parts, cut = skew.split_heavy_keys(
-        df.select(*dict.fromkeys([key, *dims, *order, *out_cols])), [key], order, heavy_rows
-    )
+    df = df.select(*dict.fromkeys([key, *dims, *order, *out_cols]))
+    count, found = (None, 0) if heavy_rows is None else skew.total_rows(df, [key], heavy_rows)
+    parts, cut = skew.split_heavy_keys(df, [key], order, heavy_rows if found else None)
     rows = skew.with_carry(
         parts.select("*", *[F.lit(1).cast("bigint").alias(w) for w in counted]),
         _carry_counts(parts, key, dims) if cut else None,
     )
     out_cols = [c for c in out_cols if c not in (key, *dims)]
-    # One shuffle by (key, range) serves every window below. Numbering the rows first settles ties
-    # the same way for all of them.
+    # One shuffle by (key, range), or by the key where nothing was cut, serves every window below. Numbering the rows first settles ties
+    # the same way for all of them. Each keeps a task's rows sorted, so tasks are as many as the rows ask for.
     in_order = W.partitionBy(key, skew.PART).orderBy("__seq")
-    rows = rows.repartition(key, skew.PART).withColumn(
+    rows = skew.spread(rows, count, key, *([skew.PART] if cut else [])).withColumn(
         "__seq",
         F.row_number().over(
             W.partitionBy(key, skew.PART).orderBy(F.desc(skew.CARRY), *order)

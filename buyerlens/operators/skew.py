@@ -30,6 +30,8 @@ HEAVY_ROWS = 2_000_000
 # Up to so many heavy keys are sent to all tasks; more are joined, the largest of them split by adaptive execution.
 SENT_KEYS = 65_536
 CUTS = 64
+# Sorted by one task, on average, where rows are handled in order.
+TASK_ROWS = 200_000
 _NUMBERS = ("bigint", "int", "smallint", "tinyint", "double", "float")
 
 
@@ -59,10 +61,28 @@ def _shared_bytes(low: Column, high: Column) -> Column:
     return F.coalesce(F.size(alike), F.lit(0))
 
 
+def _sizes(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def total_rows(df: DataFrame, keys: list[str], heavy_rows: int) -> tuple[int, int]:
+    """Number of rows and of keys with more than ``heavy_rows`` of them, from one count per key."""
+    heavy = F.count_if(F.col("__n") > heavy_rows)
+    rows, found = _sizes(df, keys).agg(F.coalesce(F.sum("__n"), F.lit(0)), heavy).head()
+    return rows, found
+
+
+def spread(df: DataFrame, rows: int | None, *cols: str) -> DataFrame:
+    """``df`` by ``cols``, in so many partitions that their number follows the rows, not the settings alone."""
+    tasks = (rows or 0) // TASK_ROWS + 1
+    # Up to the number of cores Spark's own choice has a partition for each.
+    return df.repartition(tasks, *cols) if tasks > df.sparkSession.sparkContext.defaultParallelism else df.repartition(*cols)
+
+
 def heavy_cuts(df: DataFrame, keys: list[str], by: str, heavy_rows: int) -> DataFrame | None:
     """Heavy keys (as __k0, __k1 ..) with the cut numbers of ``by``; None without any."""
     names = [f"__k{i}" for i in range(len(keys))]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > heavy_rows)
+    counts = _sizes(df, keys).filter(F.col("__n") > heavy_rows)
     heavy = settle(counts.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.lit(0).alias("__skip")))
     found = heavy.count()
     if not found:

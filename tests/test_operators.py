@@ -349,3 +349,17 @@ def test_ties_follow_fixed_order(spark):
     assert top(b2="0.1", b0="0.1") == "30_34"
     assert top(b3="0.1", b4="0.1", b1="0.05") == "35_39"
     assert top(b4="0.2", b3="0.1") == "40_49"
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    """Running labels: no task sorts more than its share, however few partitions the settings name."""
+    from buyerlens.operators import skew
+
+    monkeypatch.setattr(skew, "TASK_ROWS", 50)
+    data = [(k % 200, f"p{k % 3}", f"q{k % 5}", k) for k in range(2000)]
+    df = spark.createDataFrame(data, "k long, p string, q string, seq long")
+    got = labels.label_changes(df, "k", ["p", "q"], ["seq"], ["seq"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert got.rdd.getNumPartitions() == 2000 // 50 + 1
+    assert rows(got) == rows(labels.label_changes(df, "k", ["p", "q"], ["seq"], ["seq"], None))
