@@ -197,3 +197,10 @@ def test_finds_as_arrow(monkeypatch, bits):
     found, counts = wordsearch._found(texts, words, False)
     assert found.to_pylist() == [w for t in texts for w in brute(t, words)]
     assert counts.tolist() == [len(brute(t, words)) for t in texts]
+
+
+def test_folding_by_arrays(spark):
+    """Texts are folded as dictionaries are, signs beyond 16 bits included."""
+    text = "".join(map(chr, [*range(1, 0x250), *range(0x3000, 0x3010), *range(0xFF00, 0xFFFE), 0x1F600, 0x10FFFF]))
+    assert wordsearch._fold(text) == spark.createDataFrame([(text,)], "t string").select(wordsearch.folded("t")).first()[0]
+    assert wordsearch._fold("") == ""
