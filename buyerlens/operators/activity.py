@@ -139,31 +139,36 @@ def activity_snapshots(
     """
     start = F.col(time_col) - F.pmod(F.col(time_col), F.lit(size_ms))
     df = df.withColumn("window_start", start)
-    per_window = df.groupBy(key, "window_start").agg(
+    # One pass: views per window and term, then the window in which each term first appears; empty strings
+    # are terms too, nulls are not.
+    cells = df.groupBy(key, "search_item", "window_start").agg(
         F.count(F.lit(1)).alias("n"),
         F.max(time_col).alias(time_col),
         F.max(F.col("os") == "iOS").alias("ios"),
         F.max(F.col("os") == "Android").alias("android"),
         F.min("os").alias("first_os"),
     )
-    # Window in which each term first appears; empty strings are terms too, nulls are not.
-    terms = (
-        df.filter(F.col("search_item").isNotNull())
-        .groupBy(key, "search_item")
-        .agg(F.min("window_start").alias("window_start"))
-        .groupBy(key, "window_start")
-        .agg(F.count(F.lit(1)).alias("new_terms"), F.min("search_item").alias("term"))
+    by_term = W.partitionBy(key, "search_item").orderBy(F.asc_nulls_last("window_start"))
+    term = F.when(F.col(key).isNotNull() & F.col("window_start").isNotNull(), F.col("search_item"))
+    cells = cells.withColumn("term", F.when(F.row_number().over(by_term) == 1, term))
+    per_window = cells.groupBy(key, "window_start").agg(
+        F.sum("n").alias("n"),
+        F.max(time_col).alias(time_col),
+        F.max("ios").alias("ios"),
+        F.max("android").alias("android"),
+        F.min("first_os").alias("first_os"),
+        F.count("term").alias("new_terms"),
+        F.min("term").alias("term"),
     )
     so_far = W.partitionBy(key).orderBy("window_start")
-    joined = per_window.join(terms, [key, "window_start"], "left")
-    running = joined.select(
+    running = per_window.select(
         key,
         time_col,
         F.sum("n").over(so_far).alias("pv"),
         F.max("ios").over(so_far).alias("ios"),
         F.max("android").over(so_far).alias("android"),
         F.min("first_os").over(so_far).alias("first_os"),
-        F.coalesce(F.sum("new_terms").over(so_far), F.lit(0)).alias("n_terms"),
+        F.sum("new_terms").over(so_far).alias("n_terms"),
         F.min("term").over(so_far).alias("term"),
     )
     judge = leading_os(F.col("ios"), F.col("android"), F.col("first_os"))

@@ -59,7 +59,9 @@ def interval_join(
     cond = _equal(on) & (F.col("__lb") == F.col("__rb")) & gap.between(lower_ms, upper_ms)
     if extra is not None:
         cond = cond & extra
-    return lb.join(rb, cond, "inner").drop("__lb", "__rb")
+    # Sizes of parsed records are guessed from those of the files, far too low: without the hint all rows of a side
+    # may be sent to every executor.
+    return lb.join(rb.hint("merge"), cond, "inner").drop("__lb", "__rb")
 
 
 def _equal(on: list[tuple[str, str]]) -> Column:

@@ -100,15 +100,18 @@ def order_scores(
         )
     else:
         newer = timed(keep_if_newer(heads, ["order_id"], "ts_ms", version_order), "ts_ms", "order_ts")
+    # Bands are found once per version and sku, before lines multiply them.
+    newer = newer.withColumn("order_time", hour_band(hour_of_day("order_time", tz)))
+    skus = last_sku(dims.skus).withColumn("order_price", price_band("sku_price"))
     lines = timed(prefixed(cdc.order_lines(details), "d_"), "d_ts_ms", "line_ts")
     joined = interval_join(
         newer, lines, [("order_id", "d_order_id")], "order_ts", "line_ts", -5_000, 5_000
     )
     known = lookup(
         joined.drop("line_ts"),
-        last_sku(dims.skus),
+        skus,
         ("d_sku_id", "sku_id"),
-        ["tm_name", "sku_price", "order_category"],
+        ["tm_name", "order_price", "order_category"],
         how="inner",
     )
     labelled = known.select(
@@ -119,8 +122,8 @@ def order_scores(
         F.col("d_sku_id").alias("sku_id"),
         "tm_name",
         "order_category",
-        price_band("sku_price").alias("order_price"),
-        hour_band(hour_of_day("order_time", tz)).alias("order_time"),
+        "order_price",
+        "order_time",
     ).filter(F.col("user_id").isNotNull())
     order = ["ts", "order_id", "sku_id"]
     if labelled.isStreaming:
