@@ -86,8 +86,8 @@ def test_texts_are_made_once(spark, tmp_path, capsys):
 
 
 def test_interval_join_sends_no_whole_side(spark, capsys):
-    left = spark.createDataFrame([(1, 1000)], "k long, t long")
-    right = spark.createDataFrame([(1, 1500), (1, 9000)], "j long, s long")
+    left = spark.range(1).selectExpr("id + 1 AS k", "id + 1000 AS t")
+    right = spark.range(2).selectExpr("1L AS j", "1500 + 7500 * id AS s")
     df = joins.interval_join(left, right, [("k", "j")], "t", "s", -1000, 1000)
     assert "Broadcast" not in plan(df, capsys)
     assert rows(df) == [(1, 1000, 1, 1500)]
