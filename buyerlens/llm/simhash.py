@@ -26,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from buyerlens.llm.common import text_or_empty, written
@@ -35,6 +35,7 @@ from buyerlens.llm.components import components
 SEED = 42
 BUCKET = 64  # members of a bucket that is looked up pair by pair
 STEP = 1 << 15  # shingles whose bits are counted at a time
+TASK_FPS = 200  # fingerprints whose meets, 43,745 of one at most, a task makes
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -136,46 +137,45 @@ def links(fps: DataFrame, radius: int = 3, segments: int = 2, bucket: int = BUCK
 
 
 @lru_cache(maxsize=256)
-def _choices(n: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which of n bits to clear, as rows of bit numbers padded with n; and how many."""
+def _choices(n: int, radius: int) -> np.ndarray:
+    """Which of n bits to clear, as rows of bit numbers padded with n."""
     rows = [c for k in range(radius + 1) for c in combinations(range(n), k)]
     out = np.full((len(rows), radius), n, np.int64)
     for i, c in enumerate(rows):
         out[i, : len(c)] = c
-    return out, np.array([len(c) for c in rows], np.int32)
+    return out
 
 
 def meet_links(fps: DataFrame, radius: int) -> DataFrame:
     """Pairs that connect the fingerprints within the radius (at most 3), linear in their number."""
-    schema = pa.schema([("meet", pa.int64()), ("cleared", pa.int32()), ("fp", pa.int64())])
+    schema = pa.schema([("meet", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for fp in batch.column(0).to_pylist():
                 value = np.array([fp], np.int64).view(np.uint64)[0]
                 bits = [np.uint64(1 << i) for i in range(64) if int(value) >> i & 1]
-                which, cleared = _choices(len(bits), radius)
-                masks = np.array([*bits, 0], np.uint64)[which].sum(axis=1, dtype=np.uint64)
+                masks = np.array([*bits, 0], np.uint64)[_choices(len(bits), radius)].sum(axis=1, dtype=np.uint64)
                 meets = (value ^ masks).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(meets), pa.array(cleared), pa.array(np.full(len(meets), fp, np.int64))], schema=schema
+                    [pa.array(meets), pa.array(np.full(len(meets), fp, np.int64))], schema=schema
                 )
 
-    rows = fps.select("fp").mapInArrow(run, "meet long, cleared int, fp long")
+    # The planner takes the rows for as few bytes as the fingerprints they come from, so they must not meet in a
+    # join, which would send them all to the driver. The window also sorts them once, by meet.
+    tasks = max(1, -(-fps.count() // TASK_FPS))
+    rows = fps.select("fp").repartition(tasks, "fp").mapInArrow(run, "meet long, fp long")
+    cleared = F.bit_count(F.col("meet").bitwiseXOR(F.col("fp")))
     # A meet has at most as many rows as there are fingerprints within the radius of it: a constant.
-    centres = (
-        rows.groupBy("meet")
-        .agg(
-            F.min(F.when(F.col("cleared") == 0, F.col("fp"))).alias("same"),
-            F.min(F.when(F.col("cleared") == 1, F.col("fp"))).alias("one"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .filter((F.col("n") > 1) & F.coalesce("same", "one").isNotNull())
-    )
+    at_meet = Window.partitionBy("meet")
+    centres = {
+        "same": F.min(F.when(cleared == 0, F.col("fp"))).over(at_meet),
+        "one": F.min(F.when(cleared == 1, F.col("fp"))).over(at_meet),
+    }
     reach = F.when(F.col("same").isNull(), radius - 1).otherwise(radius)
     return (
-        rows.join(centres, "meet")
-        .filter(F.col("cleared") <= reach)
+        rows.withColumns(centres)
+        .filter(cleared <= reach)
         .select(F.col("fp").alias("a"), F.coalesce("same", "one").alias("b"))
         .filter("a != b")
         .distinct()
